@@ -1,4 +1,749 @@
-"""Queries of the document operators."""
+"""One query for each operator over the library's tables, and the same in SQL where SQL can say it."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from strataline.config import CANONICAL, EMBEDDING
+from strataline.functions import lexicon as lx
+from strataline.functions import text as tx
+from strataline.functions.patterns import any_re2, re2, sql
+from strataline.operators import chunking, continuation, graph, layout, references, toc, vectors
+from strataline.operators.stack import flatten_ids, real_levels, with_stack_path
+from strataline.plans import pipeline
+from strataline.sources import tables as src
+from strataline.streaming.files import session_windows
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+SEG = "seg as (select * exclude (rn) from (select *, row_number() over (partition by file_id, segment_id order by ingested_at desc) as rn from flat_segments) where rn = 1)"
+TOC = "toc as (select * exclude (rn), regexp_extract(entry_id, '(\\d+)', 1)::int as ord, try_cast(page as int) as page_no from (select *, row_number() over (partition by file_id, entry_id order by ingested_at desc) as rn from toc_entries) where rn = 1)"
+CHK = "chk as (select * exclude (rn) from (select *, row_number() over (partition by chunk_id order by ingested_at desc) as rn from chunks) where rn = 1)"
+OPEN = ", ".join(sql(w) for w in lx.OPEN_CLAUSE_WORDS)
+STARTERS = ", ".join(sql(w) for w in lx.CONTINUATION_STARTERS)
+
+
+def query(sql_text: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql_text:
+            ORACLES[f.__name__] = sql_text
+        return f
+
+    return add
+
+
+def s_words(t: str) -> str:
+    return f"len(list_filter(string_split_regex({t}, '\\s+'), lambda w: w <> ''))"
+
+
+def s_first(t: str) -> str:
+    return f"regexp_extract({t}, '^\\s*(\\S+)', 1)"
+
+
+def s_last(t: str) -> str:
+    return f"regexp_extract({t}, '(\\S+)\\s*$', 1)"
+
+
+def s_match(t: str, patterns: list[str], flags: str = "i") -> str:
+    return f"regexp_matches({t}, {sql(any_re2(patterns, flags))})"
+
+
+def s_hyphen(t: str) -> str:
+    w = s_last(t)
+    stem = f"lower(regexp_replace({w}, '-+$', ''))"
+    return f"(ends_with(rtrim({t}), '-') and (length({w}) <= 2 or {stem} in ({', '.join(sql(x) for x in lx.COMPOUND_PREFIXES)}) or ({stem} <> '' and not regexp_matches({stem}, '[aeiou]$'))))"
+
+
+def s_open(t: str) -> str:
+    return f"(lower({s_last(f'regexp_replace({t}, {sql(chr(91) + ".,;:!?" + chr(93) + chr(43) + chr(92) + "s*$")}, {sql("")})')}) in ({OPEN}))"
+
+
+def s_fragment(t: str) -> str:
+    return f"regexp_matches({t}, '(?:,|[=<>≤≥±]|\\.\\.\\.|…)\\s*$')"
+
+
+def s_lower(t: str) -> str:
+    return f"regexp_matches({t}, '^\\p{{Ll}}')"
+
+
+def s_starts(t: str) -> str:
+    return f"(regexp_matches(trim({t}), '^\\p{{Ll}}') or lower(regexp_replace({s_first(t)}, '[.,;:]+$', '')) in ({STARTERS}))"
+
+
+def s_terminal(t: str) -> str:
+    return f"regexp_matches(rtrim({t}), '[.?!:;]$')"
+
+
+def s_band(p=CANONICAL) -> str:
+    hit = f"bbox[2] > {p.page_height * (1 - p.top_band)!r} or bbox[4] < {p.page_height * p.bottom_band!r}"
+    if p.side_band:
+        hit += f" or bbox[3] < {p.page_width * p.side_band!r} or bbox[1] > {p.page_width * (1 - p.side_band)!r}"
+    return f"coalesce(len(bbox) >= 4 and ({hit}), false)"
+
+
+def s_form(t: str) -> str:
+    return f"trim(regexp_replace(regexp_replace(lower(trim({t})), '\\s+', ' ', 'g'), '(^|[^\\p{{L}}\\p{{N}}_])(?:page\\s*)?[0-9]+($|[^\\p{{L}}\\p{{N}}_])', '\\1\\2', 'g'))"
+
+
+def s_sentences(t: str) -> str:
+    return f"list_filter(list_transform(string_split(regexp_replace(trim({t}), '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)), lambda s: trim(s)), lambda s: s <> '')"
+
+
+def s_tags(t: str, rules: dict[str, list[str]], flags: str) -> str:
+    return "array_to_string(list_filter([" + ", ".join(f"case when {s_match(t, p, flags)} then {sql(k)} end" for k, p in rules.items()) + "], lambda x: x is not null), ',')"
+
+
+def s_plain(t: str) -> str:
+    return f"regexp_replace(lower(trim({t})), '[^a-z0-9]', '', 'g')"
+
+
+def s_stack(level: str, text: str, part: str, order: str, source: str, header: str = "true", levels: int = 6) -> str:
+    """The ancestor stack in SQL: the last heading of each level, kept where it is below all last ones of smaller levels."""
+    cols = ", ".join(
+        f"max(case when ({header}) and least(coalesce({level}, 1), {levels}) = {i} then n end) over w as p{i}, "
+        f"arg_max(case when ({header}) and least(coalesce({level}, 1), {levels}) = {i} then coalesce(trim({text}), '') end, case when ({header}) and least(coalesce({level}, 1), {levels}) = {i} then n end) over w as t{i}"
+        for i in range(1, levels + 1)
+    )
+    keep = []
+    for i in range(1, levels + 1):
+        above = ", ".join(["-1", *[f"coalesce(p{k}, -1)" for k in range(1, i)]])
+        keep.append(f"case when p{i} > greatest({above}) and t{i} <> '' then t{i} end")
+    return (
+        f"stacked as (select *, concat_ws(' > ', {', '.join(keep)}) as path from (select *, {cols} from (select *, row_number() over (partition by {part} order by {order}) as n from {source}) "
+        f"window w as (partition by {part} order by n rows between unbounded preceding and current row)))"
+    )
+
+
+# sources ---------------------------------------------------------------------------------------------------------------
+
+
+@query("select doc_id, (i - 1)::int as pos, string_split(text, chr(10))[i] as line from (select doc_id, text, unnest(range(1, len(string_split(text, chr(10))) + 1)) as i from documents where text is not null)")
+def src_s12_lines(spark, d):
+    return src.lines(src.table(spark, d, "documents"), "doc_id").withColumnRenamed("text", "line")
+
+
+@query("select distinct source_file from source_files where file_id not in (select file_id from documents where file_id is not null)")
+def src_s5_unprocessed(spark, d):
+    files = src.table(spark, d, "source_files")
+    done = files.join(src.table(spark, d, "documents").filter("file_id is not null").select("file_id").distinct(), "file_id", "left_semi")
+    return src.unprocessed(files.select("source_file").distinct(), done)
+
+
+@query(f"with {SEG} select file_id, segment_id, type, page, style_hints.word_count as words from seg")
+def src_s6_json_round_trip(spark, d):
+    s = src.segments(spark, d, "type", "page", "style_hints")
+    back = F.from_json(F.to_json(F.struct("segment_id", "type", "page", "style_hints")), src.SEGMENT).alias("s")
+    return s.select("file_id", back).select("file_id", "s.segment_id", "s.type", "s.page", F.col("s.style_hints.word_count").alias("words"))
+
+
+# parser ----------------------------------------------------------------------------------------------------------------
+
+
+@query(f"""with {SEG} select file_id, segment_id, (case when length(t) <= 4 and (regexp_matches(t, '^[0-9]+$') or regexp_matches(t, '^[IVXLC]+$')) then -1
+  when regexp_matches(t, '(?i)^(Chapter|Part|Unit|Section|Appendix)\\s+([0-9]+|[IVXLC]+)') then 1 when upper(t) = t and lower(t) <> t and length(t) > 15 then 1
+  when regexp_matches(t, '^[0-9]+\\.[0-9]+\\s') then 2 else 0 end)::int as inferred from (select *, trim(coalesce(text, '')) as t from seg where type = 'Header')""")
+def parse_p2_heading_level(spark, d):
+    s = src.segments(spark, d, "type", "text").filter("type = 'Header'")
+    return s.select("file_id", "segment_id", tx.heading_level(F.coalesce("text", F.lit(""))).alias("inferred"))
+
+
+@query(f"""with {SEG}, h as (select file_id, pos, segment_id, case when regexp_matches(trim(coalesce(text,'')), '(?i)^(Chapter|Part|Unit|Section|Appendix)\\s+([0-9]+|[IVXLC]+)') then 1
+   when regexp_matches(trim(coalesce(text,'')), '^[0-9]+\\.[0-9]+\\s') then 2 else 0 end as inf from seg where type = 'Header')
+ select file_id, segment_id, (case when inf >= 1 then inf when max(case when inf in (0, 1) then 1 end) over (partition by file_id order by pos rows between unbounded preceding and 1 preceding) = 1 then 2 else 1 end)::int as real_level from h""")
+def parse_p3_real_level(spark, d):
+    t = F.trim(F.coalesce("text", F.lit("")))
+    s = src.segments(spark, d, "type", "text", "pos").filter("type = 'Header'")
+    s = s.withColumn("inf", F.when(t.rlike(r"(?i)^(Chapter|Part|Unit|Section|Appendix)\s+([0-9]+|[IVXLC]+)"), 1).when(t.rlike(r"^[0-9]+\.[0-9]+\s"), 2).otherwise(0))
+    return real_levels(s, "file_id", [F.col("pos")], F.lit(True), F.col("inf")).select("file_id", "segment_id", F.col("real_level").cast("int").alias("real_level"))
+
+
+@query(f"""with {SEG} select file_id, segment_id, {s_lower('t')} as starts_lowercase, (t <> '' and not {s_terminal('t')}) as ends_incomplete, {s_words('t')} < 10 as is_short,
+  regexp_matches(trim(t), '^[0-9\\-•●○▪]') as has_list_marker, {s_hyphen('t')} as ends_with_hyphen, {s_open('t')} as ends_with_open_clause, {s_fragment('t')} as has_fragment_pattern,
+  {s_starts('t')} as starts_like_continuation, {s_terminal('t')} as has_terminal_punctuation, {s_words('t')}::int as word_count from (select *, coalesce(text, '') as t from seg)""")
+def parse_p13_style_hints(spark, d):
+    s = src.segments(spark, d, "type", "text")
+    return s.select("file_id", "segment_id", tx.style_hints(F.col("text"), F.col("type")).alias("h")).select("file_id", "segment_id", "h.*").drop("segment_type")
+
+
+@query(f"""with {SEG} select file_id, segment_id, coalesce(len(bbox) >= 4 and bbox[2] < 0.15 * 842, false) as is_top, coalesce(len(bbox) >= 4 and bbox[4] > 0.85 * 842, false) as is_bottom,
+  (case when not coalesce(len(bbox) >= 4, false) then 0 when bbox[3] - bbox[1] > 0.6 * 595 then -1 when (bbox[1] + bbox[3]) / 2 < 0.45 * 595 then 0 when (bbox[1] + bbox[3]) / 2 > 0.55 * 595 then 1 else -1 end)::int as col from seg""")
+def parse_p7_p8_position(spark, d):
+    b = F.col("bbox")
+    return src.segments(spark, d, "bbox").select("file_id", "segment_id", layout.page_top(b).alias("is_top"), layout.page_bottom(b).alias("is_bottom"), layout.column_of(b).cast("int").alias("col"))
+
+
+@query(f"""with {SEG} select file_id, segment_id, concat_ws(' ', case when heading_path <> '' then '[Path: ' || heading_path || ']' end, case when len(tags) > 0 then '[Tags: ' || array_to_string(tags, ', ') || ']' end, text) as context from seg""")
+def parse_p5_context(spark, d):
+    s = src.segments(spark, d, "heading_path", "tags", "text")
+    return s.select("file_id", "segment_id", tx.context_text(F.col("heading_path"), F.col("tags"), F.col("text")).alias("context"))
+
+
+@query(f"with {SEG} select file_id, pos, 'seg_' || lpad((row_number() over (partition by file_id order by pos))::varchar, 4, '0') as new_id from seg")
+def parse_p14_ids(spark, d):
+    return flatten_ids(src.segments(spark, d, "pos"), "file_id", [F.col("pos")], "new_id").select("file_id", "pos", "new_id")
+
+
+@query(f"""with {TOC} select file_id, entry_id, level, coalesce(lead(level) over (partition by file_id order by ord) > level, false) as has_children from toc where level is not null
+  qualify has_children or length(title) >= 5""")
+def parse_p6_toc_pruning(spark, d):
+    w = Window.partitionBy("file_id").orderBy("ord")
+    rows = src.toc(spark, d).filter("level is not null").withColumn("has_children", F.coalesce(F.lead("level").over(w) > F.col("level"), F.lit(False)))
+    return rows.filter(F.col("has_children") | (F.length("title") >= 5)).select("file_id", "entry_id", "level", "has_children")
+
+
+# layout ----------------------------------------------------------------------------------------------------------------
+
+
+@query(f"""with {SEG}, total as (select file_id, count(distinct coalesce(page, 0)) as total_pages from seg group by 1)
+ select file_id, {s_form('text')} as form, count(distinct coalesce(page, 0)) as pages, total_pages from seg join total using (file_id)
+ where trim(text) <> '' and {s_words('trim(text)')} <= 8 and {s_band()} group by all""")
+def layout_l2_furniture_scan(spark, d):
+    return layout.furniture_scan(src.segments(spark, d, "page", "text", "bbox")).select("file_id", "form", "pages", "total_pages")
+
+
+def _furniture_sql(p, decision: str) -> str:
+    types = ", ".join(sql(t) for t in p.furniture_types)
+    return f"""with {SEG}, total as (select file_id, count(distinct coalesce(page, 0)) as total_pages from seg group by 1),
+ often as (select file_id, {s_form('text')} as form from seg join total using (file_id) where trim(text) <> '' and {s_words('trim(text)')} <= {p.furniture_words} and {s_band(p)} and total_pages >= {p.furniture_pages}
+   group by file_id, form, total_pages having count(distinct coalesce(page, 0)) / total_pages >= {p.furniture_share}),
+ x as (select s.file_id, segment_id, type, bbox, trim(coalesce(text, '')) as t, o.form is not null as often from seg s left join often o on s.file_id = o.file_id and {s_form("coalesce(text, '')")} = o.form)
+ select file_id, segment_id from x where type in ({types}) and t <> '' and ({decision})"""
+
+
+@query(_furniture_sql(CANONICAL, f"case when {s_band()} then {s_match('t', lx.FURNITURE)} or not regexp_matches(t, {sql('(?i)' + lx.CAPTION_LIKE)}) else {s_match('t', lx.FURNITURE)} or often end"))
+def layout_l3_furniture(spark, d):
+    s = src.segments(spark, d, "type", "page", "text", "bbox")
+    return layout.mark_furniture(s).filter("is_furniture").select("file_id", "segment_id")
+
+
+@query(_furniture_sql(EMBEDDING, f"{s_match('t', lx.FURNITURE)} or (often and {s_words('t')} <= 5 and {s_band(EMBEDDING)}) or ({s_words('t')} <= 2 and {s_band(EMBEDDING)} and (regexp_matches(t, '^[0-9\\s.,-]+$') or length(t) <= 2 or regexp_matches(t, '^[ivxlcdmIVXLCDM]+$')))"))
+def layout_l5_furniture_embedding(spark, d):
+    s = src.segments(spark, d, "type", "page", "text", "bbox")
+    return layout.mark_furniture(s, p=EMBEDDING).filter("is_furniture").select("file_id", "segment_id")
+
+
+def _order_sql(keys: str) -> str:
+    return f"""with {SEG}, wid as (select file_id, coalesce(page, 1) as pg, max(case when len(bbox) >= 4 then bbox[3] end) as x from seg group by all),
+ carried as (select file_id, pg, coalesce(last_value(case when coalesce(x, 612.0) > 100 then coalesce(x, 612.0) * 1.1 end ignore nulls) over (partition by file_id order by pg rows between unbounded preceding and current row), 612.0) as w from wid),
+ y as (select s.file_id, segment_id, pos, pg, -coalesce(case when len(bbox) >= 4 then bbox[2] end, 0.0) as up,
+   case when not coalesce(len(bbox) >= 4, false) then -1 when bbox[1] < w * 0.45 and bbox[3] > w * 0.55 then -1 when bbox[1] < w * 0.45 then 0 else 1 end as col
+   from seg s join carried c on s.file_id = c.file_id and coalesce(s.page, 1) = c.pg)
+ select file_id, segment_id, (row_number() over (partition by file_id order by {keys}) - 1)::int as new_pos, col::int as new_column from y"""
+
+
+@query(_order_sql("pg, case col when -1 then 1 when 0 then 2 else 3 end, up, pos"))
+def layout_l6_reading_order(spark, d):
+    s = src.segments(spark, d, "pos", "page", "bbox", "column_index")
+    return layout.reading_order(s).select("file_id", "segment_id", "new_pos", F.col("new_column").cast("int").alias("new_column"))
+
+
+@query(_order_sql("pg, up, case when col <= 0 then 0 else 1 end, pos"))
+def layout_l7_interleaved_order(spark, d):
+    s = src.segments(spark, d, "pos", "page", "bbox", "column_index")
+    return layout.reading_order(s, p=EMBEDDING).select("file_id", "segment_id", "new_pos", F.col("new_column").cast("int").alias("new_column"))
+
+
+@query(f"with {SEG}, {s_stack('level', 'text', 'file_id', 'pos', 'seg', header=chr(39).join(['type = ', 'Header', '']))} select file_id, segment_id, path from stacked")
+def layout_l8_heading_stack(spark, d):
+    s = src.segments(spark, d, "pos", "type", "level", "text")
+    return with_stack_path(s, "file_id", [F.col("pos")], F.col("type") == "Header", F.col("level"), F.col("text")).select("file_id", "segment_id", "path")
+
+
+@query(f"""with {SEG}, top as (select file_id, coalesce(page, 1) as pg, min(struct_pack(l := coalesce(level, 99), p := pos, t := trim(text))) as h from seg where type = 'Header' group by all)
+ select s.file_id, segment_id, case when h.l <= 1 and pos < h.p and h.t <> '' then case when coalesce(heading_path, '') = '' then h.t when string_split(heading_path, ' > ')[1] = h.t then heading_path
+   else array_to_string([h.t] || string_split(heading_path, ' > ')[2:], ' > ') end else coalesce(heading_path, '') end as backfilled_path from seg s left join top on s.file_id = top.file_id and coalesce(s.page, 1) = top.pg""")
+def layout_l9_backfill(spark, d):
+    return layout.backfill(src.segments(spark, d, "pos", "page", "type", "level", "text", "heading_path")).select("file_id", "segment_id", "backfilled_path")
+
+
+@query(f"""with {SEG}, z as (select *, max(case when bbox[1] < 275.4 then 1 end) over w + max(case when bbox[1] >= 275.4 then 1 end) over w as both_sides from seg window w as (partition by file_id, coalesce(page, 0)))
+ select file_id, segment_id, case when {s_match("coalesce(text, '')", lx.SIDEBAR_OBJECTIVES)} then 'learning_objective' when {s_match("coalesce(text, '')", lx.SIDEBAR_HEADINGS)} then 'sidebar_heading' end as sidebar_type from z
+ where {s_match("coalesce(text, '')", lx.SIDEBAR_OBJECTIVES)} or {s_match("coalesce(text, '')", lx.SIDEBAR_HEADINGS)} or coalesce(both_sides = 2 and bbox[1] >= 0 and bbox[3] <= 275.4, false)""")
+def layout_l10_sidebars(spark, d):
+    return layout.sidebars(src.segments(spark, d, "page", "text", "bbox")).filter("is_sidebar").select("file_id", "segment_id", "sidebar_type")
+
+
+@query(f"""with {SEG}, a as (select *, case when len(bbox) >= 4 then bbox[3] - bbox[1] end as wd, max(case when len(bbox) >= 4 then bbox[3] - bbox[1] end) over (partition by file_id, coalesce(page, 0)) as mx from seg),
+ b as (select *, min(case when wd > 0.5 * mx then bbox[1] end) over w as lf, max(case when wd > 0.5 * mx then bbox[3] end) over w as rg from a window w as (partition by file_id, coalesce(page, 0)))
+ select file_id, segment_id from b where wd <= 0.35 * mx and (bbox[3] < lf - 30.0 or bbox[1] > rg + 30.0)""")
+def layout_l11_narrow_sidebars(spark, d):
+    return layout.sidebars_by_width(src.segments(spark, d, "page", "bbox")).filter("narrow_sidebar").select("file_id", "segment_id")
+
+
+# contents and structure ------------------------------------------------------------------------------------------------
+
+
+@query(f"""with {TOC}, r as (select *, trim(lower(title)) as t from toc where page_no is not null), s as (select file_id, min(struct_pack(o := ord, p := page_no)) as s from r where {s_match('t', lx.BODY_START_TITLES)} and page_no < 150 group by 1),
+ g as (select r.*, s.s, (select min(struct_pack(o := n.ord, p := n.page_no)) from r n where n.file_id = r.file_id and n.ord > r.ord and coalesce(n.level, 1) = 1).p as nxt from r left join s using (file_id))
+ select file_id, coalesce(any_value(s.p), 1)::int as body_start, coalesce(case when any_value(s) is not null then min(case when ord >= s.o and page_no > s.p + 100 and {s_match('t', lx.BACK_TITLES)} and coalesce(level, 1) = 1 then page_no end) end, 9999)::int as back_start,
+  (arg_max(page_no, ord) filter (contains(t, 'glossary')))::int as glossary_start, (arg_max(coalesce(nxt - 1, page_no + 15), ord) filter (contains(t, 'glossary')))::int as glossary_end, count(*) filter (level = 1) as chapters from g group by file_id""")
+def toc_t3_section_map(spark, d):
+    return toc.section_map(src.toc(spark, d))
+
+
+@query(f"with {TOC} select file_id, ord, title, page_no as start_page, coalesce(lead(page_no) over (partition by file_id order by ord) - 1, 2000)::int as end_page from toc where level = 1 and page_no is not null")
+def toc_t3_chapters(spark, d):
+    return toc.chapters(src.toc(spark, d))
+
+
+@query(f"""with {SEG}, {TOC}, e as (select *, max(page_no) over (partition by file_id order by ord rows between unbounded preceding and current row) as reach from toc where page_no is not null), {s_stack('level', 'title', 'file_id', 'ord', 'e')}
+ select s.file_id, s.segment_id, coalesce(arg_max(st.path, st.ord), '') as gold_path from seg s left join stacked st on st.file_id = s.file_id and st.reach <= coalesce(s.page, 1) group by s.file_id, s.segment_id""")
+def toc_t4_gold_path(spark, d):
+    return toc.gold_paths(src.segments(spark, d, "page"), src.toc(spark, d)).select("file_id", "segment_id", "gold_path")
+
+
+@query(f"""with {SEG}, {TOC} select file_id, segment_id from seg where type = 'Header' and trim(coalesce(text, '')) <> '' and file_id in (select file_id from toc)
+ and not exists (select 1 from toc where toc.file_id = seg.file_id and {s_plain('toc.title')} = {s_plain("coalesce(seg.text, '')")})""")
+def toc_t5_downgraded_headers(spark, d):
+    rows = toc.enforce_headers(src.segments(spark, d, "type", "text"), src.toc(spark, d))
+    return rows.filter("type = 'Header' and new_type = 'Paragraph'").select("file_id", "segment_id")
+
+
+@query(None)
+def toc_t6_seeded_path(spark, d):
+    rows = toc.gold_paths(src.segments(spark, d, "page", "heading_path"), src.toc(spark, d))
+    return rows.select("file_id", "segment_id", toc.seed_path(F.col("gold_path"), F.col("heading_path")).alias("path"))
+
+
+@query(f"""with {SEG} select file_id, coalesce(page, 0)::int as page from seg group by all having (bool_or(regexp_matches(lower(coalesce(text, '')), '{"|".join(lx.TOC_KEYWORDS)}')) and coalesce(page, 0) < 60)
+ or (coalesce(page, 0) < 45 and count(*) filter (regexp_matches(lower(coalesce(text, '')), '[\\.·-]{{5,}}\\s*[0-9]+$')) >= 3)""")
+def toc_t7_pages(spark, d):
+    return toc.toc_pages(src.segments(spark, d, "page", "text"))
+
+
+@query(r"""with l as (select doc_id, i - 1 as pos, trim(string_split(text, chr(10))[i]) as t from (select doc_id, text, unnest(range(1, len(string_split(text, chr(10))) + 1)) as i from documents where text is not null)),
+ m as (select doc_id, pos, t, trim(regexp_extract(t, '^(.*?)(?:[\.·\-_]{3,}|[\s]{2,})([0-9]+)$', 1)) as title, regexp_extract(t, '^(.*?)(?:[\.·\-_]{3,}|[\s]{2,})([0-9]+)$', 2) as pg from l)
+ select doc_id, pos::int as pos, title, try_cast(pg as int) as page_no, (case when regexp_matches(upper(title), '^(?:PART|MODULE)') then 0 when starts_with(upper(title), 'CHAPTER') or regexp_matches(title, '^[0-9]+\.?\s+[A-Z]') then 1 else 0 end)::int as level from m where length(t) >= 3 and pg <> '' and try_cast(pg as int) is not null""")
+def toc_t8_lines(spark, d):
+    rows = src.lines(src.table(spark, d, "documents"), "doc_id").filter(F.length(F.regexp_extract(F.trim("text"), r"(\d+)$", 1)).between(1, 9))
+    m = toc.toc_line(F.col("text"), F.lit(0))
+    return rows.withColumn("m", m).filter("m is not null").select("doc_id", "pos", "m.title", "m.page_no", "m.level")
+
+
+@query(f"""with {SEG}, {TOC}, e as (select *, row_number() over w as n, greatest(coalesce(lead(page_no) over w - 1, 99999), page_no) as b from toc where page_no is not null window w as (partition by file_id order by page_no, ord)),
+ best as (select s.file_id, s.pg, arg_max(e.title, e.n) as title from (select distinct file_id, coalesce(page, 0) as pg from seg) s join e on e.file_id = s.file_id and s.pg between e.page_no and e.b where e.level <= 1 group by all)
+ select s.file_id, segment_id, case when title is null or contains(coalesce(heading_path, ''), title) then coalesce(heading_path, '') when coalesce(heading_path, '') = '' then title else title || ' > ' || heading_path end as skeleton_path
+ from seg s left join best b on s.file_id = b.file_id and coalesce(s.page, 0) = b.pg""")
+def toc_t9_skeleton(spark, d):
+    return toc.skeleton(src.segments(spark, d, "page", "heading_path"), src.toc(spark, d)).select("file_id", "segment_id", "skeleton_path")
+
+
+@query(None)
+def toc_t10_gate(spark, d):
+    s = src.segments(spark, d, "pos", "page", "type", "level", "text")
+    return toc.gate(s, toc.toc_pages(s))
+
+
+_MD = f"h as (select doc_id, i - 1 as pos, length(regexp_extract(l, '^(#+)\\s+(.*)$', 1)) as level, trim(regexp_extract(l, '^(#+)\\s+(.*)$', 2)) as title from (select doc_id, i, string_split(text, chr(10))[i] as l from (select doc_id, text, unnest(range(1, len(string_split(text, chr(10))) + 1)) as i from documents where text is not null)) where regexp_matches(l, '^#+\\s'))"
+
+
+@query(f"""with {_MD}, c as (select doc_id, pos, level, regexp_replace(regexp_replace(title, '\\[(.*?)\\]\\(.*?\\)', '\\1', 'g'), '\\*\\*|__', '', 'g') as title from h where not {s_match('title', lx.LOGIC_NOISE)} and length(title) >= 2),
+ {s_stack('level', 'title', 'doc_id', 'pos', 'c')} select doc_id, {s_plain('title')} as norm, arg_max(path, case when level < 3 then pos else -1 - pos end) as path, min(pos)::int as ord from stacked group by doc_id, norm""")
+def toc_t11_logic_book(spark, d):
+    return toc.logic_book(src.markdown_headings(src.table(spark, d, "documents"), "doc_id", "text"), "doc_id")
+
+
+@query(None)
+def toc_t12_logic_paths(spark, d):
+    docs = src.table(spark, d, "documents")
+    book = toc.logic_book(src.markdown_headings(docs, "doc_id", "text"), "doc_id")
+    rows = src.lines(docs, "doc_id").filter("length(text) between 3 and 200")
+    return toc.look_up(rows, book, "doc_id").filter("logic_path is not null").select("doc_id", "pos", "logic_path")
+
+
+@query(f"""with {SEG}, {TOC}, r as (select *, trim(lower(title)) as t from toc where page_no is not null), s as (select file_id, min(struct_pack(o := ord, p := page_no)) as s from r where {s_match('t', lx.BODY_START_TITLES)} and page_no < 150 group by 1),
+ b as (select r.file_id, coalesce(any_value(s.p), 1) as bs, coalesce(min(case when ord >= s.o and page_no > s.p + 100 and {s_match('t', lx.BACK_TITLES)} and coalesce(level, 1) = 1 then page_no end), 9999) as bk from r left join s using (file_id) group by 1)
+ select file_id, segment_id, case when page <= bs - 1 then 'front' when page >= bk then 'back' else 'body' end as zone from seg join b using (file_id)""")
+def toc_t14_zones(spark, d):
+    rows = src.segments(spark, d, "page").join(toc.section_map(src.toc(spark, d)), "file_id")
+    return rows.select("file_id", "segment_id", toc.zone(F.col("page"), F.col("body_start"), F.col("back_start")).alias("zone"))
+
+
+@query(None)
+def toc_t16_glossary(spark, d):
+    return toc.glossary_items(src.segments(spark, d, "pos", "type", "text").filter("type in ('Paragraph', 'Text', 'ListItem')"))
+
+
+@query(r"""with f as (select distinct file_id, 'ISBN ' || isbn as t from source_files where isbn is not null)
+ select file_id, regexp_replace(case when regexp_extract(t, '(?i)ISBN(?:-13|-10)?[:\s]+(?:[0-9]{1,5}[-\s]?)?([0-9]+[-\s]?[0-9]+[-\s]?[0-9]+[-\s]?[0-9]+[-\s]?[0-9]+)', 1) <> '' then regexp_extract(t, '(?i)ISBN(?:-13|-10)?[:\s]+(?:[0-9]{1,5}[-\s]?)?([0-9]+[-\s]?[0-9]+[-\s]?[0-9]+[-\s]?[0-9]+[-\s]?[0-9]+)', 1)
+  when regexp_extract(t, '(?i)ISBN\s+([0-9-]{10,25})', 1) <> '' then regexp_extract(t, '(?i)ISBN\s+([0-9-]{10,25})', 1) end, '[- ]', '', 'g') as isbn from f""")
+def toc_t18_isbn(spark, d):
+    f = src.table(spark, d, "source_files").filter("isbn is not null").select("file_id", F.concat(F.lit("ISBN "), F.col("isbn")).alias("t")).distinct()
+    return f.select("file_id", tx.isbn(F.col("t")).alias("isbn"))
+
+
+@query(None)
+def toc_t19_spaced_text(spark, d):
+    s = src.segments(spark, d, "text").filter("text is not null").withColumn("joined", tx.spaced_text(F.col("text")))
+    return s.filter("joined <> text").select("file_id", "segment_id", "joined")
+
+
+@query("select file_id, coalesce(nullif(max(title), ''), max(source_file)) as title, coalesce(nullif(max(isbn), ''), 'none') as isbn from source_files group by 1")
+def toc_t20_metadata_merge(spark, d):
+    g = src.table(spark, d, "source_files").groupBy("file_id").agg(F.max("title").alias("t"), F.max("source_file").alias("s"), F.max("isbn").alias("i"))
+    return g.select("file_id", F.coalesce(F.nullif("t", F.lit("")), F.col("s")).alias("title"), F.coalesce(F.nullif("i", F.lit("")), F.lit("none")).alias("isbn"))
+
+
+# continuation ----------------------------------------------------------------------------------------------------------
+
+
+@query(f"""with {SEG}, n as (select file_id, segment_id, pos, type, row_number() over (partition by file_id order by pos) as n from seg),
+ p as (select *, last_value(case when coalesce(type <> 'Header', true) then n end ignore nulls) over (partition by file_id order by pos rows between unbounded preceding and 1 preceding) as pn from n)
+ select p.file_id, p.segment_id, q.segment_id as prev_segment_id, (p.n - 1 - p.pn)::int as skipped from p left join n q on q.file_id = p.file_id and q.n = p.pn""")
+def cont_c2_previous_content(spark, d):
+    s = src.segments(spark, d, "pos", "type", "text", "page", "column_index", "heading_path", "at_page_bottom")
+    return continuation.with_previous(s).select("file_id", "segment_id", F.col("prev.segment_id").alias("prev_segment_id"), "skipped")
+
+
+_W = lx.CONTINUATION_WEIGHTS
+_PREV = f"""n as (select *, row_number() over (partition by file_id order by pos) as n, coalesce(text, '') as t from seg),
+ pn as (select *, last_value(case when coalesce(type <> 'Header', true) then n end ignore nulls) over (partition by file_id order by pos rows between unbounded preceding and 1 preceding) as pn from n),
+ j as (select c.file_id, c.segment_id, c.type as ct, p.type as pt, c.t as b, p.t as a, c.page as cp, p.page as pp, c.column_index as cc, p.column_index as pc, c.heading_path as ch, p.heading_path as ph, c.at_page_top as ctop, p.at_page_bottom as pbot, p.n is not null as has_prev
+   from pn c left join n p on p.file_id = c.file_id and p.n = c.pn)"""
+_SCORE = f"""0.0::double + (case when pbot and ctop then {_W['position']} else 0 end)::double + (case when coalesce(pc, 0) < 0 or coalesce(cc, 0) < 0 or coalesce(pc, 0) = coalesce(cc, 0) then {_W['column']} else 0 end)::double
+ + (case when {s_hyphen('a')} then {_W['hyphen']} else 0 end)::double + (case when {s_open('a')} then {_W['open_clause']} else 0 end)::double + (case when {s_fragment('a')} then {_W['fragment']} else 0 end)::double
+ + (case when {s_starts('b')} then {_W['start']} when {s_lower('b')} then {_W['start_lowercase']} else 0 end)::double + (case when ph is not distinct from ch then {_W['same_path']} else 0 end)::double
+ + (case when pt is not distinct from ct then {_W['same_type']} else 0 end)::double + (case when a <> '' and not {s_terminal('a')} then {_W['incomplete']} else 0 end)::double
+ + (case when a <> '' and not {s_terminal('a')} and {s_lower('b')} then {_W['incomplete_lowercase']} else 0 end)::double + (case when pt = 'ListItem' and ct = 'ListItem' and regexp_matches(trim(a), '[^.!?]$') then {_W['list_split']} else 0 end)::double"""
+_BREAKS = ", ".join(sql(t) for t in lx.BREAK_TYPES)
+_OUT = f"(coalesce(ct in ({_BREAKS}) or pt in ({_BREAKS}) or coalesce(cp, 0) <> coalesce(pp, 0) + 1, false) or not has_prev)"
+
+
+@query(f"with {SEG}, {_PREV}, sc as (select *, case when {_OUT} then 0.0 else {_SCORE} end as score from j) select file_id, segment_id, round(score, 6) as score, case when score >= 0.7 - 1e-9 then 'full' when score >= 0.4 - 1e-9 then 'partial' else 'none' end as is_continuation from sc")
+def cont_c5_c7_score(spark, d):
+    s = src.segments(spark, d, "pos", "type", "text", "page", "column_index", "heading_path", "at_page_bottom", "at_page_top")
+    return continuation.annotate(s).select("file_id", "segment_id", F.round("score", 6).alias("score"), "is_continuation")
+
+
+@query(f"""with {SEG}, n as (select *, trim(coalesce(text, '')) as b, lag(type) over w as k, trim(coalesce(lag(text) over w, '')) as a, coalesce(lag(page) over w, 0) as pg, coalesce(lag(column_index) over w, 0) as pc, row_number() over w as i from seg window w as (partition by file_id order by pos)),
+ sc as (select file_id, segment_id, i, (case when a <> '' and not regexp_matches(a, '[.!?:]$') then 0.4::double else 0 end + case when {s_lower('b')} then 0.3::double else 0 end + case when regexp_matches(a, '[-‐-—]$') then 0.3::double else 0 end
+  + case when k = 'Formula' then 0.5::double else 0 end + case when abs(pg - coalesce(page, 0)) <= 1 then 0.1::double else 0 end + case when (pg = coalesce(page, 0)) <> (pc = coalesce(column_index, 0)) then 0.1::double else 0 end) * 0.6::double + 0.5::double * 0.4::double as score from n)
+ select file_id, segment_id, case when i > 1 then round(score, 6) end as score, case when i > 1 then case when score >= 0.7 - 1e-9 then 'full' when score >= 0.45 - 1e-9 then 'partial' else 'none' end end as is_continuation from sc""")
+def cont_c8_adjacent_score(spark, d):
+    s = src.segments(spark, d, "pos", "type", "text", "page", "column_index")
+    return continuation.annotate_adjacent(s).select("file_id", "segment_id", F.round("score", 6).alias("score"), "is_continuation")
+
+
+@query(None)
+def cont_c10_evidence(spark, d):
+    s = src.segments(spark, d, "pos", "type", "text", "page", "column_index", "heading_path", "at_page_bottom", "at_page_top")
+    return continuation.evidence_summary(continuation.annotate(s))
+
+
+@query(f"""with w as (select distinct unnest(regexp_extract_all(text, '\\p{{L}}+')) as word from documents)
+ select word, (regexp_matches(regexp_replace(word, '-', '', 'g'), '^\\p{{L}}+$') and not regexp_matches(word, '(?i)[^aeiou]{{6,}}') and not regexp_matches(word, '(?i)[aeiou]{{5,}}')) as plausible from w""")
+def cont_d2_plausible_words(spark, d):
+    w = src.table(spark, d, "documents").select(F.explode(F.regexp_extract_all("text", F.lit(r"\p{L}+"), 0)).alias("word")).distinct()
+    return w.select("word", tx.plausible_word(F.col("word")).alias("plausible"))
+
+
+def _neighbours(spark, d):
+    w = Window.partitionBy("file_id").orderBy("pos")
+    s = src.segments(spark, d, "pos", "text").withColumn("before", F.lag("text").over(w))
+    return s.filter(F.col("before").rlike(r"[-‐‑–—]\s*$") & F.col("text").isNotNull())
+
+
+@query(None)
+def cont_d1_merge_hyphenated(spark, d):
+    return _neighbours(spark, d).withColumn("m", continuation.merge_hyphenated(F.col("before"), F.col("text"))).select("file_id", "segment_id", "m.left", "m.right")
+
+
+@query(f"""with {SEG}, n as (select *, lag(text) over (partition by file_id order by pos) as a from seg), x as (select file_id, segment_id, a, text as b, regexp_extract(a, '([\\p{{L}}\\p{{N}}_]+)[-‐‑−–—]\\s*$', 1) as one, regexp_extract(regexp_replace(text, '^ +', ''), '^([\\p{{L}}\\p{{N}}_]+)', 1) as two from n where regexp_matches(a, '[-‐‑–—]\\s*$') and text is not null)
+ select file_id, segment_id, case when regexp_matches(rtrim(a), '[-‐‑‒–—]$') and one <> '' and two <> '' and length(one || two) >= 3 then regexp_replace(a, '[\\p{{L}}\\p{{N}}_]+[-‐‑−–—]\\s*$', '') || one || two else a end as "left",
+  case when regexp_matches(rtrim(a), '[-‐‑‒–—]$') and one <> '' and two <> '' and length(one || two) >= 3 then regexp_replace(regexp_replace(regexp_replace(b, '^ +', ''), '^[\\p{{L}}\\p{{N}}_]+', ''), '^ +', '') else b end as "right" from x""")
+def cont_d3_join_at_word(spark, d):
+    return _neighbours(spark, d).withColumn("m", continuation.join_at_word(F.col("before"), F.col("text"))).select("file_id", "segment_id", "m.left", "m.right")
+
+
+# captions and references -----------------------------------------------------------------------------------------------
+
+_CAPS = " ".join(f"when regexp_extract(t, {sql('(?i)' + p)}, 1) <> '' and not regexp_matches(substring(lower(trim(regexp_replace(t, {sql('(?i)' + p)}, ''))), 1, 100), {sql(re2(chr(92) + 'b(?:' + '|'.join(lx.CAPTION_VERBS) + ')' + chr(92) + 'b'))}) then regexp_extract(t, {sql('(?i)' + p)}, 1)" for p in lx.CAPTION_PATTERNS)
+
+
+@query(f"""with {SEG}, x as (select file_id, segment_id, trim(text) as t from seg where text is not null), c as (select *, case {_CAPS} end as caption_id from x where {s_words('t')} <= 40)
+ select file_id, segment_id, caption_id, case when regexp_matches(lower(t), '^(?:table|tbl)') then 'Table' when regexp_matches(lower(t), '^(?:figure|fig|chart|graph|diagram)') then 'Figure' when starts_with(lower(t), 'exhibit') then 'Exhibit' when regexp_matches(lower(t), '^(?:equation|eq|formula)') then 'Equation' else 'Figure' end as target_type from c where caption_id is not null""")
+def ref_b1_captions(spark, d):
+    s = src.segments(spark, d, "text").filter("text is not null").withColumn("c", tx.caption(F.col("text")))
+    return s.filter("c is not null").select("file_id", "segment_id", "c.caption_id", "c.target_type")
+
+
+@query(f"""with {SEG}, n as (select *, lead(bbox) over (partition by file_id order by pos) as b from seg), g as (select file_id, segment_id, bbox as a, b,
+  case when bbox[4] <= b[2] then b[2] - bbox[4] when b[4] <= bbox[2] then bbox[2] - b[4] else 0.0 end as gap, case when greatest(list_max(bbox), list_max(b)) > 1.0 then 792.0 else 1.0 end as sc, greatest(0.0, least(bbox[3], b[3]) - greatest(bbox[1], b[1])) as sh, least(bbox[3] - bbox[1], b[3] - b[1]) as nr from n)
+ select file_id, segment_id, case when a is null or b is null or len(a) < 4 or len(b) < 4 then true else gap / sc <= 0.25 and sh > 0 and (case when nr > 0 then sh / nr else 0.0 end) >= 0.3 end as near from g""")
+def ref_b5_near_blocks(spark, d):
+    w = Window.partitionBy("file_id").orderBy("pos")
+    s = src.segments(spark, d, "pos", "bbox").withColumn("b", F.lead("bbox").over(w))
+    return s.select("file_id", "segment_id", tx.near_block(F.col("bbox"), F.col("b"), 792.0, 0.25, 0.3).alias("near"))
+
+
+_BID = "case when type in ('Header', 'Title', 'Paragraph', 'Text') then coalesce(" + ", ".join(f"case when regexp_extract(t, {sql('(?i)' + p)}, 1) <> '' then '{'Figure' if k == 'Picture' else k} ' || regexp_extract(t, {sql('(?i)' + p)}, 1) end" for k, p in lx.CATALOG_PATTERNS) + ") " + " ".join(f"when type = '{k}' and regexp_extract(t, {sql('(?i)' + p)}, 1) <> '' then '{'Figure' if k == 'Picture' else k} ' || regexp_extract(t, {sql('(?i)' + p)}, 1)" for k, p in lx.CATALOG_PATTERNS) + " end"
+
+
+@query(f"""with {SEG}, x as (select *, trim(coalesce(text, '')) as t from seg where type in ({', '.join(sql(t) for t in lx.CATALOG_TYPES)})), c as (select *, {_BID} as caption_id from x)
+ select file_id, caption_id, arg_max(segment_id, pos) as segment_id, arg_max(type, pos) as type from c where caption_id is not null group by 1, 2""")
+def ref_r1_block_catalog(spark, d):
+    return references.block_catalog(src.segments(spark, d, "pos", "type", "text", "page")).select("file_id", "caption_id", "segment_id", "type")
+
+
+def _chunks(spark, d, *columns):
+    return src.latest(src.table(spark, d, "chunks").select("chunk_id", *columns, "ingested_at"), ["chunk_id"])
+
+
+@query(None)
+def ref_r3_r4_references(spark, d):
+    s = src.segments(spark, d, "pos", "type", "text", "page")
+    c = _chunks(spark, d, "file_id", "content", "page_range").withColumn("page", F.coalesce(F.try_element_at("page_range", F.lit(1)), F.lit(0)))
+    found = references.mentions(c, "chunk_id", "content", ["file_id", "page"])
+    rows = references.resolve(found, references.block_catalog(s), references.page_blocks(s))
+    return rows.select("chunk_id", "ref_kind", "direction", "target_type", "ref_text", "target_segment_id", "confidence")
+
+
+@query(f"with {CHK} select chunk_id, unnest(regexp_extract_all(content, '(?i)(?:Figure|Table|Equation)\\s+[0-9]+[\\.0-9]*')) as ref_text from chk where content is not null")
+def ref_r5_plain_references(spark, d):
+    return _chunks(spark, d, "content").select("chunk_id", F.explode(F.regexp_extract_all("content", F.lit(r"(?iu)(?:Figure|Table|Equation)\s+[0-9]+[\.0-9]*"), 0)).alias("ref_text"))
+
+
+# tags, sentences, roles ------------------------------------------------------------------------------------------------
+
+
+@query(f"with {CHK} select chunk_id, {s_tags('content', lx.TAGS, 'im')} as tags from chk where content is not null")
+def tag_g1_tags(spark, d):
+    return _chunks(spark, d, "content").filter("content is not null").select("chunk_id", F.array_join(tx.tags(F.col("content")), ",").alias("tags"))
+
+
+@query(f"with {CHK} select chunk_id, {s_tags('content', lx.TAGS_EMBEDDING, 'i')} as tags from chk where content is not null")
+def tag_g1_tags_embedding(spark, d):
+    return _chunks(spark, d, "content").filter("content is not null").select("chunk_id", F.array_join(tx.tags(F.col("content"), lx.TAGS_EMBEDDING, lines=False), ",").alias("tags"))
+
+
+_SENT = f"s as (select chunk_id, heading_path, chunk_type, i - 1 as sentence_no, s[i] as sentence from (select *, unnest(range(1, len(s) + 1)) as i from (select chunk_id, heading_path, chunk_type, {s_sentences('content')} as s from chk where content is not null)))"
+
+
+def _sentences(spark, d):
+    c = _chunks(spark, d, "heading_path", "chunk_type", "content").filter("content is not null")
+    return c.select("chunk_id", "heading_path", "chunk_type", F.posexplode(tx.sentences(F.col("content"))).alias("sentence_no", "sentence"))
+
+
+@query(f"with {CHK}, {_SENT} select chunk_id, sentence_no::int as sentence_no, sentence from s")
+def tag_g3_sentences(spark, d):
+    return _sentences(spark, d).select("chunk_id", "sentence_no", "sentence")
+
+
+_IMP = f"coalesce(lower(regexp_replace({s_first('sentence')}, '[.,;:]+$', '')) in ({', '.join(sql(v) for v in lx.IMPERATIVE_VERBS)}), false)"
+_FORM = f"case when ends_with(trim(sentence), '?') then 'interrogative' when {_IMP} then 'imperative' when regexp_matches(sentence, '[=+\\-*/^]{{2,}}') or regexp_matches(sentence, '[\\p{{L}}\\p{{N}}_]+\\s*=\\s*[\\p{{L}}\\p{{N}}_]+') then 'formula' when length(trim(sentence)) < 10 then 'fragment' else 'declarative' end"
+
+
+@query(f"with {CHK}, {_SENT} select chunk_id, sentence_no::int as sentence_no, {_IMP} as imperative, {_FORM} as form from s")
+def tag_g2_g4_form(spark, d):
+    imp = tx.is_imperative(F.col("sentence"))
+    return _sentences(spark, d).select("chunk_id", "sentence_no", imp.alias("imperative"), tx.sentence_form(F.col("sentence"), imp).alias("form"))
+
+
+_HINT = "coalesce(" + ", ".join(f"case when contains(lower(heading_path), {sql(k)}) then {sql(r)} end" for k, r in lx.HEADING_ROLES.items()) + ")"
+
+
+@query(f"with {CHK} select chunk_id, {_HINT} as hint from chk")
+def tag_g6_heading_hint(spark, d):
+    return _chunks(spark, d, "heading_path").select("chunk_id", tx.heading_hint(F.col("heading_path")).alias("hint"))
+
+
+def _has(tag: str) -> str:
+    return s_match("sentence", lx.TAGS[tag], "im")
+
+
+_ALLOW = {
+    "mechanism": f"not regexp_matches(coalesce(heading_path, ''), '(?i)front\\s*matter') and not regexp_matches(lower(sentence), {sql(re2(chr(92) + 'b(?:chapter|author|text|preface|acknowledgment)' + chr(92) + 'b'))}) and chunk_type in ('explanation', 'example', 'paragraph')",
+    "assumption": f"(regexp_matches(sentence, {sql(re2('^' + chr(92) + 's*(?:Suppose|Assume|Imagine)' + chr(92) + 'b'))}) or chunk_type in ('exercise', 'question', 'example') or regexp_matches(coalesce(heading_path, ''), '(?i)exercise|problem|case') or {s_words('sentence')} <= 40)",
+    "procedure": f"({_IMP} or regexp_matches(lower(sentence), {sql(re2('^(?:first|second|next|then|finally)' + chr(92) + 'b'))}))",
+}
+_ROLE = (
+    f"case when {s_match('sentence', ['^(?:For example|For instance|e' + chr(92) + '.g' + chr(92) + '.|eg' + chr(92) + '.?)' + chr(92) + 'b'])} then 'example' when {s_match('sentence', ['^(?:In summary|Therefore|Thus|To summarize|Consequently)' + chr(92) + 'b'])} then 'conclusion' "
+    f"when {_FORM} = 'interrogative' then 'question' when {_has('reference')} then 'reference' when (length(trim(sentence)) < 15 and not {s_match('sentence', lx.SHORT_EXCEPTIONS)}) or {s_match('lower(sentence)', lx.BOILERPLATE)} then 'irrelevant' "
+    + " ".join(f"when {_has(r)}{' and ' + _ALLOW[r] if r in _ALLOW else ''} then '{r}'" for r in lx.ROLE_PRIORITY if r in lx.TAGS)
+    + f" else coalesce({_HINT}, 'explanation') end"
+)
+
+
+@query(f"with {CHK}, {_SENT} select chunk_id, sentence_no::int as sentence_no, {_ROLE} as role from s")
+def tag_g7_roles(spark, d):
+    s, imp = F.col("sentence"), tx.is_imperative(F.col("sentence"))
+    rows = _sentences(spark, d).withColumn("tags", tx.tags(s))
+    return rows.select("chunk_id", "sentence_no", tx.role(s, F.col("heading_path"), F.col("tags"), tx.sentence_form(s, imp), imp, F.col("chunk_type")).alias("role"))
+
+
+_KEYROLE = "case when contains(sentence, '?') then 'question' when contains(lower(sentence), 'for example') or contains(lower(sentence), 'e.g.') or regexp_matches(lower(sentence), '^example\\s+[0-9]+') then 'example' " + " ".join(f"when regexp_matches(lower(sentence), '{'|'.join(k)}') then '{r}'" for r, k in lx.EMBEDDING_ROLES) + " when regexp_matches(lower(sentence), '%|table|figure|exhibit') and length(sentence) > 20 then 'evidence' else 'explanation' end"
+
+
+@query(f"with {CHK}, {_SENT} select chunk_id, sentence_no::int as sentence_no, {_KEYROLE} as role from s")
+def tag_g7_roles_embedding(spark, d):
+    return _sentences(spark, d).select("chunk_id", "sentence_no", tx.role_by_keywords(F.col("sentence")).alias("role"))
+
+
+@query(f"""with {CHK}, {_SENT}, r as (select *, {_KEYROLE} as role from s), l as (select *, lag(role) over (partition by chunk_id order by sentence_no) as before from r),
+ g as (select *, sum(case when before is not null and role = 'explanation' and {s_words('sentence')} < 5 and before <> 'irrelevant' then 0 else 1 end) over (partition by chunk_id order by sentence_no) as g from l)
+ select chunk_id, min(sentence_no)::int as sentence_no, string_agg(sentence, ' ' order by sentence_no) as sentence, arg_min(role, sentence_no) as role from g group by chunk_id, g""")
+def tag_g11_fragments(spark, d):
+    return graph.merge_fragments(graph.sentence_roles(_chunks(spark, d, "content"), "chunk_id"), "chunk_id")
+
+
+@query(f"""with {SEG} select file_id, segment_id from seg where text is not null and length(trim(text)) >= 5 and ({s_match('lower(trim(text))', lx.OBJECTIVE_PATTERNS)} or
+ (list_filter(string_split_regex(lower(trim(text)), '\\s+'), lambda w: w <> '')[1] in ({', '.join(sql(v) for v in lx.OBJECTIVE_VERBS)}) and {s_words('lower(trim(text))')} > 3))""")
+def tag_g12_objectives(spark, d):
+    return src.segments(spark, d, "text").filter(tx.is_objective(F.col("text"))).select("file_id", "segment_id")
+
+
+@query(f"with {CHK} select chunk_id, case when len({s_sentences('content')}) <= 2 then content else array_to_string({s_sentences('content')}[-2:], ' ') end as tail from chk where content is not null")
+def tag_g13_last_sentences(spark, d):
+    return _chunks(spark, d, "content").filter("content is not null").select("chunk_id", tx.last_sentences(F.col("content"), 2).alias("tail"))
+
+
+# vectors ---------------------------------------------------------------------------------------------------------------
+
+
+@query("with v as (select vec_id, embedding::double[] as e, vec_id // 25 as doc from embeddings) select vec_id, round(list_cosine_similarity(lag(e) over (partition by doc order by vec_id), e), 6) as similarity from v qualify similarity is not null")
+def vec_e2_adjacent_cosine(spark, d):
+    v = src.table(spark, d, "embeddings").withColumn("doc", F.expr("vec_id div 25"))
+    rows = v.withColumn("similarity", F.round(vectors.cosine(F.lag("embedding").over(Window.partitionBy("doc").orderBy("vec_id")), F.col("embedding")), 6))
+    return rows.filter("similarity is not null").select("vec_id", "similarity")
+
+
+@query("""with v as (select vec_id, embedding::double[] as e, vec_id // 25 as doc from embeddings), s as (select *, list_cosine_similarity(lag(e) over (partition by doc order by vec_id), e) as sim from v qualify sim is not null),
+ a as (select *, coalesce(avg(sim) over (partition by doc order by vec_id rows between 3 preceding and 1 preceding), sim) as av from s) select vec_id, round(sim, 6) as similarity, round(av, 6) as avg_similarity from a where sim < 0.5 and (case when av > 0 then sim / av else 1.0 end) < 0.7""")
+def vec_e3_breakpoints(spark, d):
+    v = src.table(spark, d, "embeddings").withColumn("doc", F.expr("vec_id div 25"))
+    return vectors.breakpoints(v, "doc", "vec_id", "embedding").select("vec_id", F.round("similarity", 6).alias("similarity"), F.round("avg_similarity", 6).alias("avg_similarity"))
+
+
+@query("""with v as (select vec_id, label, embedding::double[] as e from embeddings), p as (select label::varchar as role, e from v qualify row_number() over (partition by label order by vec_id) <= 3),
+ s as (select vec_id, role, max(list_cosine_similarity(v.e, p.e)) as s from v cross join p group by all), b as (select vec_id, max(s) as s, min(role) filter (s = m) as role from (select *, max(s) over (partition by vec_id) as m from s) group by 1)
+ select vec_id, case when s >= 0.25 then role end as role, round(s, 3) as score from b""")
+def vec_e4_prototypes(spark, d):
+    v = src.table(spark, d, "embeddings")
+    first = F.row_number().over(Window.partitionBy("label").orderBy("vec_id"))
+    protos = v.withColumn("n", first).filter("n <= 3").select(F.col("label").cast("string").alias("role"), F.col("embedding").alias("proto"))
+    return vectors.refine_by_prototypes(v, "vec_id", "embedding", protos, threshold=0.25)
+
+
+@query("""with v as (select vec_id, embedding::double[] as e, label from embeddings) select a.label, any_value(n) as n, round(avg(list_cosine_similarity(a.e, b.e)), 6) as coherence from v a join v b on a.label = b.label and a.vec_id < b.vec_id
+ join (select label, count(*) as n from v group by 1) c on c.label = a.label group by a.label""")
+def vec_e5_coherence(spark, d):
+    return vectors.coherence(src.table(spark, d, "embeddings"), "label", "embedding").select("label", "n", F.round("coherence", 6).alias("coherence"))
+
+
+# chunks ----------------------------------------------------------------------------------------------------------------
+
+_SEGMENT = ("pos", "type", "text", "page", "bbox", "depth", "level", "column_index", "at_page_top", "at_page_bottom", "heading_path")
+
+
+@query(None)
+def chunk_k1_fold(spark, d):
+    rows = continuation.annotate(src.segments(spark, d, *_SEGMENT)).drop("prev", "skipped", "rules")
+    return chunking.place(chunking.fold_columns(rows))
+
+
+@query(f"""with {SEG}, b as (select file_id, segment_id, pos, row_number() over w as i, case when row_number() over w > 1 then case when heading_path is distinct from lag(heading_path) over w then 'heading_change'
+   when type in ('Table', 'Picture', 'Formula') then 'structure_' || lower(type) || '_start' when lag(type) over w in ('Table', 'Picture', 'Formula') then 'structure_' || lower(lag(type) over w) || '_end' end end as r from seg window w as (partition by file_id order by pos)),
+ g as (select *, sum((r is not null)::int) over (partition by file_id order by pos) as island from b), c as (select *, (row_number() over (partition by file_id, island order by pos) - 1) // 5 as part, row_number() over (partition by file_id, island order by pos) as k from g),
+ x as (select *, coalesce(r, case when k > 1 and (k - 1) % 5 = 0 then 'max_buffer' end) as split from c)
+ select file_id, segment_id, (sum((split is not null)::int) over (partition by file_id order by pos) + 1)::bigint as chunk_no, coalesce(split, 'none') as split_reason from x""")
+def chunk_k2_grouping(spark, d):
+    rows = chunking.group_adjacent(src.segments(spark, d, "pos", "type", "heading_path"))
+    return rows.select("file_id", "segment_id", F.col("chunk_no").cast("bigint").alias("chunk_no"), "split_reason")
+
+
+@query(None)
+def chunk_k3_k5_assembled(spark, d):
+    s = src.segments(spark, d, *_SEGMENT)
+    rows = continuation.annotate(s).drop("prev", "skipped", "rules")
+    return chunking.assemble(rows, chunking.place(chunking.fold_columns(rows))).drop("bbox")
+
+
+@query(None)
+def chunk_k6_objectives(spark, d):
+    c = _chunks(spark, d, "file_id", "chunk_no", "chunk_type", "content", "word_count", "heading_path").withColumn("content", F.coalesce("content", F.lit("")))
+    return chunking.regroup_objectives(c).filter("objective_no <> chunk_no").select("file_id", "chunk_no", "objective_no")
+
+
+@query(f"""with {CHK}, t as (select *, case when len({s_sentences("coalesce(content, '')")}) <= 2 then coalesce(content, '') else array_to_string({s_sentences("coalesce(content, '')")}[-2:], ' ') end as tail from chk),
+ p as (select *, lag(case when chunk_type not in ('header', 'picture', 'table') and content <> '' then tail end) over (partition by file_id order by chunk_no) as pv from t)
+ select file_id, chunk_no, case when chunk_type not in ('header', 'picture', 'table') and {s_words('pv')} > 5 then '[Previous context: ' || pv || ']' end as context_prefix from p""")
+def chunk_k7_overlap(spark, d):
+    c = _chunks(spark, d, "file_id", "chunk_no", "chunk_type", "content").withColumn("content", F.coalesce("content", F.lit("")))
+    return chunking.context_overlap(c).select("file_id", "chunk_no", "context_prefix")
+
+
+@query(f"""with {CHK}, c as (select file_id, chunk_no, chunk_type, heading_path, {s_words("coalesce(content, '')")} as wc from chk), m as (select *, row_number() over w as i, coalesce(chunk_type not in ('header', 'picture', 'table', 'list', 'formula') and wc < 50 and lead(heading_path) over w is not distinct from heading_path
+   and lead(chunk_type) over w in ('explanation', 'example') and wc + lead(wc) over w < 500, false) as can from c window w as (partition by file_id order by chunk_no)),
+ r as (select *, i - row_number() over (partition by file_id, can order by chunk_no) as run from m), o as (select *, can and row_number() over (partition by file_id, can, run order by chunk_no) % 2 = 1 as starts from r)
+ select file_id, chunk_no, starts as starts_pair, (case when coalesce(lag(starts) over w, false) then lag(chunk_no) over w else chunk_no end)::int as merged_no from o window w as (partition by file_id order by chunk_no)""")
+def chunk_k8_merge_short(spark, d):
+    c = _chunks(spark, d, "file_id", "chunk_no", "chunk_type", "heading_path", "content").withColumn("word_count", tx.word_count(F.coalesce("content", F.lit(""))))
+    return chunking.merge_short(c).select("file_id", "chunk_no", "starts_pair", F.col("merged_no").cast("int").alias("merged_no"))
+
+
+@query(None)
+def chunk_b7_bonded(spark, d):
+    s = src.segments(spark, d, *_SEGMENT)
+    rows = continuation.annotate(s).drop("prev", "skipped", "rules")
+    out = chunking.bond_captions(chunking.assemble(rows, chunking.place(chunking.fold_columns(rows))))
+    return out.filter("bonded").select("file_id", "chunk_no", "chunk_type", F.array_join("source_segments", ",").alias("segments"))
+
+
+@query(None)
+def flagship_chunks(spark, d):
+    """The canonical plan from parsed segments to chunks."""
+    out = pipeline.chunks(src.segments(spark, d, *_SEGMENT), src.toc(spark, d))
+    return out.select("file_id", "chunk_id", "heading_path", "chunk_type", "content", "context_prefix", F.array_join("tags", ",").alias("tags"), F.array_join("source_segments", ",").alias("source_segments"), "first_page", "last_page", "word_count", "is_cross_page", "continuation_type", "needs_review")
+
+
+@query(None)
+def embedding_plan_chunks(spark, d):
+    out = pipeline.embedding_chunks(src.segments(spark, d, *_SEGMENT))
+    return out.withColumn("tags", F.array_join("tags", ","))
+
+
+# graph and metrics -----------------------------------------------------------------------------------------------------
+
+
+@query(f"""with {CHK}, nx as (select file_id, chunk_id as src, lead(chunk_id) over (partition by file_id order by chunk_no) as dst, 'next' as edge_type from chk qualify dst is not null),
+ hd as (select file_id, heading_path, arg_max(chunk_id, chunk_no) as dst from chk where chunk_type = 'header' group by 1, 2),
+ up as (select file_id, chunk_id as src, case when chunk_type = 'header' then case when contains(heading_path, ' > ') then array_to_string(string_split(heading_path, ' > ')[:-2], ' > ') end else heading_path end as p from chk)
+ select file_id, src, dst, edge_type from nx union all select up.file_id, src, dst, 'part_of' from up join hd on hd.file_id = up.file_id and hd.heading_path = up.p where src <> dst""")
+def graph_k10_edges(spark, d):
+    return graph.edges(_chunks(spark, d, "file_id", "chunk_no", "chunk_type", "heading_path"))
+
+
+@query(f"""with {CHK} select doc_zone, chunk_type, count(*) as chunks, round(avg(word_count), 6) as avg_words, min(word_count)::int as min_words, max(word_count)::int as max_words, count(*) filter (coalesce(context_prefix, '') <> '') as with_overlap,
+ count(*) filter (is_cross_page) as cross_page, count(*) filter (continuation_type = 'full') as full_continuations, count(*) filter (continuation_type = 'partial') as partial_continuations, count(*) filter (needs_review) as needs_review from chk group by 1, 2""")
+def metrics_k11_by_type(spark, d):
+    c = _chunks(spark, d, "doc_zone", "chunk_type", "word_count", "context_prefix", "is_cross_page", "continuation_type", "needs_review")
+    return graph.metrics(c, ["doc_zone", "chunk_type"])
+
+
+@query(f"with {CHK} select doc_zone, chunk_type, grouping(doc_zone)::int as g1, grouping(chunk_type)::int as g2, count(*) as chunks, sum(word_count)::bigint as words from chk group by rollup (doc_zone, chunk_type)")
+def metrics_k11_rollup(spark, d):
+    c = _chunks(spark, d, "doc_zone", "chunk_type", "word_count")
+    return c.rollup("doc_zone", "chunk_type").agg(F.grouping("doc_zone").cast("int").alias("g1"), F.grouping("chunk_type").cast("int").alias("g2"), F.count(F.lit(1)).alias("chunks"), F.sum("word_count").alias("words"))
+
+
+@query(f"with {CHK} select tag, count(*) as n from (select unnest(tags) as tag from chk) group by 1")
+def metrics_k11_tags(spark, d):
+    return graph.tag_counts(_chunks(spark, d, "tags"))
+
+
+@query(f"""with {CHK}, {_SENT}, r as (select chunk_id, sentence_no, {_KEYROLE} as role from s), l as (select *, lag(role) over (partition by chunk_id order by sentence_no) is distinct from role as new from r),
+ f as (select chunk_id, count(*) as sentences, array_to_string((list(role order by sentence_no) filter (new))[:5], ' -> ') as flow from l group by 1), c as (select chunk_id, role, count(*) as n, min(sentence_no) as a from r group by 1, 2)
+ select chunk_id, sentences, flow, main_role from f join (select chunk_id, role as main_role from c qualify row_number() over (partition by chunk_id order by n desc, a) = 1) using (chunk_id)""")
+def metrics_k12_role_flow(spark, d):
+    return graph.role_flow(graph.sentence_roles(_chunks(spark, d, "content"), "chunk_id"), "chunk_id")
+
+
+@query("""with e as (select *, case when ts - lag(ts) over (partition by user_id order by ts) < interval 30 minute then 0 else 1 end as new from events), s as (select *, sum(new) over (partition by user_id order by ts rows between unbounded preceding and current row) as g from e)
+ select user_id, min(ts) as session_start, max(ts) + interval 30 minute as session_end, count(*) as n_events, round(sum(value), 4) as total from s group by user_id, g""")
+def stream_sessions(spark, d):
+    return session_windows(src.table(spark, d, "events"))
