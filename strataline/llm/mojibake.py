@@ -139,6 +139,9 @@ def _plain_cyrillic(s: str) -> bool:
     letters = [c for c in s if c.isalpha() and not c.isascii()]
     if not letters or any(not ("А" <= c <= "я" or c in "Ёё") for c in letters):
         return False
+    low = "".join(letters).lower()
+    if not regex.search("[аеёиоуыэюя]", low) or not regex.search("[^аеёиоуыэюяйьъ]", low):
+        return False
     return all(w.islower() or w.istitle() or w.isupper() for w in regex.findall(r"\p{L}+", s))
 
 
