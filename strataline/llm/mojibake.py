@@ -147,7 +147,8 @@ def _plain_cyrillic(s: str) -> bool:
 
 def _swapped(token: str, written: str, read: str) -> str | None:
     raw = _encode(token, read)
-    if raw is None:
+    high = _HIGH.findall(token)
+    if raw is None or len(high) > 3 and len(set(high)) == 1:  # one letter again and again is no text
         return None
     try:
         to = raw.decode(written)
