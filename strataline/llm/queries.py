@@ -75,9 +75,11 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     bad = p3_repaired(spark, d).filter(F.size("reasons") > 0).select("file_id", "segment_id")
     chunks = read(spark, d, "chunks", "chunk_id", "file_id", "source_segments", "content").filter(F.length("content") > 0)
     parts = chunks.select("chunk_id", "file_id", F.explode("source_segments").alias("segment_id")).join(scanned_files(spark, d, True), "file_id", "left_semi")
-    in_segments = bad.select(F.lit("flat_segments").alias("source_table"), F.concat_ws(":", F.col("file_id").cast("string"), "segment_id").alias("rec_key"))
-    in_chunks = parts.join(bad, ["file_id", "segment_id"], "left_semi").select(F.lit("chunks").alias("source_table"), F.col("chunk_id").alias("rec_key"))
-    return in_segments.unionByName(in_chunks).distinct()
+    # each bad segment is made once: a key for itself, and one for every chunk that holds it
+    rows = bad.join(parts, ["file_id", "segment_id"], "left")
+    own = F.struct(F.lit("flat_segments").alias("source_table"), F.concat_ws(":", F.col("file_id").cast("string"), "segment_id").alias("rec_key"))
+    chunk = F.struct(F.lit("chunks").alias("source_table"), F.col("chunk_id").alias("rec_key"))
+    return rows.select(F.explode(F.filter(F.array(own, chunk), lambda s: s["rec_key"].isNotNull())).alias("r")).select("r.*").distinct()
 
 
 # 4 boilerplate -------------------------------------------------------------------------------------------------------
