@@ -134,7 +134,8 @@ def language_rules(lang: str) -> list[Rule]:
         own.append(Rule(False, r"\bp\. ?ej\.", r"\s*\S"))
     if may := MAY.get(lang):
         own += [
-            Rule(False, rf"(?<![\p{{L}}\p{{N}}])(?:{_any(may)})\.", r"\s*(?:\p{Ll}(?!\p{Lu})(?!\p{Ll}{0,3}\p{Lu})|\p{N}|[,;:&(–-])"),
+            Rule(False, rf"(?<![\p{{L}}\p{{N}}])(?:{_any(may)})\.", r"\s*(?:\p{Ll}(?!\p{Lu})(?!\p{Ll}{0,3}\p{Lu})|[,;:&(–-])"),
+            Rule(False, r"(?<!\p{L})(?:\p{Lu}\p{Ll}{2,4})\.", r"\s+\d{1,2}(?:,|\s*[-–]\s*\d|\s+\d{4}\b)"),
             Rule(False, r"\bCo\.", r"\s+(?:Ltd|KG|Inc)\b"),
         ]
     own.append(Rule(False, r"\bal\.", r"\s*[(\[]"))
