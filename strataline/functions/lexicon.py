@@ -69,6 +69,19 @@ TAGS_EMBEDDING = {
     "example": [r"\bfor\s+example\b", r"\bfor\s+instance\b", r"\be\.g\.,"],
     "theorem": [r"^theorem\b", r"^lemma\b", r"^proof\b"],
 }
+# What the older tag tables have otherwise: weaker assumptions, fewer mechanisms; formulas, visual references and exercises.
+_WEAK_ASSUMPTION = [r"\bassume\s+(?:that|we)\b", r"\bassuming\b", r"\bgiven\s+that\b", r"\bsuppose\s+(?:that|we)\b", r"\bunder\s+the\s+assumption\b"]
+TAGS_LEGACY = TAGS | {"assumption": _WEAK_ASSUMPTION, "mechanism": [p for p in TAGS["mechanism"] if "portfolio" not in p]}
+TAGS_LEGACY_EMBEDDING = {k: v for k, v in TAGS.items() if k not in ("reference", "evidence", "interpretation", "conclusion", "mechanism", "contrast")} | {
+    "assumption": _WEAK_ASSUMPTION,
+    "formula": [r"\bequation\s+\d+", r"\bformula\s+(?:for|to)\b", r"\bwhere\s+[A-Z]\s*=", r"\b[A-Z]\s*=\s*[A-Z\d]", r"∑|∫|∂|√", r"\bderivative\s+of\b", r"\bintegral\s+of\b"],
+    "visual_ref": [r"\bfigure\s+\d+", r"\btable\s+\d+", r"\bexhibit\s+\d+", r"\bsee\s+(?:figure|table)\b", r"\bas\s+shown\s+in\b", r"\billustrated\s+in\b"],
+    "exercise": [r"^(?:Exercise|Problem|Question)\s*\d*", r"\bsolve\s+(?:the|for)\b", r"\bfind\s+the\s+value\b", r"\bcalculate\s+the\b", r"\bdetermine\s+(?:the|whether)\b"],
+}
+STRUCTURAL_HEADERS = [r"^(?:Chapter|Part|Section|Unit)\s+\d+", r"^\d+(?:\.\d+)*\s+[A-Z]", r"^(?:Appendix|Glossary|Index|Bibliography|References)", r"^(?:Summary|Conclusion|Introduction|Overview|Preface)"]
+TOC_PAGE_WORDS = ["contents", "table of contents", "index", "brief contents", "detailed contents"]
+HEADING_LABELS = ["heading", "header", "title", "section_header"]
+NOISE_LABELS = ["page_header", "page_footer", "footnote", "caption"]
 ROLE_PRIORITY = ["theorem", "definition", "assumption", "conclusion", "contrast", "comparison", "evidence", "procedure", "mechanism", "interpretation", "limitation", "application", "example"]
 HEADING_ROLES = {
     "example": "example", "case study": "example", "illustration": "example", "limitation": "limitation", "constraint": "limitation", "caveat": "limitation",

@@ -242,3 +242,25 @@ def near_block(a: Column, b: Column, height: float, distance: float, overlap: fl
 def context_text(path: Column, tag_list: Column, c: Column) -> Column:
     """[Path: ...] [Tags: ...] text, without the parts that are empty."""
     return F.concat_ws(" ", F.when(path != "", F.concat(F.lit("[Path: "), path, F.lit("]"))), F.when(F.size(tag_list) > 0, F.concat(F.lit("[Tags: "), F.array_join(tag_list, ", "), F.lit("]"))), c)
+
+
+def segment_type(label: Column, kind: Column, path: Column) -> Column:
+    """The type of a parsed item from its label, the name of its class and its heading path."""
+    lab, name = F.lower(F.coalesce(label, F.lit(""))), F.lower(F.coalesce(kind, F.lit("")))
+    objective = F.upper(F.coalesce(path, F.lit(""))).rlike("OBJECTIVES|LEARNING OBJECTIVE") & name.contains("list")
+    return (
+        F.when(objective, "LearningObjective").when(lab.rlike("|".join(lx.HEADING_LABELS)) & ~lab.rlike("|".join(lx.NOISE_LABELS)), "Header").when(lab.contains("caption"), "Caption")
+        .when(name.contains("table"), "Table").when(name.contains("list"), "ListItem").when(name.rlike("formula|equation"), "Formula").when(name.rlike("picture|image"), "Picture").otherwise("Paragraph")
+    )
+
+
+def is_structural_header(c: Column, kind: Column) -> Column:
+    """Whether a text is a heading of the structure: no caption, and worded or typed as a heading."""
+    t = F.trim(F.coalesce(c, F.lit("")))
+    return (t != "") & caption(t).isNull() & (matches(t, lx.STRUCTURAL_HEADERS) | F.coalesce(kind == "Header", F.lit(False)))
+
+
+def question_target(c: Column, role_of: Column, found: Column) -> Column:
+    """What a question refers to (its first figure, table ...); null for other sentences."""
+    target = F.regexp_extract(c, r"(?i)((?:figure|fig\.?|table|exhibit|equation|eq\.?)\s+[0-9.]+)", 1)
+    return F.when((role_of == "question") & F.array_contains(found, "reference"), target)

@@ -372,3 +372,26 @@ def group_adjacent(df: DataFrame, doc: str = "file_id", order: str = "pos", simi
 
 def root_of(path: Column) -> Column:
     return F.split(path, SEP)[0]
+
+
+def page_boxes(segments: DataFrame, placed: DataFrame, doc: str = "file_id") -> DataFrame:
+    """(doc, chunk_no, page, x0, y0, x1, y1): the box round a chunk's segments on each page."""
+    rows = placed.join(segments.select(doc, "pos", "page", "bbox"), [doc, "pos"]).filter((F.size("bbox") >= 4) & F.col("page").isNotNull())
+    b = F.col("bbox")
+    return rows.groupBy(doc, "chunk_no", "page").agg(F.min(b[0]).alias("x0"), F.min(b[1]).alias("y0"), F.max(b[2]).alias("x1"), F.max(b[3]).alias("y1"))
+
+
+def dominant_zone(rows: DataFrame, keys: list[str], zone: str = "doc_zone", order: str = "pos") -> DataFrame:
+    """(keys, doc_zone): the commonest zone (ties: the one seen first); body where none is stated."""
+    z = F.coalesce(zone, F.lit("body"))
+    counts = rows.groupBy(*keys, z.alias("z")).agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("at"))
+    return counts.groupBy(*keys).agg(F.max_by("z", F.struct("n", -F.col("at"))).alias("doc_zone"))
+
+
+def order_stats(after: DataFrame, doc: str = "file_id") -> DataFrame:
+    """(doc, moved, pages_reordered): segments that a reordering moved, and on how many pages. ``after`` has ``new_pos``."""
+    page = F.coalesce("page", F.lit(1))
+    rank = F.row_number().over(Window.partitionBy(doc, page).orderBy("pos"))
+    new = F.row_number().over(Window.partitionBy(doc, page).orderBy("new_pos"))
+    rows = after.withColumn("a", rank).withColumn("b", new).withColumn("p", page)
+    return rows.groupBy(doc).agg(F.count_if(F.col("a") != F.col("b")).alias("moved"), F.count_distinct(F.when(F.col("a") != F.col("b"), F.col("p"))).alias("pages_reordered"))

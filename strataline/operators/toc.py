@@ -170,3 +170,53 @@ def glossary_items(segments: DataFrame, doc: str = "file_id", order: str = "pos"
     name = F.when(F.col("pair"), F.trim(parts[0])).when(F.col("is_term"), F.col("head"))
     text = F.when(F.col("pair"), F.trim(parts[1])).when(F.col("is_term") & (body != ""), body)
     return group.select(doc, name.alias("term"), text.alias("definition")).filter("term is not null and definition is not null")
+
+
+def heuristic_entries(segments: DataFrame, doc: str = "file_id", most_pages: int = 35) -> DataFrame:
+    """(doc, source_page, pos, line_no, title, page): lines of the first pages that end in a page number, on pages with
+    more than five of them, or more than two and a keyword in the first 1000 characters."""
+    t = F.coalesce("text", F.lit(""))
+    rows = segments.filter(F.coalesce("page", F.lit(1)) <= most_pages).select(doc, F.coalesce("page", F.lit(1)).alias("source_page"), "pos", F.posexplode(F.split(t, "\n")).alias("line_no", "line"))
+    pattern = r"^(.*?)(?:[\s\.·\u00a0\u2001\u2003]{3,})?\s*([ivxIVX\d]+)$"
+    rows = rows.withColumn("page", F.regexp_extract("line", pattern, 2)).withColumn("title", F.trim(F.regexp_extract("line", pattern, 1)))
+    head = segments.filter("pos < 12").groupBy(doc, F.coalesce("page", F.lit(1)).alias("source_page")).agg(F.max(F.lower(F.substring(t, 1, 1000)).rlike("|".join(lx.TOC_PAGE_WORDS))).alias("word"))
+    counts = rows.groupBy(doc, "source_page").agg(F.count_if(F.col("page") != "").alias("n")).join(head, [doc, "source_page"], "left")
+    pages = counts.filter((F.col("n") > 5) | (F.coalesce("word", F.lit(False)) & (F.col("n") > 2))).select(doc, "source_page")
+    return rows.filter((F.col("page") != "") & (F.length("title") >= 2)).join(pages, [doc, "source_page"], "left_semi")
+
+
+def funnel(bookmarks: DataFrame, heuristic: DataFrame, doc: str = "file_id", least: int = 10, least_heuristic: int = 5) -> DataFrame:
+    """(doc, source, entries): which table a document goes by: its bookmarks if there are more than ten, else the lines
+    found in its text if more than five, else none."""
+    a = bookmarks.groupBy(doc).agg(F.count(F.lit(1)).alias("a"))
+    b = heuristic.groupBy(doc).agg(F.count(F.lit(1)).alias("b"))
+    rows = a.join(b, doc, "full").select(doc, F.coalesce("a", F.lit(0)).alias("a"), F.coalesce("b", F.lit(0)).alias("b"))
+    source = F.when(F.col("a") > least, "metadata").when(F.col("b") > least_heuristic, "heuristic_text").otherwise("fallback")
+    return rows.select(doc, source.alias("source"), F.when(source == "metadata", F.col("a")).when(source == "heuristic_text", F.col("b")).otherwise(0).alias("entries"))
+
+
+def gated_paths(segments: DataFrame, gates: DataFrame, doc: str = "file_id") -> DataFrame:
+    """``gated_path`` and ``doc_zone``: the ancestor stack with a reset where the body and the back matter start, and virtual
+    roots outside the body. Without a start all is body."""
+    rows = segments.join(gates, doc, "left")
+    at = (F.col("segment_id") == F.col("start_id")) | (F.col("segment_id") == F.col("end_id"))
+    rows = with_stack_path(rows, doc, [F.col("pos")], F.col("type") == "Header", F.col("level"), F.col("text"), reset=F.coalesce(at, F.lit(False)))
+    w = Window.partitionBy(doc).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    state = F.last(F.when(F.col("segment_id") == F.col("end_id"), "back").when(F.col("segment_id") == F.col("start_id"), "body"), ignorenulls=True).over(w)
+    rows = rows.withColumn("doc_zone", F.when(F.col("start_id").isNull(), "body").otherwise(F.coalesce(state, F.lit("front"))))
+    root = F.when(F.col("doc_zone") == "back", "Back Matter").when(F.col("doc_zone") == "front", "Front Matter")
+    return rows.withColumn("gated_path", F.concat_ws(SEP, root, F.when(F.col("path") != "", F.col("path")))).drop("path", "start_id", "end_id")
+
+
+def glossary_pages(segments: DataFrame, doc: str = "file_id") -> DataFrame:
+    """(doc, page): the page of a glossary title and those after it, up to one whose first 100 characters hold "index"
+    and short of the last page."""
+    page = F.coalesce("page", F.lit(0))
+    t = F.lower(F.trim(F.coalesce("text", F.lit(""))))
+    pages = segments.groupBy(doc, page.alias("page")).agg(F.max(t.isin("glossary", "glossary of terms")).alias("title"), F.min_by(F.substring(t, 1, 100), "pos").alias("top"))
+    first = pages.groupBy(doc).agg(F.min(F.when(F.col("title"), F.col("page"))).alias("a"), F.max("page").alias("z"))
+    rows = pages.join(first.filter("a is not null"), doc)
+    stop = rows.filter((F.col("page") > F.col("a")) & F.col("top").contains("index")).groupBy(doc).agg(F.min("page").alias("s"))
+    rows = rows.join(stop, doc, "left")
+    keep = (F.col("page") == F.col("a")) | ((F.col("page") > F.col("a")) & (F.col("page") < F.coalesce("s", F.col("z"))))
+    return rows.filter(keep).select(doc, "page")

@@ -196,6 +196,37 @@ def parse_p6_toc_pruning(spark, d):
     return rows.filter(F.col("has_children") | (F.length("title") >= 5)).select("file_id", "entry_id", "level", "has_children")
 
 
+@query(None)
+def toc_t1_funnel(spark, d):
+    return toc.funnel(src.toc(spark, d), toc.heuristic_entries(src.segments(spark, d, "pos", "page", "text")))
+
+
+@query(None)
+def toc_t2_heuristic_entries(spark, d):
+    return toc.heuristic_entries(src.segments(spark, d, "pos", "page", "text")).select("file_id", "source_page", "pos", "title", "page")
+
+
+@query(None)
+def layout_l8_gated_paths(spark, d):
+    s = src.segments(spark, d, "pos", "page", "type", "level", "text")
+    return toc.gated_paths(s, toc.gate(s, toc.toc_pages(s))).select("file_id", "segment_id", "gated_path", "doc_zone")
+
+
+@query(f"""with {SEG}, pg as (select file_id, coalesce(page, 0) as page, bool_or(lower(trim(coalesce(text, ''))) in ('glossary', 'glossary of terms')) as title, arg_min(substring(lower(trim(coalesce(text, ''))), 1, 100), pos) as top from seg group by all),
+ f as (select file_id, min(page) filter (title) as a, max(page) as z from pg group by 1 having a is not null), st as (select pg.file_id, min(page) as s from pg join f using (file_id) where page > a and contains(top, 'index') group by 1)
+ select pg.file_id, page::int as page from pg join f using (file_id) left join st using (file_id) where page = a or (page > a and page < coalesce(s, z))""")
+def toc_t15_glossary_pages(spark, d):
+    return toc.glossary_pages(src.segments(spark, d, "pos", "page", "text"))
+
+
+@query(f"""with {SEG} select file_id, segment_id, case when regexp_matches(upper(coalesce(heading_path, '')), 'OBJECTIVES|LEARNING OBJECTIVE') and contains(lower(type), 'list') then 'LearningObjective'
+  when regexp_matches(lower(type), '{"|".join(lx.HEADING_LABELS)}') and not regexp_matches(lower(type), '{"|".join(lx.NOISE_LABELS)}') then 'Header' when contains(lower(type), 'caption') then 'Caption' when contains(lower(type), 'table') then 'Table' when contains(lower(type), 'list') then 'ListItem'
+  when regexp_matches(lower(type), 'formula|equation') then 'Formula' when regexp_matches(lower(type), 'picture|image') then 'Picture' else 'Paragraph' end as kind from seg where type is not null""")
+def parse_p1_segment_type(spark, d):
+    s = src.segments(spark, d, "type", "heading_path").filter("type is not null")
+    return s.select("file_id", "segment_id", tx.segment_type(F.col("type"), F.col("type"), F.col("heading_path")).alias("kind"))
+
+
 # layout ----------------------------------------------------------------------------------------------------------------
 
 
@@ -508,6 +539,23 @@ def ref_r5_plain_references(spark, d):
     return _chunks(spark, d, "content").select("chunk_id", F.explode(F.regexp_extract_all("content", F.lit(r"(?iu)(?:Figure|Table|Equation)\s+[0-9]+[\.0-9]*"), 0)).alias("ref_text"))
 
 
+@query(f"""with {SEG}, x as (select file_id, segment_id, type, trim(coalesce(text, '')) as t from seg), c as (select *, case when {s_words('t')} <= 40 then case {_CAPS} end end as caption_id from x)
+ select file_id, segment_id from c where t <> '' and caption_id is null and ({s_match('t', lx.STRUCTURAL_HEADERS)} or type = 'Header')""")
+def ref_b2_structural_headers(spark, d):
+    return src.segments(spark, d, "text", "type").filter(tx.is_structural_header(F.col("text"), F.col("type"))).select("file_id", "segment_id")
+
+
+@query(None)
+def ref_b3_nearby_captions(spark, d):
+    s = src.segments(spark, d, "pos", "type", "page", "text")
+    w = Window.partitionBy("file_id").orderBy("pos")
+    s = s.withColumn("c", F.struct("segment_id", "page", tx.caption(F.col("text")).isNotNull().alias("is_caption")))
+    near = F.array(*[F.lag("c", k).over(w) for k in (1, 2, 3)], *[F.lead("c", k).over(w) for k in (1, 2, 3)])
+    hit = F.filter(near, lambda c: F.coalesce(c["is_caption"] & (c["page"] == F.col("page")), F.lit(False)))
+    s = s.withColumn("near", F.try_element_at(hit, F.lit(1))).filter("type in ('Table', 'Picture', 'Formula') and near is not null")
+    return s.select("file_id", "segment_id", F.col("near.segment_id").alias("caption_segment_id"))
+
+
 # tags, sentences, roles ------------------------------------------------------------------------------------------------
 
 
@@ -521,6 +569,16 @@ def tag_g1_tags_embedding(spark, d):
     return _chunks(spark, d, "content").filter("content is not null").select("chunk_id", F.array_join(tx.tags(F.col("content"), lx.TAGS_EMBEDDING, lines=False), ",").alias("tags"))
 
 
+@query(f"with {CHK} select chunk_id, {s_tags('content', lx.TAGS_LEGACY, 'im')} as tags from chk where content is not null")
+def tag_g1_tags_legacy(spark, d):
+    return _chunks(spark, d, "content").filter("content is not null").select("chunk_id", F.array_join(tx.tags(F.col("content"), lx.TAGS_LEGACY), ",").alias("tags"))
+
+
+@query(f"with {CHK} select chunk_id, {s_tags('content', lx.TAGS_LEGACY_EMBEDDING, 'im')} as tags from chk where content is not null")
+def tag_g1_tags_legacy_embedding(spark, d):
+    return _chunks(spark, d, "content").filter("content is not null").select("chunk_id", F.array_join(tx.tags(F.col("content"), lx.TAGS_LEGACY_EMBEDDING), ",").alias("tags"))
+
+
 _SENT = f"s as (select chunk_id, heading_path, chunk_type, i - 1 as sentence_no, s[i] as sentence from (select *, unnest(range(1, len(s) + 1)) as i from (select chunk_id, heading_path, chunk_type, {s_sentences('content')} as s from chk where content is not null)))"
 
 
@@ -579,6 +637,14 @@ def tag_g7_roles(spark, d):
 _KEYROLE = "case when contains(sentence, '?') then 'question' when contains(lower(sentence), 'for example') or contains(lower(sentence), 'e.g.') or regexp_matches(lower(sentence), '^example\\s+[0-9]+') then 'example' " + " ".join(f"when regexp_matches(lower(sentence), '{'|'.join(k)}') then '{r}'" for r, k in lx.EMBEDDING_ROLES) + " when regexp_matches(lower(sentence), '%|table|figure|exhibit') and length(sentence) > 20 then 'evidence' else 'explanation' end"
 
 
+@query(None)
+def tag_g10_question_targets(spark, d):
+    s, imp = F.col("sentence"), tx.is_imperative(F.col("sentence"))
+    rows = _sentences(spark, d).filter(F.col("sentence").endswith("?")).withColumn("tags", tx.tags(s))
+    rows = rows.withColumn("role", tx.role(s, F.col("heading_path"), F.col("tags"), tx.sentence_form(s, imp), imp, F.col("chunk_type")))
+    return rows.withColumn("target", tx.question_target(s, F.col("role"), F.col("tags"))).filter("target is not null").select("chunk_id", "sentence_no", "target")
+
+
 @query(f"with {CHK}, {_SENT} select chunk_id, sentence_no::int as sentence_no, {_KEYROLE} as role from s")
 def tag_g7_roles_embedding(spark, d):
     return _sentences(spark, d).select("chunk_id", "sentence_no", tx.role_by_keywords(F.col("sentence")).alias("role"))
@@ -707,6 +773,27 @@ def embedding_plan_chunks(spark, d):
     return out.withColumn("tags", F.array_join("tags", ","))
 
 
+@query(None)
+def chunk_k13_page_boxes(spark, d):
+    rows = continuation.annotate(src.segments(spark, d, *_SEGMENT)).drop("prev", "skipped", "rules")
+    return chunking.page_boxes(rows, chunking.place(chunking.fold_columns(rows)))
+
+
+@query(f"""with {CHK}, c as (select file_id, coalesce(doc_zone, 'body') as z, count(*) as n, min(chunk_no) as a from chk group by 1, 2) select file_id, z as doc_zone from c qualify row_number() over (partition by file_id order by n desc, a) = 1""")
+def chunk_k14_dominant_zone(spark, d):
+    return chunking.dominant_zone(_chunks(spark, d, "file_id", "chunk_no", "doc_zone"), ["file_id"], order="chunk_no")
+
+
+@query(None)
+def metrics_k15_order_stats(spark, d):
+    return chunking.order_stats(layout.reading_order(src.segments(spark, d, "pos", "page", "bbox", "column_index")))
+
+
+@query(f"with {CHK} select file_id, chunk_no, chunk_type from chk where coalesce(doc_zone, 'body') <> 'front'")
+def chunk_k16_front_matter_stripped(spark, d):
+    return _chunks(spark, d, "file_id", "chunk_no", "chunk_type", "doc_zone").filter(F.coalesce("doc_zone", F.lit("body")) != "front").select("file_id", "chunk_no", "chunk_type")
+
+
 # graph and metrics -----------------------------------------------------------------------------------------------------
 
 

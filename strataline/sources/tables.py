@@ -81,3 +81,15 @@ def markdown_headings(df: DataFrame, key: str, text: str) -> DataFrame:
 
 def box(c: str | Column, i: int) -> Column:
     return (F.col(c) if isinstance(c, str) else c)[i]
+
+
+def pdf_files(spark: SparkSession, folder: str) -> DataFrame:
+    """PDF files of a folder: path, modification time, length, content. For a parser as a plug-in (``mapInPandas``)."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf").load(folder)
+
+
+def role_prototypes(spark: SparkSession, path: str) -> DataFrame:
+    """(role, example) of a prototype library in JSON: prototypes by role, each with examples."""
+    shape = "prototypes map<string, struct<description: string, examples: array<string>>>"
+    rows = spark.read.schema(shape).option("multiLine", True).json(path).select(F.explode("prototypes").alias("role", "p"))
+    return rows.select("role", F.explode("p.examples").alias("example"))
