@@ -137,3 +137,28 @@ EMBEDDING_ROLES = [
 # Weights of the continuation score, in the order in which they are added.
 CONTINUATION_WEIGHTS = {"position": 0.15, "column": 0.10, "hyphen": 0.20, "open_clause": 0.15, "fragment": 0.10, "start": 0.15, "start_lowercase": 0.105, "same_path": 0.05, "same_type": 0.05, "incomplete": 0.40, "incomplete_lowercase": 0.30, "list_split": 0.50}
 CONTINUATION_WEIGHTS_LEGACY = CONTINUATION_WEIGHTS | {"incomplete": 0.05, "incomplete_lowercase": 0.20, "list_split": 0.0}
+
+# Roles of the older embedding profile, in order: role, patterns on the text in small letters, patterns on the text as it is.
+EVIDENCE = [*TAGS["evidence"][:6], r"\b(?:CI|confidence\s+interval)\s*[=:\s]*", TAGS["evidence"][6], r"\b(?:ratio|rate|yield)\s+(?:of|is|was|=)\s*[\d.]+"]
+ROLE_STAGES = [
+    ("assumption", [r"\b(assume|assuming|given\s+that|suppose|provided\s+that|let\s+\w+\s+(?:be|equal|denote))\b"], [r"^(?:Suppose|Assume|Given|Let)\b"]),
+    ("conclusion", [r"\b(therefore|thus|hence|in\s+conclusion|as\s+a\s+result|consequently|to\s+summarize|in\s+summary|the\s+takeaway)\b"], []),
+    ("comparison", [r"\b(compared?\s+to|in\s+contrast|unlike|whereas|similarly|on\s+the\s+other\s+hand)\b", r"\b(more|less|greater|smaller|higher|lower|better|worse)\s+than\b"], [r"^(?:Unlike|Whereas|Similarly|In\s+contrast|Compared)\b"]),
+    ("evidence", [], []),
+    ("procedure", [r"\b(?:step\s+\d+|algorithm|methodology|follow\s+these\s+steps)\b"], [r"^(?:Step\s+\d|First,|Second,|Third,|Finally,|Next,|Then,)\s"]),
+    ("definition", [r"\bis\s+(?:defined\s+as|the\s+\w+\s+(?:of|that))\b", r"\brefers?\s+to\b", r"\bmeans?\s+that\b"], [r"^[A-Z][a-z]+\s+is\s+a\s+(?:measure|type|form|kind|method|process)\b"]),
+    ("formula", [r"\bequation\b", r"\bformula\b"], [r"[A-Z]\s*=\s*[A-Z\d(]", r"[=+*/^]{2,}"]),
+    ("interpretation", [r"\b(this\s+(?:means|implies|suggests|indicates)|in\s+other\s+words|effectively|the\s+implication)\b"], []),
+    ("mechanism", [r"\b(mechanism|works?\s+by|functions?\s+by|how\s+\w+\s+works?)\b"], []),
+    ("limitation", [r"\b(limitation|constraint|caveat|does\s+not\s+(?:apply|work)|cannot\s+be\s+used|only\s+(?:works?|applies?)\s+(?:when|if|for))\b"], []),
+    ("application", [r"\b(in\s+practice|applies?\s+to|used\s+(?:in|for|by)|practical|real-world|practitioners?)\b"], []),
+    ("example", [r"\b(for\s+example|for\s+instance|such\s+as|consider\s+(?:a|the|this))\b", r"\be\.g\.\w"], [r"^(?:Consider|To\s+illustrate|As\s+an\s+example)\b"]),
+]
+STAGE_BOILERPLATE = [r"^\s*(see\s+(?:also|below|above)|page\s+\d+|continued|ibid)\s*$", r"\b(?:http|www\.\w|\.com|\.org)\b", r"\b(?:all\s+rights\s+reserved|copyright)\b"]
+STAGE_REFERENCES = [r"(?i)(?:see|shown\s+in|as\s+in|from|per|refer\s+to|illustrated\s+in)\s+(?:Figure|Table|Exhibit)\s+\d", r"(?:Figure|Table|Exhibit)\s+\d+\s+(?:shows|presents|illustrates|displays|summarizes)", r"\((?:see\s+)?(?:Figure|Table|Exhibit)\s+\d+(?:\.\d+)?\)"]
+NOT_IN_CONTEXT = {
+    "example": [r"^\s*the\s+following\b", r"^\s*note\s+that\b"], "definition": [r"\bin\s+this\s+case\b", r"\bfor\s+example\b"],
+    "formula": [r"\b\d+[- ](?:year|month|day|week|page|edition|class)\b", r"\b(?:pp\.|pages?)\s+\d+\b", r"\b(?:19|20)\d{2}\b", r"^[A-Z]\.\s"],
+    "mechanism": [r"^(?:therefore|thus|hence|consequently)\b", r"\b(?:see|refer\s+to|illustrated\s+in)\b", r"\bthe\s+(?:lesson|summary|takeaway)\b"],
+    "conclusion": [r"\bfor\s+example\b", r"\bif\s+we\s+assume\b"],
+}

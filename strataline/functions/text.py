@@ -264,3 +264,41 @@ def question_target(c: Column, role_of: Column, found: Column) -> Column:
     """What a question refers to (its first figure, table ...); null for other sentences."""
     target = F.regexp_extract(c, r"(?i)((?:figure|fig\.?|table|exhibit|equation|eq\.?)\s+[0-9.]+)", 1)
     return F.when((role_of == "question") & F.array_contains(found, "reference"), target)
+
+
+def role_legacy(c: Column, path: Column, found: Column, form: Column, imperative: Column, kind: Column) -> Column:
+    """The older cascade: no overrides, entities or rules for assumptions. ``found``: tags by ``TAGS_LEGACY``."""
+    low = F.lower(c)
+    short = (F.length(F.trim(c)) < 15) & ~matches(c, lx.SHORT_EXCEPTIONS)
+    allow = {
+        "mechanism": ~F.coalesce(path, F.lit("")).rlike(r"(?i)front\s*matter") & ~c.rlike(java(r"\bNote:|\bMcGraw\s*Hill\b")) & kind.isin("explanation", "example", "paragraph"),
+        "procedure": imperative | low.rlike(java(r"^(?:first|second|next|then|finally)\b")),
+    }
+    out = F.when(form == "interrogative", "question").when(F.array_contains(found, "reference"), "reference").when(short | matches(low, lx.BOILERPLATE), "irrelevant")
+    for r in lx.ROLE_PRIORITY:
+        has = F.array_contains(found, r)
+        out = out.when(has & F.coalesce(allow[r], F.lit(False)) if r in allow else has, r)
+    return out.otherwise(F.coalesce(heading_hint(path), F.lit("explanation")))
+
+
+def role_by_stages(c: Column, path: Column, imperative: Column, last: Column | None = None) -> Column:
+    """The older embedding profile's role, without the sentence before: stages in order, then filters by context, then
+    the heading. ``last`` marks a chunk's last sentence, where closing words conclude."""
+    low, t = F.lower(c), F.trim(c)
+    last = F.lit(False) if last is None else last
+    hit = {r: (matches(low, a, "ud") if a else F.lit(False)) | (matches(c, b, "ud") if b else F.lit(False)) for r, a, b in lx.ROLE_STAGES}
+    hit["evidence"] = matches(c, lx.EVIDENCE)
+    hit["conclusion"] = hit["conclusion"] | (last & matches(low, [r"\b(overall|ultimately|finally)\b"], "ud"))
+    does = low.rlike(java(r"\b(calculate|compute|determine|solve|find|use|apply|enter|click|select)\b"))
+    hit["procedure"] = hit["procedure"] | (imperative & (word_count(t) >= 8) & does)
+    hit["evidence"], formula = hit["evidence"] & ~hit["formula"], hit["evidence"] & hit["formula"]
+    stage = F.when(c.rlike("|".join(f"(?:{p})" for p in lx.STAGE_REFERENCES)), "reference").when((F.length(t) < 10) & ~matches(c, lx.SHORT_EXCEPTIONS), "irrelevant")
+    for r, _, _ in lx.ROLE_STAGES:
+        stage = stage.when(formula, "formula").when(hit[r], r) if r == "evidence" else stage.when(hit[r], r)
+    stage = stage.otherwise("explanation")
+    barred = F.lit(False)
+    for r, p in lx.NOT_IN_CONTEXT.items():
+        barred = barred | ((stage == r) & matches(low, p, "ud"))
+    stage = F.when(barred, "explanation").otherwise(stage)
+    final = F.when(t.endswith("?"), "question").when(matches(low, lx.STAGE_BOILERPLATE, "ud"), "irrelevant").otherwise(stage)
+    return F.when(final == "explanation", F.coalesce(heading_hint(path), final)).otherwise(final)

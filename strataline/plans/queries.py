@@ -637,6 +637,35 @@ def tag_g7_roles(spark, d):
 _KEYROLE = "case when contains(sentence, '?') then 'question' when contains(lower(sentence), 'for example') or contains(lower(sentence), 'e.g.') or regexp_matches(lower(sentence), '^example\\s+[0-9]+') then 'example' " + " ".join(f"when regexp_matches(lower(sentence), '{'|'.join(k)}') then '{r}'" for r, k in lx.EMBEDDING_ROLES) + " when regexp_matches(lower(sentence), '%|table|figure|exhibit') and length(sentence) > 20 then 'evidence' else 'explanation' end"
 
 
+def _had(tag: str) -> str:
+    return s_match("sentence", lx.TAGS_LEGACY[tag], "im")
+
+
+_ALLOW_LEGACY = {"mechanism": f"not regexp_matches(coalesce(heading_path, ''), '(?i)front\\s*matter') and not {s_match('sentence', [chr(92) + 'bNote:', chr(92) + 'bMcGraw' + chr(92) + 's*Hill' + chr(92) + 'b'], 's')} and chunk_type in ('explanation', 'example', 'paragraph')", "procedure": _ALLOW["procedure"]}
+_ROLE_LEGACY = (
+    f"case when {_FORM} = 'interrogative' then 'question' when {_had('reference')} then 'reference' when (length(trim(sentence)) < 15 and not {s_match('sentence', lx.SHORT_EXCEPTIONS)}) or {s_match('lower(sentence)', lx.BOILERPLATE)} then 'irrelevant' "
+    + " ".join(f"when {_had(r)}{' and ' + _ALLOW_LEGACY[r] if r in _ALLOW_LEGACY else ''} then '{r}'" for r in lx.ROLE_PRIORITY if r in lx.TAGS)
+    + f" else coalesce({_HINT}, 'explanation') end"
+)
+
+
+@query(f"with {CHK}, {_SENT} select chunk_id, sentence_no::int as sentence_no, {_ROLE_LEGACY} as role from s")
+def tag_g7_roles_legacy(spark, d):
+    s, imp = F.col("sentence"), tx.is_imperative(F.col("sentence"))
+    rows = _sentences(spark, d).withColumn("tags", tx.tags(s, lx.TAGS_LEGACY))
+    return rows.select("chunk_id", "sentence_no", tx.role_legacy(s, F.col("heading_path"), F.col("tags"), tx.sentence_form(s, imp), imp, F.col("chunk_type")).alias("role"))
+
+
+@query(None)
+def tag_g7_roles_by_stages(spark, d):
+    s, imp = F.col("sentence"), tx.is_imperative(F.col("sentence"))
+    w = Window.partitionBy("chunk_id").orderBy("sentence_no")
+    rows = _sentences(spark, d).withColumn("last", F.lead("sentence_no").over(w).isNull())
+    rows = rows.withColumn("role", tx.role_by_stages(s, F.col("heading_path"), imp, F.col("last")))
+    after = (F.col("role") == "explanation") & (F.lag("role").over(w) == "example") & imp & (tx.word_count(s) >= 10)
+    return rows.select("chunk_id", "sentence_no", F.when(F.coalesce(after, F.lit(False)), "procedure").otherwise(F.col("role")).alias("role"))
+
+
 @query(None)
 def tag_g10_question_targets(spark, d):
     s, imp = F.col("sentence"), tx.is_imperative(F.col("sentence"))
