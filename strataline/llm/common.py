@@ -32,3 +32,13 @@ def scanned_files(spark: SparkSession, sf_dir: str, used: bool) -> DataFrame:
 
 def text_or_empty(c: str | Column) -> Column:
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
+
+
+#: Most file ids that are broadcast (16 MB of them); beyond it a semi-join shuffles.
+BROADCAST_FILES = 2_000_000
+
+
+def of_files(df: DataFrame, files: DataFrame, key: str = "file_id", most: int = BROADCAST_FILES) -> DataFrame:
+    """Rows of the given files. The ids are counted first: up to ``most`` they are broadcast, so that no text is
+    shuffled for the sake of a filter; more are met by a shuffled semi-join."""
+    return df.join(F.broadcast(files) if files.count() <= most else files, key, "left_semi")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataline.llm import boilerplate, encoding, leakage, mojibake, quality, scans, sentences, splitting, unify
-from strataline.llm.common import read, scanned_files
+from strataline.llm.common import of_files, read, scanned_files
 
 PROSE_TYPES = ("explanation", "definition", "example", "procedure")
 
@@ -18,7 +18,7 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     """Sentence spans of the prose chunks of files that weren't scanned."""
     chunks = read(spark, d, "chunks", "chunk_id", "file_id", "chunk_type", "content", "needs_review")
     chunks = chunks.filter(F.col("chunk_type").isin(*PROSE_TYPES) & (F.col("needs_review") == F.lit(False)) & F.col("content").isNotNull())
-    rows = chunks.join(scanned_files(spark, d, False), "file_id", "left_semi")
+    rows = of_files(chunks, scanned_files(spark, d, False))
     spans = rows.select("chunk_id", F.explode(sentences.sentence_spans(F.col("content"))).alias("s"))
     return spans.select("chunk_id", F.col("s.start_char").alias("start_char"), F.col("s.end_char").alias("end_char")).distinct()
 
@@ -39,7 +39,7 @@ def p2_quality(spark: SparkSession, d: str) -> DataFrame:
     labels = read(spark, d, "labels", "chunk_id", "kind", "labelled_at")
     known = quality.known_words(chunks)
     model = quality.train(chunks, labels, known)
-    waiting = chunks.filter(F.col("needs_review") == F.lit(True)).select("chunk_id", "file_id", "content").join(scanned_files(spark, d, False), "file_id", "left_semi")
+    waiting = of_files(chunks.filter(F.col("needs_review") == F.lit(True)).select("chunk_id", "file_id", "content"), scanned_files(spark, d, False))
     return quality.with_quality(waiting, model, known).distinct()
 
 
@@ -64,17 +64,17 @@ def p3_repaired(spark: SparkSession, d: str) -> DataFrame:
     columns = ["file_id", "segment_id", "pos", "type", "level", "page", "heading_path", "text", "ingested_at"]
     segments = read(spark, d, "flat_segments", *columns)
     scanned, clean = scanned_files(spark, d, True), scanned_files(spark, d, False)
-    words = scans.clean_words(segments.select("file_id", "text").join(clean, "file_id", "left_semi"))
+    words = scans.clean_words(of_files(segments.select("file_id", "text"), clean))
     lines, repeated = _site_lines(spark, d)
-    site = boilerplate.mark_repeated(lines.join(scanned, "file_id", "left_semi"), repeated)
-    return scans.mend_segments(segments.join(scanned, "file_id", "left_semi"), site.select("file_id", "segment_id", "line_no"), words)
+    site = boilerplate.mark_repeated(of_files(lines, scanned), repeated)
+    return scans.mend_segments(of_files(segments, scanned), site.select("file_id", "segment_id", "line_no"), words)
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     """Segments that hold scan noise, and the chunks whose content is made from them."""
     bad = p3_repaired(spark, d).filter(F.size("reasons") > 0).select("file_id", "segment_id")
     chunks = read(spark, d, "chunks", "chunk_id", "file_id", "source_segments", "content").filter(F.length("content") > 0)
-    parts = chunks.select("chunk_id", "file_id", F.explode("source_segments").alias("segment_id")).join(scanned_files(spark, d, True), "file_id", "left_semi")
+    parts = of_files(chunks, scanned_files(spark, d, True)).select("chunk_id", "file_id", F.explode("source_segments").alias("segment_id"))
     # each bad segment is made once: a key for itself, and one for every chunk that holds it
     rows = bad.join(parts, ["file_id", "segment_id"], "left")
     own = F.struct(F.lit("flat_segments").alias("source_table"), F.concat_ws(":", F.col("file_id").cast("string"), "segment_id").alias("rec_key"))
@@ -110,7 +110,7 @@ def p5_records(spark: SparkSession, d: str) -> DataFrame:
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     """Pairs of records of one file that look the same in different characters."""
-    records = p5_records(spark, d).join(scanned_files(spark, d, False), "file_id", "left_semi")
+    records = of_files(p5_records(spark, d), scanned_files(spark, d, False))
     return unify.look_alike_pairs(records, "file_id", "rec_key", "text")
 
 
