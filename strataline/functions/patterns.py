@@ -13,6 +13,9 @@ _LOOK = rf"(?:(?<!{_LETTER})(?={_LETTER})|(?<={_LETTER})(?!{_LETTER}))"
 
 
 def java(pattern: str) -> str:
+    """A leading \\b stands before a letter or digit in all patterns here, so it only looks back."""
+    if pattern.startswith(r"\b"):
+        return rf"(?<!{_LETTER})" + java(pattern[2:])
     return pattern.replace(r"\b", _LOOK).replace(r"\w", _LETTER)
 
 

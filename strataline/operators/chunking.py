@@ -255,27 +255,32 @@ def assemble(segments: DataFrame, placed: DataFrame, doc: str = "file_id") -> Da
 
 def bond_captions(chunks: DataFrame, doc: str = "file_id", reach: int = 3) -> DataFrame:
     """Captions left alone join the nearest block without one: of the three before, else of the three after, on the same
-    or a neighbouring page. One block takes one caption, the earliest. The caption's text stands before the block's."""
+    or a neighbouring page. One block takes one caption, the earliest. The caption's text stands before the block's.
+
+    Two passes over the order of a document, no join: each caption finds its block, then each block the captions
+    within reach that found it. Captions of one block lie within twice the reach of each other.
+    """
     w = Window.partitionBy(doc).orderBy("chunk_no")
     block = F.col("chunk_type").isin("table", "picture", "formula") & ~F.coalesce(F.col("bonded"), F.lit(False))
     orphan = F.col("chunk_type").isin("explanation", "header") & tx.caption(F.split(F.col("content"), "\n")[0]).isNotNull()
-    info = F.struct("chunk_no", "first_page", "last_page", block.alias("block"))
-    rows = chunks.withColumn("__i", info).withColumn("__orphan", F.coalesce(orphan, F.lit(False)))
-    near = lambda c: c["block"] & (c["first_page"] <= F.col("last_page") + 1) & (c["last_page"] >= F.col("first_page") - 1)
-    steps = [F.lag("__i", k).over(w) for k in range(1, reach + 1)] + [F.lead("__i", k).over(w) for k in range(1, reach + 1)]
-    rows = rows.withColumn("__near", F.array(*steps))
-    numbers = F.transform(F.filter("__near", lambda c: F.coalesce(near(c), F.lit(False))), lambda c: c["chunk_no"])
-    pairs = rows.filter("__orphan").select(
-        doc, F.col("chunk_no").alias("caption_no"), F.try_element_at(numbers, F.lit(1)).alias("chunk_no"), F.col("content").alias("caption"), F.col("source_segments").alias("caption_segments")
-    )
-    taken = pairs.filter("chunk_no is not null").groupBy(doc, "chunk_no").agg(F.min(F.struct("caption_no", "caption", "caption_segments")).alias("c"))
-    gone = taken.select(doc, F.col("c.caption_no").alias("chunk_no"))
-    out = chunks.join(gone, [doc, "chunk_no"], "left_anti").join(taken, [doc, "chunk_no"], "left")
+    rows = chunks.withColumn("__i", F.struct("chunk_no", "first_page", "last_page", block.alias("block"))).withColumn("__orphan", F.coalesce(orphan, F.lit(False)))
+    around = [F.lag("__i", k).over(w) for k in range(1, reach + 1)] + [F.lead("__i", k).over(w) for k in range(1, reach + 1)]
+    rows = rows.withColumn("__near", F.array(*around))
+    fits = lambda c: F.coalesce(c["block"] & (c["first_page"] <= F.col("last_page") + 1) & (c["last_page"] >= F.col("first_page") - 1), F.lit(False))
+    target = F.try_element_at(F.transform(F.filter("__near", fits), lambda c: c["chunk_no"]), F.lit(1))
+    rows = rows.withColumn("__target", F.when(F.col("__orphan"), target)).drop("__i", "__near", "__orphan")
+    earlier = [F.lag("__target", k).over(w) for k in range(1, 2 * reach + 1)]
+    offer = F.when(F.col("__target").isNotNull(), F.struct("__target", "chunk_no", "content", "source_segments"))
+    rows = rows.withColumn("__offer", offer).withColumn("__taken", F.array_contains(F.array_compact(F.array(*earlier)), F.col("__target")))
+    offers = [F.lag("__offer", k).over(w) for k in range(reach, 0, -1)] + [F.lead("__offer", k).over(w) for k in range(1, reach + 1)]
+    rows = rows.withColumn("__offers", F.array(*offers))
+    mine = F.try_element_at(F.filter("__offers", lambda o: F.coalesce(o["__target"] == F.col("chunk_no"), F.lit(False))), F.lit(1))
+    rows = rows.withColumn("c", mine).filter(F.col("__target").isNull() | F.col("__taken"))
     has = F.col("c").isNotNull()
-    text = F.when(has, F.concat_ws("\n", F.col("c.caption"), F.when(F.col("content") != "", F.col("content")))).otherwise(F.col("content"))
+    text = F.when(has, F.concat_ws("\n", F.col("c.content"), F.when(F.col("content") != "", F.col("content")))).otherwise(F.col("content"))
     return (
-        out.withColumn("content", text).withColumn("source_segments", F.when(has, F.concat("source_segments", "c.caption_segments")).otherwise(F.col("source_segments")))
-        .withColumn("bonded", F.coalesce(F.col("bonded"), F.lit(False)) | has).drop("c")
+        rows.withColumn("source_segments", F.when(has, F.concat("source_segments", "c.source_segments")).otherwise(F.col("source_segments")))
+        .withColumn("content", text).withColumn("bonded", F.coalesce(F.col("bonded"), F.lit(False)) | has).drop("c", "__target", "__offer", "__offers", "__taken")
     )
 
 

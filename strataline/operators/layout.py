@@ -73,11 +73,10 @@ def reading_order(df: DataFrame, doc: str = "file_id", p: Profile = CANONICAL) -
     if "priority" not in df.columns:
         df = df.withColumn("priority", F.lit(False))
     b = F.col("bbox")
-    widths = df.groupBy(doc, page.alias("__page")).agg(F.max(F.when(has_box(b), b[2])).alias("x"))
-    own = F.when(F.coalesce(F.col("x"), F.lit(p.page_width)) > 100, F.coalesce(F.col("x"), F.lit(p.page_width)) * 1.1)
-    carried = F.last(own, ignorenulls=True).over(Window.partitionBy(doc).orderBy("__page").rowsBetween(Window.unboundedPreceding, 0))
-    widths = widths.select(doc, "__page", F.coalesce(carried, F.lit(p.page_width)).alias("__width"))
-    rows = df.withColumn("__page", page).join(widths, [doc, "__page"])
+    rows = df.withColumn("__page", page).withColumn("__x", F.max(F.when(has_box(b), b[2])).over(Window.partitionBy(doc, "__page")))
+    own = F.when(F.coalesce(F.col("__x"), F.lit(p.page_width)) > 100, F.coalesce(F.col("__x"), F.lit(p.page_width)) * 1.1)
+    carried = F.last(own, ignorenulls=True).over(Window.partitionBy(doc).orderBy("__page").rangeBetween(Window.unboundedPreceding, 0))
+    rows = rows.withColumn("__width", F.coalesce(carried, F.lit(p.page_width)))
     w, boxed = F.col("__width"), F.coalesce(has_box(b), F.lit(False))
     side = F.when(~boxed, -1).when((b[0] < w * p.column_share) & (b[2] > w * 0.55), -1).when(b[0] < w * p.column_share, 0).otherwise(1)
     rows = rows.withColumn("new_column", F.when(F.col("priority"), F.col("column_index")).otherwise(side))
@@ -87,7 +86,7 @@ def reading_order(df: DataFrame, doc: str = "file_id", p: Profile = CANONICAL) -
         keys = [F.col("__page"), bucket, up, F.col("pos")]
     else:
         keys = [F.col("__page"), F.when(F.col("priority"), 0).otherwise(1), up, F.when(F.col("new_column") <= 0, 0).otherwise(1), F.col("pos")]
-    return rows.withColumn("new_pos", F.row_number().over(Window.partitionBy(doc).orderBy(*keys)) - 1).drop("__page", "__width")
+    return rows.withColumn("new_pos", F.row_number().over(Window.partitionBy(doc).orderBy(*keys)) - 1).drop("__page", "__width", "__x")
 
 
 def backfill(df: DataFrame, doc: str = "file_id", order: str = "pos", path: str = "heading_path", out: str = "backfilled_path") -> DataFrame:

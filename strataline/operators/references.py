@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataline.functions import lexicon as lx
@@ -25,19 +25,34 @@ def page_blocks(segments: DataFrame, doc: str = "file_id") -> DataFrame:
 
 
 def mentions(chunks: DataFrame, key: str, text: str, keep: list[str]) -> DataFrame:
-    """Each mention of a block in a text: key, kept columns, ref_kind, direction, target_type, ref_text, ref_id."""
-    out = None
+    """Each mention of a block in a text: key, kept columns, ref_kind, direction, target_type, ref_text, ref_id.
+
+    All patterns run over a text in one pass; a row is made for each match.
+    """
+    c, found = F.col(text), []
     for kind, p in lx.EXPLICIT_REFERENCES:
-        whole, ids = (F.regexp_extract_all(F.col(text), F.lit("(?iu)" + java(p)), i) for i in (0, 1))
-        part = chunks.select(key, *keep, F.explode(F.arrays_zip(whole.alias("ref_text"), ids.alias("ref_id"))).alias("m"))
-        part = part.select(key, *keep, F.lit("explicit").alias("ref_kind"), F.lit("").alias("direction"), F.lit(kind).alias("target_type"), F.col("m.ref_text"), F.trim("m.ref_id").alias("ref_id"))
-        out = part if out is None else out.unionByName(part)
+        whole, ids = (F.regexp_extract_all(c, F.lit("(?iu)" + java(p)), i) for i in (0, 1))
+        found.append(F.zip_with(whole, ids, _explicit(kind)))
     for direction, p in lx.IMPLICIT_REFERENCES:
-        part = chunks.select(key, *keep, F.explode(F.regexp_extract_all(F.col(text), F.lit("(?iu)" + java(p)), 0)).alias("ref_text"))
-        low = F.lower("ref_text")
+        found.append(F.transform(F.regexp_extract_all(c, F.lit("(?iu)" + java(p)), 0), _implicit(direction)))
+    return chunks.filter(c.isNotNull()).select(key, *keep, F.explode(F.concat(*found)).alias("m")).select(key, *keep, "m.*")
+
+
+def _mention(ref_kind: str, direction: str, kind: Column, text: Column, number: Column) -> Column:
+    return F.struct(F.lit(ref_kind).alias("ref_kind"), F.lit(direction).alias("direction"), kind.alias("target_type"), text.alias("ref_text"), number.alias("ref_id"))
+
+
+def _explicit(kind: str):
+    return lambda w, i: _mention("explicit", "", F.lit(kind), w, F.trim(i))
+
+
+def _implicit(direction: str):
+    def of(w: Column) -> Column:
+        low = F.lower(w)
         kind = F.when(low.rlike("figure|chart|graph|diagram"), "Figure").when(low.contains("table"), "Table").when(low.rlike("equation|formula"), "Equation").otherwise("Figure")
-        out = out.unionByName(part.select(key, *keep, F.lit("implicit").alias("ref_kind"), F.lit(direction).alias("direction"), kind.alias("target_type"), "ref_text", F.lit("").alias("ref_id")))
-    return out
+        return _mention("implicit", direction, kind, w, F.lit(""))
+
+    return of
 
 
 def resolve(found: DataFrame, catalog: DataFrame, pages: DataFrame, doc: str = "file_id") -> DataFrame:

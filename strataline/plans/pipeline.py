@@ -17,11 +17,12 @@ def corrected_segments(segments: DataFrame, entries: DataFrame | None = None, do
 
     Continuation is judged on the raw order, before reordering; the rest on the corrected one, as ``pos``.
     """
-    rows = segments
+    # furniture first: its counts read the segments themselves, not what the later steps make of them
+    rows = layout.mark_furniture(segments, doc, p)
     if entries is not None:
         rows = toc.enforce_headers(rows, entries, doc).drop("type").withColumnRenamed("new_type", "type")
     rows = continuation.annotate(rows, doc, p).drop("prev", "skipped", "rules")
-    rows = layout.mark_furniture(rows, doc, p).withColumn("priority", F.col("is_continuation") != "none")
+    rows = rows.withColumn("priority", F.col("is_continuation") != "none")
     rows = layout.reading_order(rows, doc, p).drop("pos", "column_index", "priority").withColumnRenamed("new_pos", "pos").withColumnRenamed("new_column", "column_index")
     header = (F.col("type") == "Header") & ~F.col("is_furniture")
     rows = with_stack_path(rows, doc, [F.col("pos")], header, F.col("level"), F.col("text"))
