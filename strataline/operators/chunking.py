@@ -312,7 +312,8 @@ def merged_chunks(chunks: DataFrame, doc: str = "file_id", p: Profile = CANONICA
     """The chunks after ``merge_short``. A pair loses continuation flags, as a new chunk does."""
     rows = merge_short(chunks, doc, p)
     w = Window.partitionBy(doc).orderBy("chunk_no")
-    nxt = F.lead(F.struct("content", "tags", "source_segments", "last_page")).over(w)
+    extra = [c for c in ("sentences", "doc_zone") if c in chunks.columns]
+    nxt = F.lead(F.struct("content", "tags", "source_segments", "last_page", *extra)).over(w)
     rows = rows.withColumn("__n", nxt).filter("is_head")
     pair = F.col("starts_pair")
     tags = F.array_sort(F.array_distinct(F.concat("tags", "__n.tags")))
@@ -321,6 +322,10 @@ def merged_chunks(chunks: DataFrame, doc: str = "file_id", p: Profile = CANONICA
     out = rows.withColumn("chunk_type", F.when(pair, kind).otherwise(F.col("chunk_type"))).withColumn("word_count", F.when(pair, tx.word_count(content)).otherwise(F.col("word_count")))
     out = out.withColumn("source_segments", F.when(pair, F.concat("source_segments", "__n.source_segments")).otherwise(F.col("source_segments")))
     out = out.withColumn("last_page", F.when(pair, F.greatest("last_page", "__n.last_page")).otherwise(F.col("last_page")))
+    if "sentences" in extra:
+        out = out.withColumn("sentences", F.when(pair, F.concat("sentences", "__n.sentences")).otherwise(F.col("sentences")))
+    if "doc_zone" in extra:
+        out = out.withColumn("doc_zone", F.when(pair, "body").otherwise(F.col("doc_zone")))
     for c, empty in (("is_cross_page", F.lit(False)), ("continuation_type", F.lit("none")), ("needs_review", F.lit(False))):
         out = out.withColumn(c, F.when(pair, empty).otherwise(F.col(c)))
     out = out.withColumn("tags", F.when(pair, tags).otherwise(F.col("tags"))).withColumn("content", F.when(pair, content).otherwise(F.col("content")))
@@ -329,17 +334,68 @@ def merged_chunks(chunks: DataFrame, doc: str = "file_id", p: Profile = CANONICA
 
 def regroup_objectives(chunks: DataFrame, doc: str = "file_id") -> DataFrame:
     """``objective_no``: the objective chunk that a list or a short explanation after it (within two) joins, under the
-    same heading; its own number for all others."""
+    same heading; its own number for all others.
+
+    From the left: one that has joined takes none itself, even if it reads like an objective, as lists of them do.
+    After two chunks that are none nobody is waiting to take, so only stretches of closer ones are folded, by their flags.
+    """
     w = Window.partitionBy(doc).orderBy("chunk_no")
     lead = F.coalesce((F.col("chunk_type") == "learning_objective") | tx.is_objective(F.split(F.col("content"), "\n")[0]), F.lit(False))
     joins = (F.col("chunk_type") == "list") | ((F.col("chunk_type") == "explanation") & (F.col("word_count") < 100))
-    rows = chunks.withColumn("__lead", lead).withColumn("__joins", joins & ~F.col("__lead"))
-    one, two = F.lag(F.struct("__lead", "__joins", "heading_path", "chunk_no"), 1).over(w), F.lag(F.struct("__lead", "__joins", "heading_path", "chunk_no"), 2).over(w)
-    rows = rows.withColumn("__1", one).withColumn("__2", two)
-    same = lambda c: F.coalesce(c["__lead"] & c["heading_path"].eqNullSafe(F.col("heading_path")), F.lit(False))
-    first = F.col("__joins") & same(F.col("__1"))
-    second = F.col("__joins") & F.coalesce(F.col("__1.__joins") & F.col("__1.heading_path").eqNullSafe(F.col("heading_path")), F.lit(False)) & same(F.col("__2"))
-    return rows.withColumn("objective_no", F.when(first, F.col("__1.chunk_no")).when(second, F.col("__2.chunk_no")).otherwise(F.col("chunk_no"))).drop("__lead", "__joins", "__1", "__2")
+    after = F.coalesce(joins, F.lit(False)) & F.lag("heading_path").over(w).eqNullSafe(F.col("heading_path")) & F.lag("chunk_no").over(w).isNotNull()
+    rows = chunks.withColumn("__lead", lead).withColumn("__after", after)
+    near = F.coalesce(F.lag("__lead", 1).over(w), F.lit(False)) | F.coalesce(F.lag("__lead", 2).over(w), F.lit(False))
+    rows = rows.withColumn("__on", F.col("__after") & near).withColumn("__run", F.sum(F.when(F.col("__on"), 0).otherwise(1)).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    flags = F.collect_list("__lead").over(Window.partitionBy(doc, "__run").orderBy("chunk_no").rowsBetween(Window.unboundedPreceding, 0))
+
+    def step(s: Column, x: Column) -> Column:
+        taken = s["left"] > 0
+        return F.struct(F.when(taken, s["left"] - 1).when(x, 2).otherwise(0).alias("left"), F.when(taken, s["back"] + 1).otherwise(0).alias("back"))
+
+    back = F.aggregate(flags, F.struct(F.lit(0).alias("left"), F.lit(0).alias("back")), step)["back"]
+    rows = rows.withColumn("__back", back)
+    no = F.when(F.col("__back") == 1, F.lag("chunk_no", 1).over(w)).when(F.col("__back") == 2, F.lag("chunk_no", 2).over(w)).otherwise(F.col("chunk_no"))
+    return rows.withColumn("objective_no", no).drop("__lead", "__after", "__on", "__run", "__back")
+
+
+def join_objectives(chunks: DataFrame, doc: str = "file_id") -> DataFrame:
+    """The chunks after ``regroup_objectives``: an objective and the up to two that join it are one, of its pages."""
+    w = Window.partitionBy(doc).orderBy("chunk_no")
+    rows = regroup_objectives(chunks, doc)
+    part = F.struct("objective_no", "content", "tags", "source_segments", "sentences", "bbox")
+    rows = rows.withColumn("__n", F.array(F.lead(part, 1).over(w), F.lead(part, 2).over(w))).filter("objective_no = chunk_no")
+    rows = rows.withColumn("__n", F.filter("__n", lambda x: F.coalesce(x["objective_no"] == F.col("chunk_no"), F.lit(False))))
+    has, every = F.size("__n") > 0, lambda c: F.flatten(F.transform("__n", lambda x: x[c]))
+    content = F.array_join(F.concat(F.array("content"), F.transform("__n", lambda x: x["content"])), "\n")
+    boxes = F.array_compact(F.concat(F.array("bbox"), F.transform("__n", lambda x: x["bbox"])))
+    edge = lambda i: F.transform(boxes, lambda b: b[i])
+    box = F.array(F.array_min(edge(0)), F.array_min(edge(1)), F.array_max(edge(2)), F.array_max(edge(3)))
+    new = {
+        "content": content, "tags": F.array_sort(F.array_distinct(F.concat("tags", every("tags")))), "source_segments": F.concat("source_segments", every("source_segments")),
+        "sentences": F.concat("sentences", every("sentences")), "chunk_type": F.lit("learning_objective"), "word_count": tx.word_count(content), "bbox": F.when(F.size(boxes) > 0, box),
+    }
+    return rows.withColumns({k: F.when(has, c).otherwise(F.col(k)) for k, c in new.items()}).drop("__n", "objective_no")
+
+
+def roles_of(content: Column, path: Column, kind: Column) -> Column:
+    """Sentences of a text with their roles, in order; a heading's are topics. Explanations under five words join the
+    sentence before, unless it is irrelevant."""
+    known = F.transform(tx.sentences(F.coalesce(content, F.lit(""))), lambda s: F.struct(s.alias("text"), tx.tags(s).alias("tags"), tx.is_imperative(s).alias("imp")))
+    given = lambda x: tx.role(x["text"], path, x["tags"], tx.sentence_form(x["text"], x["imp"]), x["imp"], kind)
+    all_of_it = F.transform(known, lambda x: F.struct(x["text"].alias("text"), F.when(kind == "header", "topic").otherwise(given(x)).alias("role")))
+
+    def step(done: Column, x: Column) -> Column:
+        last = F.try_element_at(done, F.lit(-1))
+        joins = F.coalesce((x["role"] == "explanation") & (tx.word_count(x["text"]) < 5) & (last["role"] != "irrelevant"), F.lit(False))
+        both = F.struct(F.concat_ws(" ", last["text"], x["text"]).alias("text"), last["role"].alias("role"))
+        return F.when(joins, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(both))).otherwise(F.concat(done, F.array(x)))
+
+    return F.aggregate(all_of_it, F.array().cast("array<struct<text:string,role:string>>"), step)
+
+
+def with_roles(chunks: DataFrame, kind: str = "chunk_type") -> DataFrame:
+    """``sentences``: (text, role) of each sentence of a chunk; ``kind`` is the type that the roles go by."""
+    return chunks.withColumn("sentences", roles_of(F.col("content"), F.col("heading_path"), F.col(kind)))
 
 
 def group_adjacent(df: DataFrame, doc: str = "file_id", order: str = "pos", similarity: Column | None = None, threshold: float = 0.5, cap: int | None = 5) -> DataFrame:

@@ -148,6 +148,17 @@ def look_up(rows: DataFrame, book: DataFrame, doc: str, text: str = "text") -> D
     return out.withColumn("logic_path", F.coalesce("__exact", "__near")).drop("__id", "norm", "__exact", "__near")
 
 
+def align(segments: DataFrame, book: DataFrame, doc: str = "file_id") -> DataFrame:
+    """Segments by the markdown's headings: one that reads like noise is no heading, and a path of the book that is
+    longer than a segment's takes its place."""
+    t = F.coalesce(F.col("text"), F.lit(""))
+    noise = (t == "") | tx.matches(t, lx.LOGIC_NOISE)
+    rows = look_up(segments.withColumn("type", F.when((F.col("type") == "Header") & noise, "Paragraph").otherwise(F.col("type"))), book, doc)
+    old = F.coalesce(F.col("heading_path"), F.lit(""))
+    longer = F.coalesce((F.col("logic_path") != "") & (F.length("logic_path") > F.length(old)), F.lit(False))
+    return rows.withColumn("heading_path", F.when(longer, F.col("logic_path")).otherwise(F.col("heading_path"))).drop("logic_path")
+
+
 def zone(page: Column, body_start: Column, back_start: Column) -> Column:
     return F.when(page <= body_start - 1, "front").when(page >= back_start, "back").otherwise("body")
 
@@ -155,6 +166,11 @@ def zone(page: Column, body_start: Column, back_start: Column) -> Column:
 def glossary_items(segments: DataFrame, doc: str = "file_id", order: str = "pos") -> DataFrame:
     """(doc, term, definition) of glossary rows in order: "term: definition" at once, or a short line without a stop
     and the lines after it. A term without a definition is left out."""
+    return glossary_entries(segments, doc, order).select(doc, "term", "definition")
+
+
+def glossary_entries(segments: DataFrame, doc: str = "file_id", order: str = "pos") -> DataFrame:
+    """(doc, at, segment_ids, term, definition): ``glossary_items`` with the place where each begins and its segments."""
     t = F.trim(F.coalesce("text", F.lit("")))
     rows = segments.filter((F.length(t) >= 2) & (F.lower(t) != "glossary")).withColumn("t", t)
     pair = F.col("t").contains(": ")
@@ -162,14 +178,14 @@ def glossary_items(segments: DataFrame, doc: str = "file_id", order: str = "pos"
     w = Window.partitionBy(doc).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("g", F.sum((pair | term).cast("int")).over(w))
     group = rows.groupBy(doc, "g").agg(
-        F.min_by("t", order).alias("head"), F.min_by(pair, order).alias("pair"), F.min_by(term, order).alias("is_term"),
+        F.min(order).alias("at"), F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col("segment_id").alias("s")))), lambda x: x["s"]).alias("segment_ids"), F.min_by("t", order).alias("head"), F.min_by(pair, order).alias("pair"), F.min_by(term, order).alias("is_term"),
         F.array_sort(F.collect_list(F.when(~pair & ~term, F.struct(F.col(order).alias("o"), F.col("t"))))).alias("rest"),
     )
     parts = F.split("head", ": ", 2)
     body = F.array_join(F.transform("rest", lambda s: s["t"]), " ")
     name = F.when(F.col("pair"), F.trim(parts[0])).when(F.col("is_term"), F.col("head"))
     text = F.when(F.col("pair"), F.trim(parts[1])).when(F.col("is_term") & (body != ""), body)
-    return group.select(doc, name.alias("term"), text.alias("definition")).filter("term is not null and definition is not null")
+    return group.select(doc, "at", "segment_ids", name.alias("term"), text.alias("definition")).filter("term is not null and definition is not null")
 
 
 def heuristic_entries(segments: DataFrame, doc: str = "file_id", most_pages: int = 35) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataline.config import CANONICAL, EMBEDDING, Profile
@@ -12,10 +12,12 @@ from strataline.operators import chunking, continuation, graph, layout, referenc
 from strataline.operators.stack import with_stack_path
 
 
-def corrected_segments(segments: DataFrame, entries: DataFrame | None = None, doc: str = "file_id", p: Profile = CANONICAL) -> DataFrame:
-    """Segments after header authority, continuation, furniture, reading order, heading paths and backfill.
+def corrected_segments(segments: DataFrame, entries: DataFrame | None = None, doc: str = "file_id", p: Profile = CANONICAL, headings: DataFrame | None = None) -> DataFrame:
+    """Segments after header authority, continuation, furniture, reading order, heading paths, backfill, the paths of
+    the contents (T6) and those of the markdown (T13).
 
     Continuation is judged on the raw order, before reordering; the rest on the corrected one, as ``pos``.
+    ``headings``: doc, pos, level, title of the markdown's headings, where there is markdown.
     """
     # furniture first: its counts read the segments themselves, not what the later steps make of them
     rows = layout.mark_furniture(segments, doc, p)
@@ -27,18 +29,66 @@ def corrected_segments(segments: DataFrame, entries: DataFrame | None = None, do
     header = (F.col("type") == "Header") & ~F.col("is_furniture")
     rows = with_stack_path(rows, doc, [F.col("pos")], header, F.col("level"), F.col("text"))
     rows = layout.backfill(rows.drop("heading_path").withColumnRenamed("path", "heading_path"), doc)
-    return rows.drop("heading_path").withColumnRenamed("backfilled_path", "heading_path")
+    rows = rows.drop("heading_path").withColumnRenamed("backfilled_path", "heading_path")
+    if entries is not None:
+        seeded = toc.seed_path(F.col("gold_path"), F.col("heading_path"))
+        rows = toc.gold_paths(rows, entries, doc).withColumn("heading_path", seeded).drop("gold_path")
+    return rows if headings is None else toc.align(rows, toc.logic_book(headings, doc), doc)
+
+
+def zoned(out: DataFrame, sections: DataFrame, doc: str = "file_id") -> DataFrame:
+    """Chunks with ``doc_zone`` by their first page, and the types of the zones (T14): front matter but for headings,
+    all of the back matter."""
+    rows = out.drop("doc_zone").join(sections, doc, "left")
+    zone = F.coalesce(toc.zone(F.col("first_page"), F.col("body_start"), F.col("back_start")), F.lit("body"))
+    rows = rows.withColumn("doc_zone", zone)
+    glossary = F.coalesce(F.col("first_page").between(F.col("glossary_start"), F.col("glossary_end")), F.lit(False))
+    kind = F.when((F.col("doc_zone") == "front") & (F.col("chunk_type") != "header"), "front_matter").when(F.col("doc_zone") == "back", F.when(glossary, "glossary").otherwise("back_matter"))
+    return rows.withColumn("chunk_type", kind.otherwise(F.col("chunk_type"))).select(*out.columns)
 
 
-def chunks(segments: DataFrame, entries: DataFrame | None = None, doc: str = "file_id", p: Profile = CANONICAL) -> DataFrame:
+def with_glossary(out: DataFrame, segments: DataFrame, sections: DataFrame, doc: str = "file_id") -> DataFrame:
+    """Chunks, and after them one definition for each item of the glossary's pages (K9), numbered on.
+
+    Its content is "term: definition"; the rule that this follows leaves it empty. Lines are read by page and height.
+    """
+    at = sections.filter("glossary_start is not null").select(doc, "glossary_start", "glossary_end")
+    rows = segments.join(at, doc).filter(F.coalesce("page", F.lit(0)).between(F.col("glossary_start"), F.col("glossary_end")))
+    rows = rows.withColumn("__at", F.struct(F.col("page"), F.coalesce(F.col("bbox")[1], F.lit(0.0)).alias("y"), F.col("pos")))
+    items = toc.glossary_entries(rows, doc, "__at").withColumn("content", F.concat_ws(": ", "term", "definition"))
+    n = F.row_number().over(Window.partitionBy(doc).orderBy("at"))
+    tags = tx.tags(F.col("content"))
+    given = {
+        "__n": n, "heading_path": F.lit("Glossary"), "chunk_type": F.lit("definition"), "__kind": F.lit("definition"), "content": F.col("content"), "source_segments": F.col("segment_ids"), "first_page": F.col("at.page"), "last_page": F.col("at.page"),
+        "tags": F.when(tx.is_imperative(F.col("content")) & ~F.array_contains(tags, "procedure"), F.concat(tags, F.array(F.lit("procedure")))).otherwise(tags),
+        "depth": F.lit(0), "word_count": tx.word_count(F.col("content")), "is_cross_page": F.lit(False), "continuation_type": F.lit("none"), "needs_review": F.lit(False), "bonded": F.lit(False), "doc_zone": F.lit("body"),
+    }
+    items = items.select(doc, *[c.alias(k) for k, c in given.items()])
+    both = out.withColumn("__n", F.lit(0)).unionByName(items, allowMissingColumns=True)
+    last = F.coalesce(F.max("chunk_no").over(Window.partitionBy(doc)), F.lit(0))
+    return both.withColumn("chunk_no", F.coalesce(F.col("chunk_no"), (last + F.col("__n")).cast("int"))).drop("__n")
+
+
+def chunks(segments: DataFrame, entries: DataFrame | None = None, doc: str = "file_id", p: Profile = CANONICAL, headings: DataFrame | None = None) -> DataFrame:
     """Enriched chunks of parsed segments: the canonical plan.
 
     ``segments``: doc, segment_id, pos, type, text, page, bbox, depth, level, column_index, at_page_top,
-    at_page_bottom, heading_path. Chunk ids restart in every document.
+    at_page_bottom, heading_path. Chunk ids restart in every document. With ``entries`` paths begin with those of the
+    contents, chunks have the types of their zones, and the glossary's pages become definitions.
     """
-    rows = corrected_segments(segments, entries, doc, p)
+    rows = corrected_segments(segments, entries, doc, p, headings)
+    sections = None if entries is None else toc.section_map(entries, doc)
+    if sections is not None:
+        at = sections.select(doc, "glossary_start", "glossary_end")
+        inside = F.coalesce(F.coalesce("page", F.lit(0)).between(F.col("glossary_start"), F.col("glossary_end")), F.lit(False))
+        rows = rows.join(at, doc, "left").filter(~inside).drop("glossary_start", "glossary_end")
     placed = chunking.place(chunking.fold_columns(rows), doc, p)
-    out = chunking.bond_captions(chunking.assemble(rows, placed, doc), doc)
+    out = chunking.assemble(rows, placed, doc).withColumn("doc_zone", F.lit("body")).withColumn("__kind", F.col("chunk_type"))
+    if sections is not None:
+        out = with_glossary(zoned(out, sections, doc), segments, sections, doc)
+    # roles go by the type that a chunk has before its zone's
+    out = chunking.with_roles(out, "__kind").drop("__kind")
+    out = chunking.join_objectives(chunking.bond_captions(out, doc), doc)
     out = chunking.merged_chunks(chunking.context_overlap(out, doc, p), doc, p)
     return out.withColumn("chunk_id", F.format_string("chunk_%04d", "chunk_no"))
 

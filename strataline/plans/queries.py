@@ -793,7 +793,7 @@ def chunk_b7_bonded(spark, d):
 def flagship_chunks(spark, d):
     """The canonical plan from parsed segments to chunks."""
     out = pipeline.chunks(src.segments(spark, d, *_SEGMENT), src.toc(spark, d))
-    return out.select("file_id", "chunk_id", "heading_path", "chunk_type", "content", "context_prefix", F.array_join("tags", ",").alias("tags"), F.array_join("source_segments", ",").alias("source_segments"), "first_page", "last_page", "word_count", "is_cross_page", "continuation_type", "needs_review")
+    return out.select("file_id", "chunk_id", "heading_path", "chunk_type", "content", "context_prefix", F.array_join("tags", ",").alias("tags"), F.array_join("source_segments", ",").alias("source_segments"), "first_page", "last_page", "word_count", "is_cross_page", "continuation_type", "needs_review", "doc_zone", "sentences")
 
 
 @query(None)
