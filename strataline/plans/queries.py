@@ -834,6 +834,14 @@ def graph_k10_edges(spark, d):
     return graph.edges(_chunks(spark, d, "file_id", "chunk_no", "chunk_type", "heading_path"))
 
 
+@query(None)
+def graph_k10_with_references(spark, d):
+    """The edges of ``graph_k10_edges`` and those from chunks to the chunks of the blocks that they mention."""
+    c = _chunks(spark, d, "file_id", "chunk_no", "chunk_type", "heading_path", "content", "source_segments", "page_range")
+    c = c.withColumn("first_page", F.try_element_at("page_range", F.lit(1)))
+    return pipeline.chunk_graph(c, src.segments(spark, d, "pos", "type", "text", "page"))
+
+
 @query(f"""with {CHK} select doc_zone, chunk_type, count(*) as chunks, round(avg(word_count), 6) as avg_words, min(word_count)::int as min_words, max(word_count)::int as max_words, count(*) filter (coalesce(context_prefix, '') <> '') as with_overlap,
  count(*) filter (is_cross_page) as cross_page, count(*) filter (continuation_type = 'full') as full_continuations, count(*) filter (continuation_type = 'partial') as partial_continuations, count(*) filter (needs_review) as needs_review from chk group by 1, 2""")
 def metrics_k11_by_type(spark, d):

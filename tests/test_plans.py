@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from strataline.operators import chunking
 from strataline.plans import pipeline
+from strataline.plans.queries import QUERIES
 from test_operators import SCHEMA, seg
 
 TOC = "file_id long, ord int, level int, title string, page string, page_no int"
@@ -53,3 +54,13 @@ def test_objectives_take_their_lists(spark):
     assert [(r.chunk_no, r.chunk_type, r.source_segments) for r in out] == [(1, "learning_objective", ["s1", "s2", "s3"]), (4, "learning_objective", ["s4", "s5"]), (6, "explanation", ["s6"])]
     assert out[0].content == "\n".join(t for _, t, _ in kinds[:3]) and out[0].word_count == 17 and len(out[0].sentences) == 3 and out[0].bbox[0] == 1.0
     assert df.sparkSession is spark and out[2].content == "Another text." and chunking.join_objectives(df.filter(F.lit(False))).count() == 0
+
+
+def test_graph_has_references(spark, tmp_path):
+    at = "timestamp'2025-01-01'"
+    spark.sql(f"""select * from values (1L, 'c1', 1, 'explanation', 'A', 'As Table 1.1 and again Table 1.1 says.', array('s1'), array(1, 1), {at}), (1L, 'c2', 2, 'table', 'A', 'Table 1.1 Depth', array('s2', 's3'), array(2, 2), {at}),
+      (1L, 'c3', 3, 'explanation', 'A', 'Table 9.9 is nowhere.', array('s4'), array(2, 2), {at}), (2L, 'd1', 1, 'explanation', 'A', 'See Table 1.1 of another file.', array('s1'), array(1, 1), {at})
+      as t(file_id, chunk_id, chunk_no, chunk_type, heading_path, content, source_segments, page_range, ingested_at)""").write.parquet(str(tmp_path / "chunks.parquet"))
+    spark.sql(f"select * from values (1L, 's1', 0, 'Text', 'As Table 1.1 and again Table 1.1 says.', 1, {at}), (1L, 's2', 1, 'Text', 'Table 1.1 Depth', 2, {at}), (1L, 's3', 2, 'Table', '1 2', 2, {at}), (1L, 's4', 3, 'Text', 'Table 9.9 is nowhere.', 2, {at}), (2L, 's1', 0, 'Text', 'x', 1, {at}) as t(file_id, segment_id, pos, type, text, page, ingested_at)").write.parquet(str(tmp_path / "flat_segments.parquet"))
+    got = sorted((r.file_id, r.src, r.dst, r.edge_type) for r in QUERIES["graph_k10_with_references"](spark, str(tmp_path)).collect())
+    assert got == [(1, "c1", "c2", "next"), (1, "c1", "c2", "references"), (1, "c2", "c3", "next")]
