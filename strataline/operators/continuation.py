@@ -122,3 +122,24 @@ def join_at_word(a: Column, b: Column) -> Column:
     left = F.concat(F.regexp_replace(a, r"[\p{L}\p{N}_]+[-‐‑−–—]\s*$", ""), one, two)
     right = F.ltrim(F.regexp_replace(F.ltrim(b), r"^[\p{L}\p{N}_]+", ""))
     return F.when(ok, F.struct(left.alias("left"), right.alias("right"))).otherwise(F.struct(a.alias("left"), b.alias("right")))
+
+
+def join_words(df: DataFrame, doc: str = "file_id", order: str = "pos") -> DataFrame:
+    """``text`` with words broken before a row that continues whole in the row before, as ``join_at_word`` from the first
+    row on would leave it. Needs ``is_continuation``.
+
+    A row that is one broken word and gives it up has none left for the next, so in a chain of such rows every second
+    one joins.
+    """
+    w = Window.partitionBy(doc).orderBy(order)
+    a, b = F.lag("text").over(w), F.col("text")
+    can = F.col("is_continuation").isin("full", "partial") & (join_at_word(a, b)["left"] != a)
+    rows = df.withColumn("__can", F.coalesce(can, F.lit(False)))
+    alone = F.coalesce(a.rlike(r"^\s*[\p{L}\p{N}_]+[-‐‑−–—]\s*$"), F.lit(False)) & F.coalesce(F.lag("__can").over(w), F.lit(False))
+    rows = rows.withColumn("__run", F.sum(F.when(F.col("__can") & alone, 0).otherwise(1)).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    nth = F.row_number().over(Window.partitionBy(doc, "__run").orderBy(order))
+    rows = rows.withColumn("__join", F.col("__can") & (nth % 2 == 1))
+    rows = rows.withColumn("__prev", F.lag("text").over(w)).withColumn("__next", F.lead("text").over(w)).withColumn("__follows", F.coalesce(F.lead("__join").over(w), F.lit(False)))
+    rows = rows.withColumn("text", F.when(F.col("__join"), join_at_word(F.col("__prev"), F.col("text"))["right"]).otherwise(F.col("text")))
+    rows = rows.withColumn("text", F.when(F.col("__follows"), join_at_word(F.col("text"), F.col("__next"))["left"]).otherwise(F.col("text")))
+    return rows.drop("__can", "__run", "__join", "__prev", "__next", "__follows")

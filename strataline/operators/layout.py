@@ -104,6 +104,16 @@ def backfill(df: DataFrame, doc: str = "file_id", order: str = "pos", path: str
     return rows.withColumn(out, F.when(hit, new).otherwise(old)).drop("__top")
 
 
+def backfill_empty(df: DataFrame, doc: str = "file_id", order: str = "pos") -> DataFrame:
+    """The embedding profile's backfill: rows before a page's top heading (least depth, then the first) take its path
+    where theirs is empty."""
+    w = Window.partitionBy(doc, F.coalesce(F.col("page"), F.lit(1)))
+    depth = F.coalesce(F.col("depth"), F.lit(10))
+    top = F.min(F.when(F.col("type") == "Header", F.struct(depth.alias("depth"), F.col(order).alias("at"), F.col("heading_path").alias("path")))).over(w)
+    hit = (F.coalesce("heading_path", F.lit("")) == "") & (F.col(order) < F.col("__top.at"))
+    return df.withColumn("__top", top).withColumn("heading_path", F.when(hit, F.col("__top.path")).otherwise(F.col("heading_path"))).drop("__top")
+
+
 def sidebars(df: DataFrame, doc: str = "file_id", p: Profile = CANONICAL) -> DataFrame:
     """``is_sidebar`` and ``sidebar_type``: headings and objectives by wording, and boxes inside the left zone of a
     page that has boxes on both sides of the column line."""

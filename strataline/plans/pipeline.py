@@ -110,8 +110,8 @@ def embedding_chunks(segments: DataFrame, doc: str = "file_id", p: Profile = EMB
     rows = layout.mark_furniture(segments, doc, p).filter(~F.col("is_furniture"))
     rows = layout.reading_order(layout.sidebars(rows, doc, p), doc, p).drop("pos", "priority", "new_column").withColumnRenamed("new_pos", "pos")
     rows = with_stack_path(rows, doc, [F.col("pos")], F.col("type") == "Header", F.col("depth"), F.col("text"))
-    rows = rows.drop("heading_path").withColumnRenamed("path", "heading_path")
-    rows = continuation.annotate_adjacent(rows, doc, "pos", p=p)
+    rows = layout.backfill_empty(rows.drop("heading_path").withColumnRenamed("path", "heading_path"), doc)
+    rows = continuation.join_words(continuation.annotate_adjacent(rows, doc, "pos", p=p), doc)
     rows = chunking.group_adjacent(rows, doc, "pos", cap=p.max_buffer)
     t = F.concat(F.when(F.coalesce(F.col("is_continuation"), F.lit("none")) != "none", "[PAGE_JOIN] ").otherwise(""), F.coalesce("text", F.lit("")))
     g = rows.groupBy(doc, "chunk_no").agg(

@@ -1,8 +1,11 @@
 """Whole plans over small hand-made documents."""
 
+import random
+import re
+
 from pyspark.sql import functions as F
 
-from strataline.operators import chunking
+from strataline.operators import chunking, continuation
 from strataline.plans import pipeline
 from strataline.plans.queries import QUERIES
 from test_operators import SCHEMA, seg
@@ -64,3 +67,31 @@ def test_graph_has_references(spark, tmp_path):
     spark.sql(f"select * from values (1L, 's1', 0, 'Text', 'As Table 1.1 and again Table 1.1 says.', 1, {at}), (1L, 's2', 1, 'Text', 'Table 1.1 Depth', 2, {at}), (1L, 's3', 2, 'Table', '1 2', 2, {at}), (1L, 's4', 3, 'Text', 'Table 9.9 is nowhere.', 2, {at}), (2L, 's1', 0, 'Text', 'x', 1, {at}) as t(file_id, segment_id, pos, type, text, page, ingested_at)").write.parquet(str(tmp_path / "flat_segments.parquet"))
     got = sorted((r.file_id, r.src, r.dst, r.edge_type) for r in QUERIES["graph_k10_with_references"](spark, str(tmp_path)).collect())
     assert got == [(1, "c1", "c2", "next"), (1, "c1", "c2", "references"), (1, "c2", "c3", "next")]
+
+
+def test_embedding_plan_joins_words_and_fills_paths(spark):
+    rows = [seg(0, "Paragraph", "before any heading.", bbox=[50.0, 700.0, 500.0, 710.0]), seg(1, "Header", "Rivers", bbox=[50.0, 600.0, 500.0, 610.0]), seg(2, "Paragraph", "The thin mem-", bbox=[50.0, 500.0, 500.0, 510.0]), seg(3, "Paragraph", "brane holds.", page=2, bbox=[50.0, 600.0, 500.0, 610.0])]
+    out = pipeline.embedding_chunks(spark.createDataFrame(rows, SCHEMA)).orderBy("chunk_no").collect()
+    assert {r.heading_path for r in out} == {"Rivers"}
+    assert "The thin membrane [PAGE_JOIN] holds." in out[-1].content
+
+
+def test_join_words_equals_a_loop(spark):
+    r = random.Random(5)
+    rows, want = [], {}
+    for doc in range(80):
+        texts = [r.choice(["mem-", "bra- ", "ne", "a-", "one two-", "three four", "", None, " six\u2013", "x\u2012", "\u2014", "-", "foo-bar-", "end."]) for _ in range(12)]
+        marks = [None] + [r.choice(["full", "partial", "none"]) for _ in texts[1:]]
+        rows += [(doc, i, t, m) for i, (t, m) in enumerate(zip(texts, marks))]
+        texts = list(texts)
+        for i in range(1, 12):
+            a, b = texts[i - 1], texts[i]
+            if marks[i] not in ("full", "partial") or not a or not b or not a.rstrip() or a.rstrip()[-1] not in "-\u2010\u2011\u2012\u2013\u2014":
+                continue
+            one, two = re.search(r"(\w+)[-\u2010\u2011\u2212\u2013\u2014]\s*$", a), re.match(r"\w+", b.lstrip())
+            if one and two and len(one[1] + two[0]) >= 3:
+                texts[i - 1], texts[i] = a[: one.start()] + one[1] + two[0], b.lstrip()[two.end() :].lstrip()
+        want.update({(doc, i): t for i, t in enumerate(texts)})
+    df = spark.createDataFrame(rows, "file_id int, pos int, text string, is_continuation string")
+    got = {(x.file_id, x.pos): x.text for x in continuation.join_words(df).collect()}
+    assert got == want
