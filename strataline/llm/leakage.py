@@ -114,14 +114,18 @@ def build_index(items: list[tuple[int, str]]) -> ItemIndex:
 
 
 def _least_shared(words: list[str], ok: list[bool]) -> int:
-    """The q-grams that a stretch of LEAST_WORDS of the item keeps at least after its one edit (the q-gram lemma):
-    its length less Q - 1, less the Q - 1 + longest word + 1 that the edit touches. At least 1."""
+    """The q-grams that a case keeps at least (the q-gram lemma): its length less Q - 1, less the Q - 1 + word + 1 that
+    each edit touches, of its longest words. The least over stretches of 12 words with one edit, 16 with two and 24 with
+    three, as a case of two may hold none of one. At least 1."""
     best = 1 << 30
-    for k in range(len(words) - LEAST_WORDS + 1):
-        if all(ok[k : k + LEAST_WORDS]):
-            part = words[k : k + LEAST_WORDS]
-            length = sum(map(len, part)) + LEAST_WORDS - 1
-            best = min(best, length - Q + 1 - (Q + max(map(len, part))))
+    for size in range(LEAST_WORDS, CASE_WORDS + 1):
+        edits = size // EDIT_SHARE
+        if size != LEAST_WORDS and size != edits * EDIT_SHARE:
+            continue
+        for k in range(len(words) - size + 1):
+            if all(ok[k : k + size]):
+                sizes = sorted(map(len, words[k : k + size]))
+                best = min(best, sum(sizes) + size - 1 - Q + 1 - sum(Q + x for x in sizes[-edits:]))
     return max(1, best)
 
 
