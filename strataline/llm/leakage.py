@@ -1,9 +1,9 @@
 """Passages of evaluation items inside a corpus.
 
 Filter and verify: shared character q-grams of a document and an item are counted in overlapping diagonal bands.
-By the q-gram lemma a stretch within the edit budget leaves a least number of shared q-grams in one band; bands
-that reach it are kept, and a banded alignment of words decides. Only the items' q-grams are broadcast; documents
-are read once and never shuffled.
+A stretch within the edit budget keeps a run of five words whole, which lies on one diagonal whatever was put in or
+left out before it; its q-grams are the least number that a band must hold. Bands that reach it are kept, and a banded
+alignment of words decides. Only the items' q-grams are broadcast; documents are never shuffled.
 """
 
 from __future__ import annotations
@@ -17,14 +17,18 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: A case: so many words of an item in order, at most one in EDIT_SHARE changed, dropped or added.
 LEAST_WORDS, EDIT_SHARE = 12, 8
 #: Wording that more items share doesn't count; it is found by word n-grams of this length.
 SHARED_BY, SHARED_NGRAM = 5, 5
-#: Length of the q-grams, width of a band of diagonals (bands overlap by half).
-Q, BAND = 20, 64
-#: Most items (and bytes of their texts) that are broadcast; more are taken in blocks of this many.
+#: Lengths of the q-grams: an item goes by the longest that fits into each five of its words. Five words with the
+#: spaces inside and around them have eleven characters, so the last fits into all.
+TIERS = (22, 16, 11)
+#: Width of a band of diagonals (bands overlap by half).
+BAND = 64
+#: Items, and bytes of their texts, in one broadcast; more are taken in blocks of this many. The rows are the same.
 ITEM_BLOCK, ITEM_BYTES = 20_000, 64 << 20
 
 
@@ -38,26 +42,32 @@ def _nfc(text: str) -> str:
 
 
 @dataclass
-class ItemIndex:
-    """The q-grams of a set of items: sorted hashes, and where each occurs."""
+class Tier:
+    """The q-grams of the items that go by one length: sorted hashes, and where each occurs."""
 
-    ids: list[int]
-    words: list[list[str]]
-    counts: list[list[bool]]
-    starts: list[np.ndarray]
+    q: int
     hashes: np.ndarray
     first: np.ndarray
     item: np.ndarray
     pos: np.ndarray
-    need: np.ndarray
     bitmap: np.ndarray
+
+
+@dataclass
+class ItemIndex:
+    ids: list[int]
+    words: list[list[str]]
+    counts: list[list[bool]]
+    need: np.ndarray
+    tiers: list[Tier]
     seeds: list[dict[tuple[str, ...], list[int]]]
+    longest: int
 
 
 _M = np.uint64(0x9E3779B97F4A7C15)
 
 
-def qgram_hashes(codes: np.ndarray, q: int = Q) -> np.ndarray:
+def qgram_hashes(codes: np.ndarray, q: int) -> np.ndarray:
     """A 64-bit hash of each stretch of ``q`` codes, by doubling: a few vector passes whatever q."""
     have: dict[int, np.ndarray] = {1: (codes.astype(np.uint64) + np.uint64(1)) * _M}
     size = 1
@@ -80,80 +90,89 @@ def codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
 
 
-def build_index(items: list[tuple[int, str]]) -> ItemIndex:
-    """Index of (id, plain text) rows; wording shared by more than SHARED_BY items is left out."""
+def shared_grams(words: list[list[str]]) -> set[tuple[str, ...]]:
+    """The word n-grams that more than SHARED_BY of the given items hold."""
+    held = Counter(g for w in words for g in {tuple(w[k : k + SHARED_NGRAM]) for k in range(len(w) - SHARED_NGRAM + 1)})
+    return {g for g, n in held.items() if n > SHARED_BY}
+
+
+def build_index(items: list[tuple[int, str]], shared: list[list[int]] | None = None) -> ItemIndex:
+    """Index of (id, plain text) rows. ``shared``: of each the numbers of the words at which wording begins that more than
+    SHARED_BY of all items hold; without it that is judged among the given ones. Shared wording is left out."""
     items = [(i, _nfc(t)) for i, t in items]
     words = [t.split(" ") if t else [] for _, t in items]
-    holders: dict[tuple[str, ...], int] = Counter(g for w in words for g in {tuple(w[k : k + SHARED_NGRAM]) for k in range(len(w) - SHARED_NGRAM + 1)})
-    counts, starts, all_hash, all_item, all_pos, need = [], [], [], [], [], []
+    if shared is None:
+        held = shared_grams(words)
+        shared = [[k for k in range(len(w) - SHARED_NGRAM + 1) if tuple(w[k : k + SHARED_NGRAM]) in held] for w in words]
+    counts, need, grams = [], [], {q: ([], [], []) for q in TIERS}
     for n, ((_, text), w) in enumerate(zip(items, words)):
         ok = [True] * len(w)
-        for k in range(len(w) - SHARED_NGRAM + 1):
-            if holders[tuple(w[k : k + SHARED_NGRAM])] > SHARED_BY:
-                ok[k : k + SHARED_NGRAM] = [False] * SHARED_NGRAM
-        at = np.cumsum([0, *[len(x) + 1 for x in w]])[:-1] if w else np.zeros(0, dtype=int)
+        for k in shared[n]:
+            ok[k : k + SHARED_NGRAM] = [False] * SHARED_NGRAM
         counts.append(ok)
-        starts.append(at)
-        need.append(_least_shared(w, ok))
-        h = qgram_hashes(codes(text)) if len(text) >= Q else np.zeros(0, dtype=np.uint64)
-        if len(h):
-            word_of = np.searchsorted(at, np.arange(len(h)), side="right") - 1
-            last = np.searchsorted(at, np.arange(len(h)) + Q - 1, side="right") - 1
-            bad = np.concatenate([[0], np.cumsum([not x for x in ok])])
-            keep = bad[last + 1] - bad[word_of] == 0
-            all_hash.append(h[keep])
-            all_pos.append(np.flatnonzero(keep))
-            all_item.append(np.full(int(keep.sum()), n))
-    cat = lambda xs, kind: np.concatenate(xs).astype(kind) if xs else np.zeros(0, dtype=kind)
-    h, item, pos = cat(all_hash, np.uint64), cat(all_item, np.int64), cat(all_pos, np.int64)
+        run = least_run(w, ok)
+        q = next((x for x in TIERS if x <= run), TIERS[-1])
+        need.append(max(1, run - q + 1))
+        if not w:
+            continue
+        # a space before and after each word; that before a word is its own
+        h = qgram_hashes(codes(f" {text} "), q)
+        begins = np.cumsum([0, *[len(x) + 1 for x in w]])[:-1]
+        first = np.searchsorted(begins, np.arange(len(h)), side="right") - 1
+        last = np.searchsorted(begins + 1, np.arange(len(h)) + q - 1, side="right") - 1
+        bad = np.concatenate([[0], np.cumsum([not x for x in ok])])
+        keep = np.flatnonzero(bad[last + 1] - bad[first] == 0) if len(h) else np.zeros(0, dtype=np.int64)
+        for into, x in zip(grams[q], (h[keep], np.full(len(keep), n), keep)):
+            into.append(x)
+    tiers = [_tier(q, *(np.concatenate(x) for x in g)) for q, g in grams.items() if g[0]]
+    return ItemIndex([i for i, _ in items], words, counts, np.array(need, dtype=np.int64), tiers, [seeds(w, ok) for w, ok in zip(words, counts)], max((len(t) for _, t in items), default=0))
+
+
+def _tier(q: int, h: np.ndarray, item: np.ndarray, pos: np.ndarray) -> Tier:
     order = np.argsort(h, kind="stable")
     hashes, first = np.unique(h[order], return_index=True)
     bitmap = np.zeros(1 << 22, dtype=bool)
     bitmap[(hashes >> np.uint64(42)).astype(np.int64)] = True
-    return ItemIndex([i for i, _ in items], words, counts, starts, hashes, np.append(first, len(h)), item[order], pos[order], np.array(need, dtype=np.int64), bitmap, [seeds(w, ok) for w, ok in zip(words, counts)])
+    return Tier(q, hashes, np.append(first, len(h)), item[order].astype(np.int64), pos[order].astype(np.int64), bitmap)
 
 
-def _least_shared(words: list[str], ok: list[bool]) -> int:
-    """The q-grams that a case keeps at least (the q-gram lemma): its length less Q - 1, less the Q - 1 + word + 1 that
-    each edit touches, of its longest words. The least over stretches of 12 words with one edit, 16 with two and 24 with
-    three, as a case of two may hold none of one. At least 1."""
-    best = 1 << 30
-    for size in range(LEAST_WORDS, CASE_WORDS + 1):
-        edits = size // EDIT_SHARE
-        if size != LEAST_WORDS and size != edits * EDIT_SHARE:
-            continue
-        for k in range(len(words) - size + 1):
-            if all(ok[k : k + size]):
-                sizes = sorted(map(len, words[k : k + size]))
-                best = min(best, sum(sizes) + size - 1 - Q + 1 - sum(Q + x for x in sizes[-edits:]))
-    return max(1, best)
+def least_run(words: list[str], ok: list[bool]) -> int:
+    """Characters of the shortest SEED counted words in a row, with the spaces inside and around them. Every case keeps
+    such a run whole: n words with e edits leave n - e in e + 1 runs, and n is 8 e and 12 at least."""
+    return min((sum(map(len, words[k : k + SEED])) + SEED + 1 for k in range(len(words) - SEED + 1) if all(ok[k : k + SEED])), default=TIERS[0])
 
 
 def candidates(index: ItemIndex, texts: list[str]) -> dict[tuple[int, int], tuple[int, int]]:
-    """(text number, item number) to the span of positions in the text whose band reaches the item's need."""
-    if not len(index.hashes) or not texts:
-        return {}
-    joined = ("\x00" * Q).join(texts)
-    all_codes = codes(joined)
-    if len(all_codes) < Q:
+    """(text number, item number) to the span of positions in the text whose bands reach the item's need."""
+    if not index.tiers or not texts:
         return {}
-    h = qgram_hashes(all_codes)
-    at = np.flatnonzero(index.bitmap[(h >> np.uint64(42)).astype(np.int64)])
-    where = np.searchsorted(index.hashes, h[at])
-    where[where == len(index.hashes)] = 0
-    hit = index.hashes[where] == h[at]
+    padded = [f" {t} " for t in texts]
+    gap = "\x00" * TIERS[0]
+    all_codes = codes(gap.join(padded))
+    begins = np.cumsum([0, *[len(t) + len(gap) for t in padded]])[:-1]
+    out: dict[tuple[int, int], tuple[int, int]] = {}
+    for tier in index.tiers:
+        if len(tier.hashes) and len(all_codes) >= tier.q:
+            _bands(index, tier, all_codes, begins, out)
+    return out
+
+
+def _bands(index: ItemIndex, tier: Tier, all_codes: np.ndarray, begins: np.ndarray, out: dict[tuple[int, int], tuple[int, int]]) -> None:
+    h = qgram_hashes(all_codes, tier.q)
+    at = np.flatnonzero(tier.bitmap[(h >> np.uint64(42)).astype(np.int64)])
+    where = np.searchsorted(tier.hashes, h[at])
+    where[where == len(tier.hashes)] = 0
+    hit = tier.hashes[where] == h[at]
     at, where = at[hit], where[hit]
     if not len(at):
-        return {}
-    many = index.first[where + 1] - index.first[where]
+        return
+    many = tier.first[where + 1] - tier.first[where]
     pos = np.repeat(at, many)
-    entry = np.repeat(index.first[where] - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(int(many.sum()))
-    item, item_pos = index.item[entry], index.pos[entry]
-    begins = np.cumsum([0, *[len(t) + Q for t in texts]])[:-1]
+    entry = np.repeat(tier.first[where] - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(int(many.sum()))
+    item, item_pos = tier.item[entry], tier.pos[entry]
     doc = np.searchsorted(begins, pos, side="right") - 1
     diagonal = (pos - begins[doc] - item_pos) + (1 << 30)
-    half = BAND // 2
-    band = diagonal // half
+    band = diagonal // (BAND // 2)
     wide = np.int64(1 << 31)
     key = (doc * len(index.ids) + item) * wide
     # each hit belongs to the band that starts in its half and to the one before
@@ -166,13 +185,11 @@ def candidates(index: ItemIndex, texts: list[str]) -> dict[tuple[int, int], tupl
     pair = every[edges] // wide
     reach = size >= index.need[pair % len(index.ids)]
     low, high = np.minimum.reduceat(spot, edges), np.maximum.reduceat(spot, edges)
-    out: dict[tuple[int, int], tuple[int, int]] = {}
     for p, lo, hi in zip(pair[reach].tolist(), low[reach].tolist(), high[reach].tolist()):
         k = (p // len(index.ids), p % len(index.ids))
         b = int(begins[k[0]])
         a = out.get(k, (lo - b, hi - b))
         out[k] = (min(a[0], lo - b), max(a[1], hi - b))
-    return out
 
 
 #: Exact words in a row that every case has: e edits leave n - e of n >= 8 e (and >= 12) words in e + 1 runs.
@@ -278,37 +295,61 @@ def find(index: ItemIndex, texts: list[str]) -> list[tuple[int, int]]:
     """(text number, item id) of every case among some plain texts."""
     texts = [_nfc(t) for t in texts]
     out = []
-    reach = max(map(len, (" ".join(w) for w in index.words)), default=0) + BAND
+    reach = index.longest + BAND + TIERS[0]
     for (d, n), (lo, hi) in candidates(index, texts).items():
         text = texts[d]
         a = text.rfind(" ", 0, max(0, lo - reach)) + 1
-        b = text.find(" ", hi + Q + reach)
+        b = text.find(" ", hi + reach)
         if aligned(index.words[n], index.counts[n], text[a : b if b >= 0 else len(text)].split(" "), index.seeds[n]):
             out.append((d, index.ids[n]))
     return out
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
+@F.pandas_udf(T.StringType())
+def _nfc_series(text: pd.Series) -> pd.Series:
+    return text.map(_nfc, na_action="ignore")
+
+
+def judged_items(items: DataFrame, key: str = "item_id", text: str = "text") -> DataFrame:
+    """(key, t, shared): plain texts, and the numbers of the words at which wording begins that more than SHARED_BY of all
+    items hold. The holders are counted over all items, before these are taken in blocks."""
+    rows = items.select(F.col(key), _nfc_series(plain(F.col(text))).alias("t")).filter("t <> ''").distinct()
+    w = F.split("t", " ")
+    many = F.size(w) >= SHARED_NGRAM
+    starts = F.when(many, F.sequence(F.lit(0), F.size(w) - SHARED_NGRAM)).otherwise(F.array().cast("array<int>"))
+    grams = rows.select(F.col(key), "t", F.explode(starts).alias("k")).withColumn("gram", F.array_join(F.slice(w, F.col("k") + 1, SHARED_NGRAM), " "))
+    held = grams.select(key, "gram").distinct().groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > SHARED_BY).select("gram")
+    marks = grams.join(held, "gram", "left_semi").groupBy(key, "t").agg(F.array_sort(F.collect_set("k")).alias("shared"))
+    return rows.join(marks, [key, "t"], "left")
+
+
+def blocks(rows: Iterator[tuple], most: int = ITEM_BLOCK, size: int = ITEM_BYTES) -> Iterator[list[tuple]]:
+    """Rows (id, text, ...) in lists of at most ``most`` and about ``size`` characters of text, as they come."""
+    block, held = [], 0
+    for row in rows:
+        if block and (len(block) >= most or held + len(row[1]) > size):
+            yield block
+            block, held = [], 0
+        block.append(row)
+        held += len(row[1])
+    if block:
+        yield block
+
+
+def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", item_block: int = ITEM_BLOCK) -> DataFrame:
     """(key, item_key): documents that hold a passage of an item, all pairs, each once.
 
-    The items are a stated query set against all rows. They are collected in blocks of ITEM_BLOCK rows and
-    ITEM_BYTES, each block a pass over the corpus; shared wording is judged over all items of a block. Null and
-    blank texts, and items under LEAST_WORDS counted words, have no case.
+    The items are a stated query set against all rows. They come to the driver a block at a time, never all; each block
+    is a pass over the corpus. Null and blank texts, and items under LEAST_WORDS counted words, have no case. Of an id
+    with several texts each counts.
     """
-    rows = [(r[0], r[1]) for r in items.select(item_key, plain(F.col(item_text)).alias("t")).filter("t <> ''").distinct().toLocalIterator()]
-    blocks: list[list[tuple[int, str]]] = [[]]
-    size = 0
-    for row in sorted(rows):
-        size += len(row[1])
-        if len(blocks[-1]) >= ITEM_BLOCK or size > ITEM_BYTES:
-            blocks.append([])
-            size = len(row[1])
-        blocks[-1].append(row)
+    judged = judged_items(items, item_key, item_text).orderBy(item_key, "t")
     kinds, item_kinds = dict(docs.dtypes), dict(items.dtypes)
+    schema = f"`{key}` {kinds[key]}, `{item_key}` {item_kinds[item_key]}"
     corpus = docs.select(F.col(key), plain(F.col(text)).alias("__plain")).filter(F.length("__plain") >= LEAST_WORDS)
-    out = None
-    for block in blocks:
-        shared = docs.sparkSession.sparkContext.broadcast(build_index(block))
+    out = docs.sparkSession.createDataFrame([], schema)
+    for block in blocks((tuple(r) for r in judged.toLocalIterator()), item_block):
+        shared = docs.sparkSession.sparkContext.broadcast(build_index([r[:2] for r in block], [r[2] or [] for r in block]))
 
         def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             index = shared.value
@@ -319,6 +360,5 @@ def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str
                     if found:
                         yield pd.DataFrame({key: [keys[i + d] for d, _ in found], item_key: [n for _, n in found]})
 
-        part = corpus.mapInPandas(run, f"`{key}` {kinds[key]}, `{item_key}` {item_kinds[item_key]}")
-        out = part if out is None else out.unionByName(part)
+        out = out.unionByName(corpus.mapInPandas(run, schema))
     return out.distinct()
