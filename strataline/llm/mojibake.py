@@ -25,8 +25,6 @@ SWAPPED = [
 ]
 #: Multi-byte encodings that UTF-8 is wrongly read in; often not without loss.
 WIDE_AS = ["gbk", "cp932", "big5", "euc_kr"]
-#: Layers that are undone at most; real text has two or three.
-LAYERS = 6
 
 
 @lru_cache(maxsize=None)
@@ -182,11 +180,13 @@ def _token(token: str) -> str:
     was = cost(token)
     if was == 0:
         return token
-    best, best_cost = token, was - 0.9
+    found: dict[str, float] = {}
     for encoding in READ_AS:
         to = _utf8_as(token, encoding)
-        if to != token and (c := cost(to)) < best_cost:
-            best, best_cost = to, c
+        if to != token and to not in found and (c := cost(to)) < was - 0.9:
+            found[to] = c
+    best = _likeliest(found) if found else token
+    best_cost = found.get(best, was - 0.9)
     # a strict decoding of most of it as UTF-8 is no accident; else other pairs may do better
     if best_cost > 0 and 5 * len(_HIGH.findall(best)) > 3 * len(_HIGH.findall(token)):
         for written, read in SWAPPED:
@@ -198,6 +198,28 @@ def _token(token: str) -> str:
     return best
 
 
+def _likeliest(found: dict[str, float]) -> str:
+    """Of several decodings of one token the one of least cost; where none is without, further layers decide."""
+    ranked = sorted(found, key=found.__getitem__)
+    if len(ranked) == 1 or found[ranked[0]] == 0:
+        return ranked[0]
+    ends: dict[str, float] = {}
+    for to in ranked:
+        ends[to] = cost(_end(to))
+        if ends[to] == 0:
+            return to
+    return min(ranked, key=ends.__getitem__)
+
+
+def _end(token: str) -> str:
+    """A token after all layers."""
+    seen = {token}
+    while (to := _remembered(token)) not in seen:
+        seen.add(to)
+        token = to
+    return token
+
+
 def _lost(line: str) -> bool:
     """Whether a line of words holds a character that a wrong decoding lost, other than symbol junk."""
     if "�" not in line:
@@ -223,15 +245,22 @@ def _remembered(token: str) -> str:
 
 
 def repair(text: str | None) -> tuple[str | None, bool, int]:
-    """(text as far as it can be restored, whether any of it was garbled, layers undone)."""
+    """(text as far as it can be restored, whether any of it was garbled, layers undone).
+
+    Layers are undone until nothing changes. That ends: no step makes a text longer, and none leads back to one that was.
+    """
     if text is None or text.isascii():
         return text, False, 0
     garbled, layers, now = False, 0, text
-    while layers < LAYERS:
+    seen = {text}
+    while True:
         changed = {t: to for t in set(_SPACE.split(now)) if not t.isascii() and (to := _remembered(t)) != t}
         if not changed:
             break
         now = _TOKEN.sub(lambda m: changed.get(m[0], m[0]), now)  # noqa: B023
+        if now in seen:
+            break
+        seen.add(now)
         garbled, layers = True, layers + 1
     if "�" in text and any(map(_lost, text.split("\n"))):
         garbled = True

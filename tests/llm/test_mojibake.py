@@ -40,3 +40,11 @@ def test_rows(spark):
     got = sorted((r.doc_id, (r.repaired or "")[:9], r.garbled) for r in repair_texts(spark.createDataFrame(rows, "doc_id int, text string, layers string")).collect())
     assert got == [(1, "Köststead", True), (1, "Köststead", True), (2, "", False), (3, "", False), (4, "é" * 9, False)]
     assert repair_texts(spark.createDataFrame([], "doc_id int, text string")).count() == 0
+
+
+@pytest.mark.parametrize("text", ["naïve", "Lösung"])
+def test_any_number_of_layers(text):
+    bad = text
+    for n in range(1, 13):
+        bad = "".join(bytes([b]).decode("cp1252", "ignore") or chr(b) for b in bad.encode("utf-8"))
+        assert repair(bad) == (text, True, n)
