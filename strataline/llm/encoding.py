@@ -2,7 +2,8 @@
 
 In each partition the distinct pre-tokens of a batch become token-position rows of a table. A recursive DuckDB
 query joins neighbouring tokens with the merge table and contracts, in each word, the minimum-rank pair from
-the left, until no pair of any word is in the table; an ordered aggregation gives the ids.
+the left, until no pair of any word is in the table; an ordered aggregation gives the ids. Another one decodes: ids
+join the vocabulary, and their bytes are put together in order.
 
 Two exact reductions come first. A text is cut at single spaces, where no pre-token can cross, so that
 pre-tokenisation runs once for each distinct piece. And a word is cut between two bytes that stand side by side
@@ -26,28 +27,12 @@ from pyspark.sql import DataFrame
 TOKENIZERS = "/opt/tokenizers"
 #: Pre-tokens of this kind of tokenizer (the published pattern).
 PRETOKEN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Words of more bytes than this are contracted on rows, shorter ones on lists; the results are the same.
-LONG_BYTES = 24
+#: About the most token-position rows that a query begins with, unless one word has more.
+ROWS = 500_000
 #: Entries of a worker's memo of words; beyond it words are encoded anew. The results are the same.
 MEMO = 400_000
 
-_LISTS = """
-with recursive step(it, word, ids) as (
-  select 0, word, list(id order by pos) from tokens group by word
-  union all
-  select it + 1, word, ids[:hit - 1] || [made] || ids[hit + 2:]
-  from (
-    select it, word, any_value(ids) as ids, arg_min(nth, rank * 65536::bigint + nth) as hit, arg_min(made, rank * 65536::bigint + nth) as made
-    from (
-      select it, word, ids, nth, ids[nth]::bigint * 65536 + ids[nth + 1] as pair
-      from (select it, word, ids, unnest(range(1, len(ids))) as nth from step)
-    ) join merges using (pair)
-    group by it, word
-  )
-)
-select word, arg_max(ids, it) as ids from step group by word order by word
-"""
-# The same on rows; equal pairs of one word are contracted together, from the left, without overlap.
+# Equal pairs of one word are contracted together, from the left, without overlap.
 _ROWS = """
 with recursive step(it, word, pos, id) as (
   select 0, word, pos, id from tokens
@@ -72,6 +57,7 @@ with recursive step(it, word, pos, id) as (
 ), last as (select word, max(it) as it from step group by word)
 select word, list(id order by pos) as ids from step join last using (word, it) group by word order by word
 """
+_DECODE = "select item, string_agg(bytes, '' order by pos) as bytes from ids join vocabulary using (id) group by item"
 
 
 def _letters() -> dict[str, int]:
@@ -97,6 +83,7 @@ class Encoder:
             if len(b) == 1:
                 self.byte_ids[b[0]] = number
             self.beside[b[:-1], b[1:]] = True
+        spelled = pa.table({"id": pa.array(vocab.values(), pa.int32()), "bytes": ["".join(f"{letters[c]:02x}" for c in token) for token in vocab]})
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         merges = pa.table(
             {
@@ -105,16 +92,19 @@ class Encoder:
                 "made": pa.array([vocab[a + b] for a, b in pairs], pa.int32()),
             }
         )
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "600MB"})
-        self.con.register("given", merges)
-        self.con.execute("create table merges as select * from given")
-        self.con.unregister("given")
+        # nothing may spill to a folder of the machine
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "600MB", "temp_directory": ""})
+        for name, rows in (("merges", merges), ("vocabulary", spelled)):
+            self.con.register("given", rows)
+            self.con.execute(f"create table {name} as select * from given")
+            self.con.unregister("given")
         self.pretoken = regex.compile(PRETOKEN)
         self.piece = regex.compile(r"(?<=\S)(?= \S)")
         self.ragged = regex.compile(r" \s|\s ")
         self.pieces: dict[str, list[int]] = {}
 
-    def _query(self, words: list[bytes], sql: str) -> list[list[int]]:
+    def contract(self, words: list[bytes]) -> list[list[int]]:
+        """The ids of each word, by the recursive query."""
         if not words:
             return []
         lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
@@ -126,7 +116,7 @@ class Encoder:
             "id": self.byte_ids[data],
         }
         self.con.register("tokens", pa.table(rows))
-        out = self.con.sql(sql).to_arrow_table()
+        out = self.con.sql(_ROWS).to_arrow_table()
         self.con.unregister("tokens")
         return out["ids"].to_pylist()
 
@@ -157,8 +147,14 @@ class Encoder:
         parts = {w: self._parts(w.encode("utf-8", "surrogatepass")) for w in {w for ws in words.values() for w in ws}}
         distinct = sorted({x for xs in parts.values() for x in xs})
         known: dict[bytes, list[int]] = {}
-        for some, sql in (([x for x in distinct if len(x) <= LONG_BYTES], _LISTS), ([x for x in distinct if len(x) > LONG_BYTES], _ROWS)):
-            known |= zip(some, self._query(some, sql))
+        some, size = [], 0
+        for x in distinct:  # a bounded number of rows in a query, whatever the texts
+            some.append(x)
+            size += len(x)
+            if size > ROWS:
+                known |= zip(some, self.contract(some))
+                some, size = [], 0
+        known |= zip(some, self.contract(some))
         for p in new:
             self.pieces[p] = [i for w in words[p] for x in parts[w] for i in known[x]]
 
@@ -176,6 +172,21 @@ class Encoder:
         return out
 
 
+    def decode(self, lists: list[list[int] | None]) -> list[str]:
+        """The text of each list of ids; no list and an empty one give an empty text. Ids that the vocabulary lacks, and
+        bytes that are no UTF-8 (U+FFFD), can't come from ``encode``."""
+        sizes = [0 if x is None else len(x) for x in lists]
+        flat = np.concatenate([np.asarray(x, dtype=np.int32) for x, n in zip(lists, sizes) if n]) if any(sizes) else np.zeros(0, dtype=np.int32)
+        rows = {"item": np.repeat(np.arange(len(lists), dtype=np.int32), sizes), "pos": np.arange(len(flat), dtype=np.int64), "id": flat}
+        self.con.register("ids", pa.table(rows))
+        found = self.con.sql(_DECODE).to_arrow_table()
+        self.con.unregister("ids")
+        out = [""] * len(lists)
+        for n, spelled in zip(found["item"].to_pylist(), found["bytes"].to_pylist()):
+            out[n] = bytes.fromhex(spelled).decode("utf-8", "replace")
+        return out
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     """One encoder for each Python worker and file."""
@@ -200,3 +211,18 @@ def encode_texts(df: DataFrame, key: str = "doc_id", text: str = "text", name: s
                 yield pd.DataFrame({key: part[key].to_numpy(), "ids": pd.Series([np.asarray(x, dtype=np.int32) for x in ids], dtype=object)})
 
     return df.select(key, text).mapInPandas(run, f"`{key}` {kind}, ids array<int>")
+
+
+def decode_texts(df: DataFrame, key: str = "doc_id", ids: str = "ids", name: str = "byte_bpe_50k", folder: str = TOKENIZERS, batch: int = 2000) -> DataFrame:
+    """(key, text): the text of each row's ids, one row for every row of ``df``; null and empty lists give an empty text.
+    No shuffle."""
+    path = f"{folder}/{name}.json"
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        enc = encoder(path)
+        for pdf in batches:
+            for i in range(0, len(pdf), batch):
+                part = pdf.iloc[i : i + batch]
+                yield pd.DataFrame({key: part[key].to_numpy(), "text": enc.decode(part[ids].tolist())})
+
+    return df.select(key, ids).mapInPandas(run, f"`{key}` {dict(df.dtypes)[key]}, text string")
