@@ -3,6 +3,9 @@
 Documents with the same lines collapse into clusters first. A line then counts over distinct clusters (each
 standing for one document, or for as many as it holds) and over publication dates, and a line found in a large
 share of its source's documents is boilerplate.
+
+Distinct (source, document, line hash) rows are made once, in one shuffle of hashes, and kept; all counts come from
+them. The lines that count are few (``mark_repeated``), so they are broadcast once counted and no line is shuffled again.
 """
 
 from __future__ import annotations
@@ -10,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataline.llm.common import SPACE
+from strataline.llm.common import BROADCAST_ROWS, SPACE, settled
 
 
 def line_form(line: Column) -> Column:
@@ -35,12 +38,12 @@ def with_line_hash(lines: DataFrame, min_words: int) -> DataFrame:
     return lines.filter(worded(F.col("line"), min_words)).withColumn("line_hash", F.xxhash64(form, F.length(form)))
 
 
-def document_clusters(lines: DataFrame, source: str, doc: str) -> DataFrame:
-    """(doc, cluster): documents of a source with the same set of line hashes share a cluster id.
+def document_clusters(each: DataFrame, source: str, doc: str) -> DataFrame:
+    """(source, doc, cluster): documents of a source with the same set of line hashes share a cluster id.
 
-    The fingerprint is a commutative sum over distinct hashes, so it combines on the map side.
+    ``each``: distinct (source, doc, line_hash). The fingerprint is a commutative sum over the hashes, so it combines on
+    the map side.
     """
-    each = lines.select(source, doc, "line_hash").distinct()
     a = F.sum(F.col("line_hash").cast("decimal(38,0)"))
     b = F.bit_xor(F.xxhash64(F.col("line_hash"), F.lit(7)))
     return each.groupBy(source, doc).agg(F.xxhash64(a.cast("string"), b, F.count(F.lit(1))).alias("cluster"))
@@ -51,37 +54,56 @@ def repeated_lines(
     totals: DataFrame,
     source: str = "site",
     doc: str = "file_id",
-    date: str | None = None,
+    dates: DataFrame | None = None,
     share: float = 0.2,
     least: int = 3,
     least_dates: int = 1,
     weigh: str = "documents",
 ) -> DataFrame:
-    """Boilerplate of each source: (source, line_hash, n_docs, n_clusters, n_dates).
-
-    ``lines``: source, doc, line_hash (and date); ``totals``: source, n_all. With ``weigh="documents"`` a cluster
-    counts as the documents in it, with ``"clusters"`` as one, so that republished documents don't make a line
-    boilerplate. Rows without a source never count. Every shuffle is of distinct hashes, pre-aggregated; no text
-    is moved, and a line that one source repeats in all its documents is counted by partial sums.
+    """Boilerplate of each source: (source, line_hash, n_docs, n_clusters, n_dates), settled.
+
+    ``lines``: source, doc, line_hash; ``totals``: source, n_all (its documents). With ``weigh="documents"`` a cluster
+    counts as the documents in it, with ``"clusters"`` as one, among the source's clusters, so that republished documents
+    don't make a line boilerplate. ``dates``: source, doc, date; a cluster has the date of its first publication, and
+    ``n_dates`` of a line are the distinct dates of its clusters (0 without ``dates``). Rows without a source never count.
+    Every shuffle is of distinct hashes, pre-aggregated; no text is moved, and a line that one source repeats in all its
+    documents is counted by partial sums.
     """
-    dates = [date] if date else []
-    each = lines.filter(F.col(source).isNotNull()).select(source, doc, "line_hash", *dates).distinct()
+    each = settled(lines.filter(F.col(source).isNotNull()).select(source, doc, "line_hash").distinct())
     clusters = document_clusters(each, source, doc)
-    members = clusters.groupBy(source, "cluster").agg(F.min(doc).alias(doc), F.count(F.lit(1)).alias("members"))
-    counted = each.join(members.select(doc, "members"), doc)  # one document stands for its cluster
-    day = F.count_distinct(F.col(date)) if date else F.lit(1).cast("bigint")
-    by_line = counted.groupBy(source, "line_hash").agg(
-        F.sum("members").alias("n_docs"), F.count(F.lit(1)).alias("n_clusters"), day.alias("n_dates")
-    )
+    day = F.lit(None).cast("date")
+    if dates is not None:
+        first = dates.groupBy(source, doc).agg(F.min("date").alias("date"))
+        clusters, day = clusters.join(first, [source, doc], "left"), F.min("date")
+    members = clusters.groupBy(source, "cluster").agg(F.min(doc).alias(doc), F.count(F.lit(1)).alias("members"), day.alias("date"))
+    counted = each.join(members.select(source, doc, "members", "date"), [source, doc])  # one document stands for its cluster
+    by_line = counted.groupBy(source, "line_hash").agg(F.sum("members").alias("n_docs"), F.count(F.lit(1)).alias("n_clusters"))
+    if dates is None:
+        by_line = by_line.withColumn("n_dates", F.lit(0).cast("bigint"))
+    else:
+        days = counted.filter("date is not null").groupBy(source, "line_hash", "date").agg(F.lit(1).alias("one"))
+        days = days.groupBy(source, "line_hash").agg(F.count(F.lit(1)).alias("n_dates"))
+        by_line = by_line.join(days, [source, "line_hash"], "left").na.fill(0, ["n_dates"])
     n = F.col("n_docs" if weigh == "documents" else "n_clusters")
-    kept = (n >= least) & (F.col("n_dates") >= least_dates)
-    return by_line.filter(kept).join(totals, source).filter(n >= F.lit(share) * F.col("n_all")).drop("n_all")
+    if weigh != "documents":
+        totals = members.groupBy(source).agg(F.count(F.lit(1)).alias("n_all"))
+    kept = n >= least if dates is None else (n >= least) & (F.col("n_dates") >= least_dates)
+    return settled(by_line.filter(kept).join(totals, source).filter(n >= F.lit(share) * F.col("n_all")).drop("n_all"))
 
 
-def mark_repeated(lines: DataFrame, repeated: DataFrame, source: str = "site") -> DataFrame:
-    """Lines that are boilerplate of their source. ``repeated`` has at most 1/share times the mean number of
-    lines of a document for each source, whatever the corpus size; Spark broadcasts it if it is small."""
-    return lines.join(repeated.select(source, "line_hash"), [source, "line_hash"], "left_semi")
+def mark_repeated(lines: DataFrame, repeated: DataFrame, source: str = "site", most: int = BROADCAST_ROWS, parts: int = 64) -> DataFrame:
+    """Lines that are boilerplate of their source.
+
+    ``repeated`` (settled) has at most 1/share times the mean number of lines of a document for each source, whatever the
+    corpus size. Up to ``most`` rows it is broadcast. Beyond that both sides are split by ``parts``, so that a line which
+    a giant source repeats in all its documents meets in that many tasks.
+    """
+    keys = repeated.select(source, "line_hash")
+    if repeated.count() <= most:
+        return lines.join(F.broadcast(keys), [source, "line_hash"], "left_semi")
+    keys = keys.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    split = lines.withColumn("__part", F.pmod(F.xxhash64(*[c for c in lines.columns if c not in (source, "line_hash")]), F.lit(parts)).cast("int"))
+    return split.join(keys, [source, "line_hash", "__part"], "left_semi").drop("__part")
 
 
 def without_lines(df: DataFrame, found: DataFrame, keys: list[str], text: str, out: str) -> DataFrame:

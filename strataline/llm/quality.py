@@ -17,12 +17,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strataline.llm.common import words_of
+
 KINDS = ("prose", "list", "table", "junk")
 #: Most labelled rows that the model is fitted on, taken by hash order.
 SAMPLE = 6_000
-#: A word is known when it stands in this share of all documents at least (and in two). A document has few hundred
-#: distinct words, so at most some hundreds / KNOWN_SHARE words are known, however large the corpus is.
-KNOWN_SHARE = 1e-4
 #: Words of a line beyond which it is judged in pieces of this many.
 LINE_WORDS = 30
 
@@ -44,7 +43,7 @@ _LEADER = regex.compile(r"\.{4,}|(?:\. ){3,}|·{3,}|_{4,}|…{2,}")
 _STOP = regex.compile(r"[.!?…。！？।][\"'”’»)\]」』）]*(?=\s|$|[^\s\p{N}\p{Latin}])")
 _END = regex.compile(r"[.!?…。！？।:：;；][\"'”’»)\]」』）]*\s*$")
 _NUMERIC = regex.compile(r"[-+(]?[\d.,:/]*\d[\d.,:/%)]*|n/a|-|–", regex.I)
-_ALONE = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}]")
+_SPACELESS = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}]")
 _WIDE = regex.compile(r"\t| {3,}|\|")
 _WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 _SYMBOL = regex.compile(r"[^\p{L}\p{M}\p{N}\s.,;:'\"!?()\-–—’‘“”«»„。、，…：；！？（）「」《》।]")
@@ -72,19 +71,19 @@ def pieces(text: str) -> list[str]:
     return out
 
 
-def line_stats(line: str, known: frozenset[str] | set[str]) -> list[float]:
-    """The statistics of one line."""
+def line_stats(line: str, alone: frozenset[str] | set[str]) -> list[float]:
+    """The statistics of one line. ``alone``: words that no other document of the corpus has."""
     tokens = line.split()
     n, size = max(1, len(tokens)), max(1, len(line.strip()))
     words = _WORD.findall(line.lower())
-    alone = 0 if line.isascii() else len(_ALONE.findall(line))
+    spaceless = 0 if line.isascii() else len(_SPACELESS.findall(line))
     k = max(1, len(words))
     function = sum(w in _FUNCTION for w in words) / k
-    if alone * 2 > size:
+    if spaceless * 2 > size:
         function = sum(c in _FUNCTION_CHARS for c in line) / size * 4
         seen = 1.0
     else:
-        seen = sum(w in known for w in words) / k if words else 0.0
+        seen = sum(w not in alone for w in words) / k if words else 0.0
     numeric = sum(1 for t in tokens if _NUMERIC.fullmatch(t)) / n
     digits = sum(map(str.isdigit, line))
     capital = sum(t[0].isupper() for t in tokens) / n if tokens else 0.0
@@ -93,7 +92,7 @@ def line_stats(line: str, known: frozenset[str] | set[str]) -> list[float]:
     return [
         np.log1p(n), min(30.0, size / n), len(_SYMBOL.findall(line)) / size, digits / size, float(bool(_END.search(line))), min(1.0, function),
         float(bool(_ENUM.match(line))), capital, min(3.0, len(_WIDE.findall(line)) / 2), (line.count(",") + line.count("、") + line.count("，")) / n,
-        float(bool(_LEADER.search(line))), numeric, len(set(words)) / k, seen, (line.count("/") + line.count("·") + line.count("»") + line.count(";")) / n, alone / size,
+        float(bool(_LEADER.search(line))), numeric, len(set(words)) / k, seen, (line.count("/") + line.count("·") + line.count("»") + line.count(";")) / n, spaceless / size,
         np.log1p(max(map(len, tokens), default=0)), letters / size, np.log1p(len(_STOP.findall(line)) * 10 / n), top / k if len(words) > 3 else 0.0,
         float(line.strip()[:1].islower()), (line.count("=") + line.count("{") + line.count("<") + line.count("_")) / n,
     ]
@@ -174,37 +173,40 @@ def label_shares(model: Model, x: np.ndarray, weights: np.ndarray) -> np.ndarray
     return (post * weights[:, None]).sum(axis=0) / weights.sum()
 
 
-def known_words(docs: DataFrame, text: str = "content", share: float = KNOWN_SHARE) -> frozenset[str]:
-    """Words of at least ``share`` of all documents (and of two), collected: a bounded vocabulary (KNOWN_SHARE)."""
-    words = F.array_distinct(F.split(F.lower(F.col(text)), r"[^\p{L}\p{M}]+"))
-    least = F.greatest(F.lit(2.0), F.lit(share) * F.col("n"))
-    counts = docs.select(F.explode(words).alias("word")).filter("word <> ''").groupBy("word").agg(F.count(F.lit(1)).alias("docs"))
-    total = docs.agg(F.count(F.lit(1)).alias("n"))
-    kept = counts.join(F.broadcast(total), F.col("docs") >= least).select("word")
-    return frozenset(r[0] for r in kept.toLocalIterator())
+def lone_words(docs: DataFrame, key: str = "chunk_id", text: str = "content") -> DataFrame:
+    """(doc, alone): the words of a document, by the hash of its key, that no other document has.
+
+    Counted over all documents: a word's first and last holder tell whether there are two, and combine on the map side, so
+    the commonest words meet nowhere. What is left of a document is no more than its own words.
+    """
+    doc = F.xxhash64(F.col(key))
+    rows = docs.filter(F.col(text).isNotNull()).select(doc.alias("doc"), F.explode(words_of(F.col(text))).alias("word")).filter("word <> ''")
+    ends = rows.groupBy("word").agg(F.min("doc").alias("doc"), F.max("doc").alias("last")).filter("doc = last")
+    return ends.groupBy("doc").agg(F.collect_list("word").alias("alone"))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, text: str, sample: int = SAMPLE) -> list[tuple[str, str]]:
-    """(text, kind) of at most ``sample`` labelled documents, by hash order of the key; null kinds are left out."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, text: str, sample: int = SAMPLE) -> list[tuple[str, str, list[str]]]:
+    """(text, kind, alone) of at most ``sample`` labelled documents, by hash order of the key; null kinds are left out."""
     kinds = labels.filter(F.col("kind").isin(*KINDS)).groupBy(key).agg(F.max_by("kind", "labelled_at").alias("kind"))
     kinds = kinds.orderBy(F.xxhash64(key), key).limit(sample)
-    texts = docs.filter(F.col(text).isNotNull()).select(key, text)
-    rows = texts.join(F.broadcast(kinds), key).groupBy(key).agg(F.max(text).alias("t"), F.max("kind").alias("kind"))
-    return [(r["t"], r["kind"]) for r in rows.toLocalIterator()]
+    texts = docs.filter(F.col(text).isNotNull()).select(key, text, "alone")
+    rows = texts.join(F.broadcast(kinds), key).groupBy(key).agg(F.max(F.struct(text, "alone")).alias("t"), F.max("kind").alias("kind"))
+    return [(r["t"][text], r["kind"], r["t"]["alone"] or []) for r in rows.toLocalIterator()]
 
 
-def train(docs: DataFrame, labels: DataFrame, known: frozenset[str], key: str = "chunk_id", text: str = "content", sample: int = SAMPLE) -> Model:
+def train(docs: DataFrame, labels: DataFrame, key: str = "chunk_id", text: str = "content", sample: int = SAMPLE) -> Model:
+    """Model of the labelled ones of ``docs`` (key, text, alone)."""
     rows = labelled_sample(docs, labels, key, text, sample)
-    return fit([([line_stats(p, known) for p in pieces(t)], k) for t, k in sorted(rows)])
+    return fit([([line_stats(p, frozenset(alone)) for p in pieces(t)], k) for t, k, alone in sorted(rows)])
 
 
-def score(model: Model, known: frozenset[str], text: str | None) -> tuple:
+def score(model: Model, alone: frozenset[str], text: str | None) -> tuple:
     """The statistics of one document: words, mean word length, symbol ratio, shares of stopped lines, common words,
     and of the kinds; ``kind`` is the largest share (ties: the first). Null and blank texts have 0 words and no kind."""
     parts = pieces(text) if isinstance(text, str) else []
     if not parts:
         return (0, None, None, None, None, None, None, None, None, None)
-    x = np.array([line_stats(p, known) for p in parts])
+    x = np.array([line_stats(p, alone) for p in parts])
     n = np.array([len(p.split()) for p in parts], dtype=float)
     size = np.array([len(p.strip()) for p in parts], dtype=float)
     weights = np.maximum(n, size / 6)
@@ -215,18 +217,23 @@ def score(model: Model, known: frozenset[str], text: str | None) -> tuple:
     )
 
 
-def with_quality(docs: DataFrame, model: Model, known: frozenset[str], key: str = "chunk_id", text: str = "content") -> DataFrame:
+def with_alone(docs: DataFrame, lone: DataFrame, key: str = "chunk_id") -> DataFrame:
+    """``docs`` with ``alone``, null where a document has no such word."""
+    return docs.withColumn("__doc", F.xxhash64(F.col(key))).join(lone.withColumnRenamed("doc", "__doc"), "__doc", "left").drop("__doc")
+
+
+def with_quality(docs: DataFrame, model: Model, key: str = "chunk_id", text: str = "content") -> DataFrame:
     """(key, word_count, mean_word_length, symbol_ratio, stopped_lines, common_words, prose, list, table, junk, kind),
-    one row for each of ``docs``. No shuffle; model and vocabulary are broadcast."""
-    shared = docs.sparkSession.sparkContext.broadcast((model, known))
+    one row for each of ``docs`` (key, text, alone). No shuffle; the model is broadcast."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
     names = ["word_count", "mean_word_length", "symbol_ratio", "stopped_lines", "common_words", *KINDS, "kind"]
     kinds = f"`{key}` {dict(docs.dtypes)[key]}, word_count int, " + ", ".join(f"`{c}` double" for c in names[1:-1]) + ", kind string"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model, known = shared.value
+        model = shared.value
         for pdf in batches:
-            out = pd.DataFrame([score(model, known, t) for t in pdf[text]], columns=names)
+            out = pd.DataFrame([score(model, frozenset(a) if a is not None else frozenset(), t) for t, a in zip(pdf[text], pdf["alone"])], columns=names)
             out.insert(0, key, pdf[key].to_numpy())
             yield out
 
-    return docs.select(key, text).mapInPandas(run, kinds)
+    return docs.select(key, text, "alone").mapInPandas(run, kinds)

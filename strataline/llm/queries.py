@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataline.llm import boilerplate, encoding, leakage, mojibake, quality, scans, sentences, splitting, unify
-from strataline.llm.common import of_files, read, scanned_files
+from strataline.llm.common import latest, of_files, once, read, scanned_files, settled
 
 PROSE_TYPES = ("explanation", "definition", "example", "procedure")
 
@@ -16,46 +16,62 @@ PROSE_TYPES = ("explanation", "definition", "example", "procedure")
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
     """Sentence spans of the prose chunks of files that weren't scanned."""
-    chunks = read(spark, d, "chunks", "chunk_id", "file_id", "chunk_type", "content", "needs_review")
+    columns = ["file_id", "chunk_type", "content", "needs_review"]
+    chunks = once(read(spark, d, "chunks", "chunk_id", *columns, "ingested_at"), ["chunk_id"], "ingested_at", columns)
     chunks = chunks.filter(F.col("chunk_type").isin(*PROSE_TYPES) & (F.col("needs_review") == F.lit(False)) & F.col("content").isNotNull())
     rows = of_files(chunks, scanned_files(spark, d, False))
     spans = rows.select("chunk_id", F.explode(sentences.sentence_spans(F.col("content"))).alias("s"))
-    return spans.select("chunk_id", F.col("s.start_char").alias("start_char"), F.col("s.end_char").alias("end_char")).distinct()
+    return spans.select("chunk_id", F.col("s.start_char").alias("start_char"), F.col("s.end_char").alias("end_char"))
+
+
+def _contents(spark: SparkSession, d: str) -> DataFrame:
+    """(chunk_id, content), each chunk once."""
+    return once(read(spark, d, "chunks", "chunk_id", "content", "ingested_at"), ["chunk_id"], "ingested_at", ["content"])
 
 
 def p1_sentences(spark: SparkSession, d: str) -> DataFrame:
     """The sentences of every chunk, with their place."""
-    chunks = read(spark, d, "chunks", "chunk_id", "content").distinct()
-    rows = sentences.with_sentences(chunks).select("chunk_id", F.posexplode("sentences").alias("sentence_no", "s"))
+    rows = sentences.with_sentences(_contents(spark, d)).select("chunk_id", F.posexplode("sentences").alias("sentence_no", "s"))
     return rows.select("chunk_id", "sentence_no", F.col("s.text").alias("text"), F.col("s.start_char").alias("start_char"), F.col("s.end_char").alias("end_char"))
 
 
 # 2 quality -----------------------------------------------------------------------------------------------------------
 
 
-def p2_quality(spark: SparkSession, d: str) -> DataFrame:
-    """Text statistics and line label shares of every chunk that awaits review."""
-    chunks = read(spark, d, "chunks", "chunk_id", "file_id", "content", "needs_review").filter(F.col("content").isNotNull())
-    labels = read(spark, d, "labels", "chunk_id", "kind", "labelled_at")
-    known = quality.known_words(chunks)
-    model = quality.train(chunks, labels, known)
-    waiting = of_files(chunks.filter(F.col("needs_review") == F.lit(True)).select("chunk_id", "file_id", "content"), scanned_files(spark, d, False))
-    return quality.with_quality(waiting, model, known).distinct()
+def p2_quality(spark: SparkSession, d: str, files: DataFrame | None = None) -> DataFrame:
+    """Text statistics and line label shares of every chunk that awaits review (of some files)."""
+    columns = ["file_id", "content", "needs_review"]
+    chunks = once(read(spark, d, "chunks", "chunk_id", *columns, "ingested_at"), ["chunk_id"], "ingested_at", columns)
+    waiting = chunks.filter((F.col("needs_review") == F.lit(True)) & F.col("content").isNotNull())
+    lone = quality.lone_words(read(spark, d, "chunks", "chunk_id", "content"))
+    rows = settled(quality.with_alone(waiting.select("chunk_id", "file_id", "content"), lone))
+    model = quality.train(rows, read(spark, d, "labels", "chunk_id", "kind", "labelled_at"))
+    return quality.with_quality(rows if files is None else of_files(rows, files), model)
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    """Chunks awaiting review whose content is not mostly prose."""
-    return p2_quality(spark, d).filter(F.col("prose") < 0.5).select("chunk_id").distinct()
+    """Chunks awaiting review, of files that weren't scanned, whose content is not mostly prose."""
+    return p2_quality(spark, d, scanned_files(spark, d, False)).filter(F.col("prose") < 0.5).select("chunk_id")
 
 
 # 3 scans -------------------------------------------------------------------------------------------------------------
 
 
-def _site_lines(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    segments = read(spark, d, "flat_segments", "file_id", "site", "segment_id", "text")
-    lines = boilerplate.with_line_hash(boilerplate.explode_lines(segments, "text"), min_words=4).drop("text", "line")
+def _segments(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    """(file_id, segment_id, columns) of segments, each once."""
+    rows = read(spark, d, "flat_segments", "file_id", "segment_id", *columns, "ingested_at")
+    return once(rows, ["file_id", "segment_id"], "ingested_at", list(columns))
+
+
+def _lines(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Lines long enough to judge, as hashes, and the files of each site."""
+    lines = boilerplate.with_line_hash(boilerplate.explode_lines(_segments(spark, d, "site", "text"), "text"), min_words=4).drop("text", "line")
     files = read(spark, d, "source_files", "file_id", "site").filter(F.col("site").isNotNull())
-    totals = files.groupBy("site").agg(F.count_distinct("file_id").alias("n_all"))
+    return lines, files.groupBy("site").agg(F.count_distinct("file_id").alias("n_all"))
+
+
+def _site_lines(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    lines, totals = _lines(spark, d)
     return lines, boilerplate.repeated_lines(lines, totals)
 
 
@@ -88,23 +104,29 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     """Lines that a fifth of their site's files have, in each segment."""
     lines, repeated = _site_lines(spark, d)
-    found = boilerplate.mark_repeated(lines, repeated)
-    return found.select("file_id", "segment_id", F.col("line_no").cast("int").alias("line_no")).distinct()
+    return boilerplate.mark_repeated(lines, repeated).select("file_id", "segment_id", F.col("line_no").cast("int").alias("line_no"))
+
+
+def p4_boilerplate(spark: SparkSession, d: str) -> DataFrame:
+    """The method as named: lines in a fifth of a site's clusters of equal documents, three at least, of two dates."""
+    lines, totals = _lines(spark, d)
+    files = read(spark, d, "source_files", "file_id", "site", "extraction_timestamp").filter(F.col("site").isNotNull())
+    dates = files.select("site", "file_id", F.to_date("extraction_timestamp").alias("date"))
+    return boilerplate.repeated_lines(lines, totals, dates=dates, least_dates=2, weigh="clusters")
 
 
 def p4_cleaned(spark: SparkSession, d: str) -> DataFrame:
     """Every segment's text without the lines of its site."""
-    segments = read(spark, d, "flat_segments", "file_id", "segment_id", "text").distinct()
-    return boilerplate.without_lines(segments, p4_found(spark, d), ["file_id", "segment_id"], "text", "clean_text").drop("text")
+    return boilerplate.without_lines(_segments(spark, d, "text"), p4_found(spark, d), ["file_id", "segment_id"], "text", "clean_text").drop("text")
 
 
 # 5 one form ----------------------------------------------------------------------------------------------------------
 
 
 def p5_records(spark: SparkSession, d: str) -> DataFrame:
-    """(file_id, rec_key, text) of all segments and entries."""
-    a = read(spark, d, "flat_segments", "file_id", "segment_id", "text").withColumnRenamed("segment_id", "rec_key")
-    b = read(spark, d, "toc_entries", "file_id", "entry_id", "title")
+    """(file_id, rec_key, text) of all segments and entries, each once."""
+    a = _segments(spark, d, "text").withColumnRenamed("segment_id", "rec_key")
+    b = once(read(spark, d, "toc_entries", "file_id", "entry_id", "title", "ingested_at"), ["file_id", "entry_id"], "ingested_at", ["title"])
     return a.unionByName(b.select("file_id", F.col("entry_id").alias("rec_key"), F.col("title").alias("text")))
 
 
@@ -116,7 +138,7 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p5_unified(spark: SparkSession, d: str) -> DataFrame:
     """The one form of every text."""
-    return p5_records(spark, d).distinct().select("file_id", "rec_key", unify.unified(F.col("text")).alias("form"))
+    return p5_records(spark, d).select("file_id", "rec_key", unify.unified(F.col("text")).alias("form"))
 
 
 # 6 splitting ---------------------------------------------------------------------------------------------------------
@@ -124,12 +146,12 @@ def p5_unified(spark: SparkSession, d: str) -> DataFrame:
 
 def p6_pieces(spark: SparkSession, d: str) -> DataFrame:
     """Pieces within the limit of every chunk."""
-    return splitting.split_items(read(spark, d, "chunks", "chunk_id", "content").distinct())
+    return splitting.split_items(_contents(spark, d))
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     """Chunks that the operator had to cut."""
-    return splitting.split_items(read(spark, d, "chunks", "chunk_id", "content")).filter("piece_no = 1").select("chunk_id").distinct()
+    return splitting.split_items(_contents(spark, d)).filter("piece_no = 1").select("chunk_id")
 
 
 # 7 encoding ----------------------------------------------------------------------------------------------------------
@@ -167,7 +189,7 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        p1_found, p1_sentences, p2_found, p2_quality, p3_found, p3_repaired, p4_found, p4_cleaned, p5_found, p5_unified, p6_found, p6_pieces, p7_ids, p8_found, p9_found, p9_repaired,
+        p1_found, p1_sentences, p2_found, p2_quality, p3_found, p3_repaired, p4_found, p4_boilerplate, p4_cleaned, p5_found, p5_unified, p6_found, p6_pieces, p7_ids, p8_found, p9_found, p9_repaired,
     )
 }
 
@@ -188,7 +210,14 @@ with lines as (
 select distinct file_id, segment_id, line_no::int as line_no from forms join repeated using (site, form)
 """
 
+_CLEANED = f"""
+with found as ({_LINES}), once as (select file_id, segment_id, arg_max(text, coalesce(ingested_at, timestamp '1970-01-01')) as text from flat_segments group by 1, 2)
+select file_id, segment_id, case when text is not null then array_to_string(list_filter(string_split(text, chr(10)), lambda x, i: not list_contains(coalesce(gone, []), i - 1)), chr(10)) end as clean_text
+from once left join (select file_id, segment_id, list(line_no) as gone from found group by 1, 2) using (file_id, segment_id)
+"""
+
 ORACLES = {
     "p4_found": _LINES,
+    "p4_cleaned": _CLEANED,
     "p6_found": f"select distinct chunk_id from chunks where len(regexp_extract_all(content, '{_WORDS}')) > 500",
 }

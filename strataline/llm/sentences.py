@@ -13,7 +13,7 @@ from functools import lru_cache
 
 import pandas as pd
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -115,6 +115,8 @@ def language_rules(lang: str) -> list[Rule]:
             Rule(False, r".", r""),
         ]
     own: list[Rule] = []
+    if lang == "ru":
+        own += [Rule(True, r"\bт\. [дп]\.", r"\s+\p{Lu}"), Rule(False, r"\bт\.", r"\s?[едпк]\.")]
     if never := NEVER.get(lang):
         own.append(Rule(False, rf"(?<![\p{{L}}\p{{N}}])(?:{_any(never)})\.", r"\s*\S"))
     if lang == "de":
@@ -124,12 +126,7 @@ def language_rules(lang: str) -> list[Rule]:
             Rule(False, r"\bv\. H\.", r"\s+\p{Ll}"),
         ]
     if lang == "ru":
-        own += [
-            Rule(False, r"\b(?:г|д|с|пос)\.", r"[  ]\p{Lu}\p{Ll}+(?:е|а|у|ом)?\b(?=[^.!?]{0,12}[,.)])"),
-            Rule(True, r"\bт\. [дп]\.", r"\s+\p{Lu}"),
-            Rule(False, r"\bт\.", r"\s?[едпк]\."),
-        ]
-        own = [own[-2], own[-1], *own[:-3]] + [own[-3]] if len(own) > 3 else own
+        own.append(Rule(False, r"\b(?:г|д|с|пос)\.", r"[  ]\p{Lu}\p{Ll}+(?:е|а|у|ом)?\b(?=[^.!?]{0,12}[,.)])"))
     if lang == "es":
         own.append(Rule(False, r"\bp\. ?ej\.", r"\s*\S"))
     if may := MAY.get(lang):
@@ -162,9 +159,13 @@ def cascade(lang: str) -> Cascade:
     return Cascade(regex.compile(rf"{stop}|(?<=\S)(?=[  　\t])" if lang == "th" else stop), regex.compile(decide), tuple(r.brk for r in rules))
 
 
+_STOPPED = regex.compile(rf"[{STOP}{WIDE}]\s?[{CLOSE}]+$")
 _PARA = regex.compile(r"\n[^\S\n]*\n\s*")
-#: Speech in quotes or brackets: nothing inside ends a sentence.
-_GUARD = regex.compile(r"“[^“”]*”|„[^„“”]*[“”]|«[^«»]*»|(?<![\p{L}\p{N}])\"[^\"]*\"|\([^()]*\)|（[^（）]*）|「[^「」]*」|『[^『』]*』|\[[^\[\]]*\]")
+# Pairs of quotes and brackets, and what may stand between them.
+PAIRS = [r"“[^“”]*”", r"„[^„“”]*[“”]", r"«[^«»]*»", r"(?<![\p{L}\p{N}])\"[^\"]*\"", r"\([^()]*\)", r"（[^（）]*）", r"「[^「」]*」", r"『[^『』]*』", r"\[[^\[\]]*\]"]
+#: The first rule of every cascade: no break between the marks of a pair. It gives way to the rest of the cascade where
+#: the pair holds whole sentences, that is, where it opens a sentence and its end is a break by the other rules.
+INSIDE = regex.compile("|".join(PAIRS))
 _SCRIPTS = {"ja": r"[\p{Hiragana}\p{Katakana}]", "zh": r"\p{Han}", "th": r"\p{Thai}", "hi": r"\p{Devanagari}", "ru": r"\p{Cyrillic}"}
 _SCRIPT_PATTERNS = {k: regex.compile(v + "+") for k, v in _SCRIPTS.items()}
 _ODD = regex.compile(r"[^\x00-\u02ff\u2000-\u206f]")
@@ -209,14 +210,17 @@ def spans(text: str | None, lang: str | None = None) -> list[tuple[int, int]]:
 
 
 def _paragraph(text: str, offset: int, table: Cascade, out: list[tuple[int, int]]) -> None:
-    guards = [(m.start(), m.end()) for m in _GUARD.finditer(text)]
-    g, begin = 0, 0
+    pairs = [(m.start(), m.end()) for m in INSIDE.finditer(text)]
+    g, begin, whole = 0, 0, -1
     for m in table.candidates.finditer(text):
         at = m.end()
-        while g < len(guards) and guards[g][1] < at:
+        while g < len(pairs) and pairs[g][1] < at:
             g += 1
-        if g < len(guards) and guards[g][0] < at < guards[g][1]:
-            continue
+        if g < len(pairs) and pairs[g][0] < at < pairs[g][1] and g != whole:
+            a, b = pairs[g]
+            if text[begin:a].strip() or not _ends(text, b, table):
+                continue
+            whole = g
         if at < len(text) and not _breaks(text, at, table):
             continue
         _add(text, begin, at, offset, out)
@@ -224,6 +228,11 @@ def _paragraph(text: str, offset: int, table: Cascade, out: list[tuple[int, int]
     _add(text, begin, len(text), offset, out)
 
 
+def _ends(text: str, at: int, table: Cascade) -> bool:
+    """Whether a sentence ends with the pair that ends here."""
+    return bool(_STOPPED.search(text, max(0, at - 8), at)) and (at >= len(text) or _breaks(text, at, table))
+
+
 def _breaks(text: str, at: int, table: Cascade) -> bool:
     m = table.decide.match(text, at)
     return bool(m) and table.breaks[m.lastindex - 1]
@@ -257,7 +266,3 @@ def with_sentences(df: DataFrame, text: str = "content", out: str = "sentences")
         ),
     )
     return df.withColumn("__spans", sentence_spans(F.col(text))).withColumn(out, span).drop("__spans")
-
-
-def spans_of(text: str | Column) -> Column:
-    return sentence_spans(F.col(text) if isinstance(text, str) else text)

@@ -82,6 +82,7 @@ def cut(text: str, most: int = MAX_WORDS, least: int = MIN_WORDS, overlap: int =
     paragraphs = {bisect_left(starts, m.end()) for m in _PARAGRAPH.finditer(text)}
     lines = sorted({bisect_left(starts, i + 1) for i, c in enumerate(text) if c == "\n"})
     marks = landmarks([text[a:b] for a, b in found])
+    begins = [s for s, _ in sentences]
     out, at, prefix = [], 0, None
     while at < len(found):
         to, why = len(found), "none"
@@ -89,7 +90,7 @@ def cut(text: str, most: int = MAX_WORDS, least: int = MIN_WORDS, overlap: int =
             to, why = _next(at, most, least, ends, lines, paragraphs, marks)
         a, b = found[at][0], found[to - 1][1]
         out.append((a, b, a if prefix is None else prefix, why, to - at))
-        i, j = bisect_right([s for s, _ in sentences], a) - 1, bisect_left([s for s, _ in sentences], b)
+        i, j = bisect_right(begins, a) - 1, bisect_left(begins, b)
         last = sentences[max(i, j - overlap)][0] if j > 0 else a
         prefix, at = max(last, a), to
     if len(out) > 1:  # the last piece's cut is its predecessor's
@@ -101,15 +102,15 @@ def _next(at: int, most: int, least: int, ends: list[int], lines: list[int], par
     lo, hi = at + least, at + most
     natural = ends[bisect_left(ends, lo) : bisect_right(ends, hi)]
     if not natural:
-        before = ends[bisect_right(ends, at) : bisect_left(ends, lo)]
-        if not before:
-            rows = lines[bisect_left(lines, lo) : bisect_right(lines, hi)]
-            return (rows[-1], "line") if rows else (hi, "word_limit")
-        to = before[-1]
+        last = bisect_left(ends, lo) - 1
+        if last < 0 or ends[last] <= at:
+            row = bisect_right(lines, hi) - 1
+            return (lines[row], "line") if row >= 0 and lines[row] >= lo else (hi, "word_limit")
+        to = ends[last]
     else:
-        mark = marks[(marks >= lo) & (marks <= hi)][:1]
-        if len(mark):
-            m = int(mark[0])
+        first = int(np.searchsorted(marks, lo))
+        if first < len(marks) and marks[first] <= hi:
+            m = int(marks[first])
             # the nearest boundary; paragraph ends count as nearer by a quarter of the mean distance
             to = min(natural, key=lambda x: (abs(x - m) - (SPACING // 4 if x in paragraphs else 0), x))
         else:

@@ -2,12 +2,17 @@
 
 A longest-match transducer over grapheme clusters applies a mapping for widths, accents, spaces, invisible
 characters, compatibility shapes and look-alike letters in one pass. The mapping is built from Unicode's own
-decompositions and a table of look-alikes, and checked for conflicts when it is built: no key may map to two
-forms, and no form may itself be a key, so that the transducer is idempotent.
+decompositions, over all planes, and a table of look-alikes, and checked for conflicts when it is built: no key may map
+to two forms, and no form may itself be a key, so that the transducer is idempotent.
+
+A look-alike letter takes the script of its word: that of the word's letters which look like no other script's; a word
+without such letters takes the script that most of the text's have, else Latin. What a reader sees decides alone, so
+texts that look the same get the same form, and ordinary words of any script stay in it.
 """
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 from functools import lru_cache
 
@@ -17,6 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strataline.llm.common import settled, small
+
 # Letters of other scripts that look like Latin ones in common fonts.
 LOOK_ALIKES = {
     "А": "A", "В": "B", "Е": "E", "Ѕ": "S", "І": "I", "Ј": "J", "К": "K", "М": "M", "Н": "H", "О": "O", "Р": "P", "С": "C", "Т": "T", "Х": "X", "Ү": "Y",
@@ -24,17 +31,26 @@ LOOK_ALIKES = {
     "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X",
     "ο": "o", "ν": "v", "ϳ": "j", "ɑ": "a", "ɡ": "g", "У": "Y", "օ": "o", "ս": "u", "հ": "h", "ց": "g",
 }
-# Characters without a shape of their own.
-INVISIBLE = [0x00AD, 0x034F, 0x061C, 0x180E, *range(0x200B, 0x2010), *range(0x202A, 0x202F), *range(0x2060, 0x2065), *range(0x2066, 0x2070), *range(0xFE00, 0xFE10), 0xFEFF]
+#: Scripts whose words keep their own letters.
+SCRIPTS = ("CYRILLIC", "GREEK", "ARMENIAN")
 #: Decomposition kinds by which a character looks the same but for width, position in a word, ligature or space.
 SAME_SHAPE = ("wide", "narrow", "noBreak", "compat", "initial", "medial", "final", "isolated", "vertical", "font")
 
 
+@lru_cache(maxsize=1)
+def invisible() -> list[str]:
+    """Characters without a shape of their own, by their Unicode property; Hangul fillers are as wide as a letter."""
+    planes = [0, 1, 2, 3, 14]
+    every = "".join(chr(c) for p in planes for c in range(p << 16, (p + 1) << 16) if not 0xD800 <= c < 0xE000)
+    return regex.findall(r"(?![\u115f\u1160\u3164\uffa0])\p{Default_Ignorable_Code_Point}", every)
+
+
 def _shape(ch: str) -> str | None:
     """What a single character turns into by Unicode's decomposition, or None."""
     spec = unicodedata.decomposition(ch)
     if not spec.startswith("<"):
-        return None
+        to = unicodedata.normalize("NFC", ch)  # one that stands for another whole character
+        return to if spec and to != ch and len(to) == 1 else None
     kind, *codes = spec.split()
     if kind[1:-1] not in SAME_SHAPE:
         return None
@@ -47,8 +63,8 @@ def _shape(ch: str) -> str | None:
 @lru_cache(maxsize=1)
 def mapping() -> dict[str, str]:
     """The checked mapping of single characters and of half-width kana with sound marks."""
-    table: dict[str, str] = {chr(c): "" for c in INVISIBLE}
-    for c in range(0x80, 0x10000):
+    table: dict[str, str] = {c: "" for c in invisible()}
+    for c in range(0x80, sys.maxunicode + 1):
         ch = chr(c)
         if 0xD800 <= c < 0xE000 or ch in table:
             continue
@@ -61,6 +77,11 @@ def mapping() -> dict[str, str]:
         if table.get(a, b) != b:
             raise ValueError(f"two forms for {a!r}")
         table[a] = b
+    # a Cyrillic letter with a mark on a look-alike looks like the Latin one with it
+    for c in range(0x400, 0x530):
+        parts = unicodedata.normalize("NFD", chr(c))
+        if len(parts) > 1 and parts[0] in LOOK_ALIKES and len(to := unicodedata.normalize("NFC", LOOK_ALIKES[parts[0]] + parts[1:])) == 1:
+            table[chr(c)] = to
     # chains are followed to their end once, so that one pass is enough
     for a in table:
         to, seen = table[a], set()
@@ -75,6 +96,42 @@ def mapping() -> dict[str, str]:
     return table
 
 
+@lru_cache(maxsize=1)
+def _own_letters() -> tuple[dict[str, dict[int, str]], dict[str, regex.Pattern]]:
+    """For each script the letters that Latin look-alikes stand for in it, and a test for letters that are its alone."""
+    back: dict[str, dict[int, str]] = {s: {} for s in SCRIPTS}
+    for a, b in LOOK_ALIKES.items():
+        script = unicodedata.name(a).split()[0]
+        if script in back and (b not in map(chr, back[script]) or a == "У"):
+            back[script][ord(b)] = a
+    latin = "".join(sorted({b for b in LOOK_ALIKES.values()}))
+    own = {s: regex.compile(rf"\p{{{s.title()}}}") for s in SCRIPTS}
+    own["LATIN"] = regex.compile(rf"(?![{latin}])\p{{Latin}}")
+    return back, own
+
+
+_WORD = regex.compile(r"[\p{L}\p{M}]+")
+_OTHER = regex.compile(r"[\p{Cyrillic}\p{Greek}\p{Armenian}]")
+
+
+def _in_script(form: str) -> str:
+    """A form of Latin look-alikes with each word in its own script."""
+    back, own = _own_letters()
+    bare = unicodedata.normalize("NFD", form)
+    seen = {s: len(p.findall(bare)) for s, p in own.items()}
+    # ties: Latin, then the order of SCRIPTS
+    most = max(("LATIN", *SCRIPTS), key=lambda s: seen[s])
+
+    def word(m: regex.Match) -> str:
+        w = unicodedata.normalize("NFD", m[0])
+        if own["LATIN"].search(w):
+            return m[0]
+        script = next((s for s in SCRIPTS if own[s].search(w)), most)
+        return unicodedata.normalize("NFC", w.translate(back[script])) if script in back else m[0]
+
+    return _WORD.sub(word, form)
+
+
 # Sequences of Thai vowel signs that look like another one.
 SEQUENCES = {"\u0e4d\u0e32": "\u0e33", "\u0e40\u0e40": "\u0e41"}
 
@@ -86,7 +143,7 @@ def _transducer() -> tuple[dict[int, str], regex.Pattern, regex.Pattern, dict[st
     keys = "".join(regex.escape(k) for k in mapping())
     composing = {unicodedata.normalize("NFD", chr(c))[-1] for c in range(0xC0, 0x3100) if len(unicodedata.normalize("NFD", chr(c))) > 1}
     marks = "".join(regex.escape(x) for x in sorted({x for x in composing if unicodedata.category(x) == "Mn"} | {"゙", "゚", "ﾞ", "ﾟ"}))
-    hidden = "".join(regex.escape(chr(c)) for c in INVISIBLE)
+    hidden = "".join(map(regex.escape, invisible()))
     longer = "|".join(map(regex.escape, SEQUENCES))
     return (
         {ord(k): v for k, v in mapping().items()},
@@ -110,8 +167,10 @@ def unify(text: str | None) -> str | None:
         return text
     single, longer, pattern, known = _transducer()
     if not longer.search(text):
-        return text.translate(single)
-    return pattern.sub(lambda m: known[m[0]] if m[0] in known else _cluster(m[0], known), text)
+        form = text.translate(single)
+    else:
+        form = pattern.sub(lambda m: known[m[0]] if m[0] in known else _cluster(m[0], known), text)
+    return _in_script(form) if _OTHER.search(form) else form
 
 
 @F.pandas_udf(T.StringType())
@@ -128,20 +187,25 @@ def unified(c: Column) -> Column:
 def look_alike_pairs(records: DataFrame, group: str, key: str, text: str) -> DataFrame:
     """Pairs (group, key_a, key_b) of records of one group whose texts have one form but differ in code points.
 
-    Null and empty texts make no pair; repeated rows count once. Only keys and hashes are shuffled. Forms that
-    have a single spelling are left out before any pair is made, and the join is by spelling classes of one form.
+    Null and empty texts make no pair; repeated rows count once; rows without a group make none. Only keys and hashes are
+    shuffled. One pass makes the forms of all records; forms of a single spelling are left out by their first and last
+    spelling, which combine on the map side. What is left are the records that do make pairs: each meets only those of
+    its form with another spelling, split by its own spelling, so that a wording which a file prints again and again meets
+    in as many tasks as it has spellings.
     """
     form = F.col("__form")
     rows = (
-        records.filter(F.length(F.col(text)) > 0)
+        records.filter((F.length(F.col(text)) > 0) & F.col(group).isNotNull() & F.col(key).isNotNull())
         .withColumn("__form", unified(F.col(text)))
         .select(group, key, F.xxhash64(form, F.length(form)).alias("form"), F.xxhash64(F.col(text), F.lit(3)).alias("spelling"))
-        .distinct()
-    )
-    several = (
-        rows.groupBy(group, "form").agg(F.min("spelling").alias("lo"), F.max("spelling").alias("hi")).filter("lo <> hi").select(group, "form")
     )
-    kept = rows.join(several, [group, "form"], "left_semi")
+    rows = settled(rows.distinct())
+    spellings = rows.select(group, "form", "spelling").distinct()
+    ends = spellings.groupBy(group, "form").agg(F.min("spelling").alias("lo"), F.max("spelling").alias("hi")).filter("lo <> hi").select(group, "form")
+    kept = settled(rows.join(small(settled(ends)), [group, "form"], "left_semi"))
+    several = kept.select(group, "form", "spelling").distinct()
+    # each record goes to the other spellings of its form
     a = kept.select(group, "form", F.col(key).alias("key_a"), F.col("spelling").alias("sa"))
+    meets = a.join(several.withColumnRenamed("spelling", "sb"), [group, "form"]).filter("sa <> sb")
     b = kept.select(group, "form", F.col(key).alias("key_b"), F.col("spelling").alias("sb"))
-    return a.join(b, [group, "form"]).filter("sa <> sb and key_a < key_b").select(group, "key_a", "key_b").distinct()
+    return meets.join(b, [group, "form", "sb"]).filter("key_a < key_b").select(group, "key_a", "key_b").distinct()

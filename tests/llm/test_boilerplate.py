@@ -3,6 +3,8 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from strataline.llm import boilerplate as b
 
 
@@ -46,6 +48,35 @@ def test_republished_documents_count_once_as_clusters(spark):
     assert run(spark, rows, files, weigh="clusters")[2].count() == 0
 
 
+def test_clusters_and_dates(spark):
+    """Against a plain count over clusters of equal documents and their first dates."""
+    rnd = random.Random(4)
+    pool = ["all rights are kept here", "told by desk number of ours", "share this page with your friends", "the river weir holds water back"]
+    docs = {("ab"[i % 2], i): (frozenset(rnd.sample(pool, rnd.randint(1, 3))), rnd.randint(1, 4)) for i in range(24)}
+    rows = [(s, f, "s", "\n".join(sorted(x))) for (s, f), (x, _) in docs.items()]
+    dates = spark.createDataFrame([(s, f, f"2024-01-0{day}") for (s, f), (_, day) in docs.items()], "site string, file_id long, date string").withColumn("date", F.col("date").cast("date"))
+    want = {}
+    for s in "ab":
+        clusters = {}
+        for (t, _), (x, day) in docs.items():
+            if s == t:
+                clusters[x] = min(clusters.get(x, 9), day)
+        for line in pool:
+            n, days = sum(line in x for x in clusters), len({day for x, day in clusters.items() if line in x})
+            if n >= 3 and days >= 2 and n >= 0.2 * len(clusters):
+                want[s, line] = (sum(line in x for (t, _), (x, _) in docs.items() if s == t), n, days)
+    df, _, rep = run(spark, rows, [(f, s) for s, f in docs], weigh="clusters", dates=dates, least_dates=2)
+    lines = b.with_line_hash(b.explode_lines(df, "text"), 4).select("site", "line_hash", "line").distinct()
+    assert {(r.site, r.line): (r.n_docs, r.n_clusters, r.n_dates) for r in rep.join(lines, ["site", "line_hash"]).collect()} == want and want
+
+
+def test_many_repeated_lines_are_split(spark):
+    rows = [("a", i, "s", "All rights are kept here\nown words of this file " + "pqr"[i]) for i in range(3)]
+    df, found, rep = run(spark, rows, [(0, "a"), (1, "a"), (2, "a")])
+    lines = b.with_line_hash(b.explode_lines(df, "text"), 4).drop("text", "line")
+    assert sorted(map(tuple, b.mark_repeated(lines, rep, most=0).select(*found.columns).collect())) == sorted(map(tuple, found.collect()))
+
+
 def test_removal_and_empty_tables(spark):
     rows = [("a", i, "s", f"Keep this line {'abc'[i]}\nAll rights are kept here\n") for i in range(3)] + [("a", 7, "s", None)]
     df, found, _ = run(spark, rows, [(0, "a"), (1, "a"), (2, "a"), (7, "a")])

@@ -1,6 +1,9 @@
 """Quality: held-out accuracy, and texts that are odd."""
 
 import random
+import re
+
+from pyspark.sql import functions as F
 
 from strataline.llm import quality as q
 
@@ -28,33 +31,51 @@ def sample(n):
     return [(f(), k) for _ in range(n) for f, k in ((prose, "prose"), (listing, "list"), (table, "table"), (junk, "junk"))]
 
 
+KNOWN = frozenset(WORDS + "the of is under and it was not by".split())
+
+
+def alone(t):
+    return frozenset(re.findall(r"[a-z]+", t.lower())) - KNOWN
+
+
 def model():
-    known = frozenset(WORDS + "the of is under and it was not by".split())
-    return q.fit([([q.line_stats(p, known) for p in q.pieces(t)], k) for t, k in sample(40)]), known
+    return q.fit([([q.line_stats(p, alone(t)) for p in q.pieces(t)], k) for t, k in sample(40)])
 
 
 def test_held_out():
-    m, known = model()
+    m = model()
     held = sample(40)
-    right = sum(q.score(m, known, t)[-1] == k for t, k in held)
+    right = sum(q.score(m, alone(t), t)[-1] == k for t, k in held)
     assert right >= 0.95 * len(held)
 
 
 def test_odd_texts():
-    m, known = model()
+    m = model()
     for t in (None, "", " \n "):
-        assert q.score(m, known, t)[0] == 0 and q.score(m, known, t)[-1] is None
-    out = q.score(m, known, prose() * 500)
+        assert q.score(m, frozenset(), t)[0] == 0 and q.score(m, frozenset(), t)[-1] is None
+    out = q.score(m, frozenset(), prose() * 500)
     assert out[-1] == "prose" and abs(sum(out[5:9]) - 1) < 1e-4
-    assert q.score(q.fit([]), known, "anything at all")[-1] == "prose"
+    assert q.score(q.fit([]), frozenset(), "anything at all")[-1] == "prose"
 
 
 def test_query_shape(spark):
     docs = spark.createDataFrame([("a", prose(), 1), ("b", listing(), 2), ("c", None, 3), ("c", None, 3), ("d", "", None)], "chunk_id string, content string, kind int")
     labels = spark.createDataFrame([("a", "prose", 1), ("a", "prose", 1), ("b", "list", 1), ("x", None, 2), ("b", None, 3)], "chunk_id string, kind string, labelled_at int")
-    known = q.known_words(docs.filter("content is not null"))
-    m = q.train(docs, labels, known)
-    rows = {r.chunk_id: r for r in q.with_quality(docs, m, known).collect()}
+    docs = docs.withColumn("alone", F.lit(None).cast("array<string>"))
+    m = q.train(docs, labels)
+    rows = {r.chunk_id: r for r in q.with_quality(docs, m).collect()}
     assert rows["a"].kind == "prose" and rows["b"].kind == "list" and rows["c"].word_count == 0 and rows["d"].kind is None
     empty = docs.filter("chunk_id = 'z'")
-    assert q.known_words(empty) == frozenset() and q.with_quality(empty, m, known).count() == 0
+    assert q.lone_words(empty).count() == 0 and q.with_quality(empty, m).count() == 0
+
+
+def test_lone_words(spark):
+    texts = {"a": "The weir of the river", "b": "the loom; LOOM and weir", "c": None, "d": "", "e": "river river 12"}
+    docs = spark.createDataFrame([*texts.items(), ("a", texts["a"])], "chunk_id string, content string")
+    held = {}
+    for k, t in texts.items():
+        for w in re.findall(r"[a-z]+", (t or "").lower()):
+            held.setdefault(w, set()).add(k)
+    want = {k: sorted(w for w, ks in held.items() if ks == {k}) for k in texts}
+    got = {r.chunk_id: sorted(r.alone or []) for r in q.with_alone(docs, q.lone_words(docs)).distinct().collect()}
+    assert got == want

@@ -9,6 +9,8 @@ CASES = [
     ("en", "By 6.44 a.m. the weir had gone. It costs 5.5 crowns at 5 p.m. Meanwhile it grew.", 3),
     ("en", "The A.T.C. board sees it. pH readings show it. J. N. Fal wrote it.One more.", 4),
     ("en", "The weir... or so it seemed – held. It fell… Then it rose.", 3),
+    ("en", "“One thing happened. Another followed. A third came.” Then we left.", 4),
+    ("en", "The clerk said “One thing happened. Another followed.” and the board left.", 1),
     ("en", "Line one\nruns on.\n\nNew part", 2),
     ("de", "Der Wert stieg um 5,1 v. H. gegenüber dem 4. Quartal. „Warum?“, fragte Prof. Ell. Das gilt z. B. für Öl usw. Am 7. Oktober regnet es.", 4),
     ("fr", "La rivière est là ! « Où donc ? » demanda M. Ell. Le sable, l’argile, etc. Voir p. 149.", 4),

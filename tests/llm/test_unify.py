@@ -9,10 +9,16 @@ from strataline.llm.unify import look_alike_pairs, mapping, unify
 
 
 def test_same_looks_one_form():
-    for a, b in [("Ｃｈａｐ １", "Chap 1"), ("é", "é"), ("a​b­", "ab"), ("a b", "a b"), ("Сhаpter", "Chapter"), ("ﬁne", "fine"), ("ﾊﾟｲﾌﾟ", "パイプ"), ("⽔", "水"), ("Το", "To"), ("นํา", "นำ"), ("е́", "é")]:
+    for a, b in [("Ｃｈａｐ １", "Chap 1"), ("é", "é"), ("a​b­", "ab"), ("a b", "a b"), ("Сhаpter", "Chapter"), ("ﬁne", "fine"), ("ﾊﾟｲﾌﾟ", "パイプ"), ("⽔", "水"), ("Το", "To"), ("นํา", "นำ"), ("е́", "é"), ("ё", "ë"), ("𝐀bc", "Abc"), ("e\U000e0100", "e"), ("a\U000e0061", "a"), ("ﷺ", "ﷺ"), ("сор", "cop"), ("Å", "Å")]:
         assert unify(a) == unify(b), (a, b)
 
 
+def test_words_keep_their_script():
+    for t in ("дорога ведёт к реке", "Σοφος λόγος", "бе́лый", "GIS в системе"):
+        assert unify(t) == t
+    assert unify("cистема и дoрога") == "система и дорога" and unify("wаter") == "water"
+
+
 def test_differences_stay():
     for a, b in [("x²", "x2"), ("é", "e"), ("A", "a"), ("l", "1"), ("O", "0"), ("-", "–"), ("ñ", "n")]:
         assert unify(a) != unify(b)
