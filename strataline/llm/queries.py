@@ -75,27 +75,46 @@ def _site_lines(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return lines, boilerplate.repeated_lines(lines, totals)
 
 
-def p3_repaired(spark: SparkSession, d: str) -> DataFrame:
-    """Every segment of the scanned files, with its repaired text and what was wrong with it."""
+def _mended(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """The segments of the scanned files, and what became of each."""
     columns = ["file_id", "segment_id", "pos", "type", "level", "page", "heading_path", "text", "ingested_at"]
     segments = read(spark, d, "flat_segments", *columns)
     scanned, clean = scanned_files(spark, d, True), scanned_files(spark, d, False)
-    words = scans.clean_words(of_files(segments.select("file_id", "text"), clean))
+    words = scans.vocabulary(of_files(segments.select("file_id", "segment_id", "text"), clean), ["file_id", "segment_id"])
     lines, repeated = _site_lines(spark, d)
     site = boilerplate.mark_repeated(of_files(lines, scanned), repeated)
-    return scans.mend_segments(of_files(segments, scanned), site.select("file_id", "segment_id", "line_no"), words)
+    own = of_files(segments, scanned)
+    return own, scans.mend_segments(own, site.select("file_id", "segment_id", "line_no"), words)
+
+
+def p3_repaired(spark: SparkSession, d: str) -> DataFrame:
+    """Every segment of the scanned files, with its repaired text and what was wrong with it."""
+    return _mended(spark, d)[1]
+
+
+def _scanned_chunks(spark: SparkSession, d: str) -> DataFrame:
+    columns = ["file_id", "content", "source_segments"]
+    chunks = of_files(read(spark, d, "chunks", "chunk_id", *columns, "ingested_at"), scanned_files(spark, d, True))
+    return once(chunks, ["chunk_id"], "ingested_at", columns)
+
+
+def _with_texts(segments: DataFrame, mended: DataFrame) -> DataFrame:
+    return mended.join(latest(segments, ["file_id", "segment_id"], "ingested_at", ["text"]), ["file_id", "segment_id"])
+
+
+def p3_repaired_chunks(spark: SparkSession, d: str) -> DataFrame:
+    """Every chunk of the scanned files, with its repaired content and what was wrong with it."""
+    segments, mended = _mended(spark, d)
+    return scans.mend_chunks(_scanned_chunks(spark, d), _with_texts(segments, mended))
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    """Segments that hold scan noise, and the chunks whose content is made from them."""
-    bad = p3_repaired(spark, d).filter(F.size("reasons") > 0).select("file_id", "segment_id")
-    chunks = read(spark, d, "chunks", "chunk_id", "file_id", "source_segments", "content").filter(F.length("content") > 0)
-    parts = of_files(chunks, scanned_files(spark, d, True)).select("chunk_id", "file_id", F.explode("source_segments").alias("segment_id"))
-    # each bad segment is made once: a key for itself, and one for every chunk that holds it
-    rows = bad.join(parts, ["file_id", "segment_id"], "left")
-    own = F.struct(F.lit("flat_segments").alias("source_table"), F.concat_ws(":", F.col("file_id").cast("string"), "segment_id").alias("rec_key"))
-    chunk = F.struct(F.lit("chunks").alias("source_table"), F.col("chunk_id").alias("rec_key"))
-    return rows.select(F.explode(F.filter(F.array(own, chunk), lambda s: s["rec_key"].isNotNull())).alias("r")).select("r.*").distinct()
+    """Segments that hold scan noise, and the chunks whose content holds any of it."""
+    segments, mended = _mended(spark, d)
+    bad = settled(mended.filter(F.size("reasons") > 0))
+    chunks = scans.mend_chunks(_scanned_chunks(spark, d), _with_texts(segments, bad)).filter(F.size("reasons") > 0)
+    key = F.concat_ws(":", F.col("file_id").cast("string"), "segment_id").alias("rec_key")
+    return bad.select(F.lit("flat_segments").alias("source_table"), key).unionByName(chunks.select(F.lit("chunks").alias("source_table"), F.col("chunk_id").alias("rec_key")))
 
 
 # 4 boilerplate -------------------------------------------------------------------------------------------------------
@@ -189,7 +208,7 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        p1_found, p1_sentences, p2_found, p2_quality, p3_found, p3_repaired, p4_found, p4_boilerplate, p4_cleaned, p5_found, p5_unified, p6_found, p6_pieces, p7_ids, p8_found, p9_found, p9_repaired,
+        p1_found, p1_sentences, p2_found, p2_quality, p3_found, p3_repaired, p3_repaired_chunks, p4_found, p4_boilerplate, p4_cleaned, p5_found, p5_unified, p6_found, p6_pieces, p7_ids, p8_found, p9_found, p9_repaired,
     )
 }
 
