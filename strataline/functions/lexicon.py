@@ -71,7 +71,7 @@ TAGS_EMBEDDING = {
 }
 # What the older tag tables have otherwise: weaker assumptions, fewer mechanisms; formulas, visual references and exercises.
 _WEAK_ASSUMPTION = [r"\bassume\s+(?:that|we)\b", r"\bassuming\b", r"\bgiven\s+that\b", r"\bsuppose\s+(?:that|we)\b", r"\bunder\s+the\s+assumption\b"]
-TAGS_LEGACY = TAGS | {"assumption": _WEAK_ASSUMPTION, "mechanism": [p for p in TAGS["mechanism"] if "portfolio" not in p]}
+TAGS_LEGACY = TAGS | {"assumption": _WEAK_ASSUMPTION, "mechanism": [TAGS["mechanism"][0], *TAGS["mechanism"][2:]]}
 TAGS_LEGACY_EMBEDDING = {k: v for k, v in TAGS.items() if k not in ("reference", "evidence", "interpretation", "conclusion", "mechanism", "contrast")} | {
     "assumption": _WEAK_ASSUMPTION,
     "formula": [r"\bequation\s+\d+", r"\bformula\s+(?:for|to)\b", r"\bwhere\s+[A-Z]\s*=", r"\b[A-Z]\s*=\s*[A-Z\d]", r"∑|∫|∂|√", r"\bderivative\s+of\b", r"\bintegral\s+of\b"],

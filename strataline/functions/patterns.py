@@ -7,6 +7,9 @@ digits and the underscore; ``re2`` into groups that consume the neighbour, for e
 from __future__ import annotations
 
 import re
+from functools import lru_cache
+from re import _constants as op
+from re import _parser
 
 _LETTER = r"[\p{L}\p{N}_]"
 _LOOK = rf"(?:(?<!{_LETTER})(?={_LETTER})|(?<={_LETTER})(?!{_LETTER}))"
@@ -56,3 +59,38 @@ def any_re2(patterns: list[str], flags: str = "i") -> str:
 def sql(text: str) -> str:
     """A SQL string literal."""
     return "'" + text.replace("'", "''") + "'"
+
+
+@lru_cache(maxsize=None)
+def needed(pattern: str) -> frozenset[str] | None:
+    """Small-letter strings of which a text that the pattern matches, in any case, has one at least; None where there is no
+    such set of some use. A text that holds none of them needs no look at the pattern."""
+    found = _needed(list(_parser.parse(pattern.replace(r"\p{L}", "x"))))
+    return found if found and all(len(x) > 1 for x in found) and len(found) <= 24 else None
+
+
+def _needed(nodes: list) -> frozenset[str] | None:
+    """The best set of one sequence: of its literal runs and of what its groups and branches need."""
+    best, run = None, ""
+
+    def better(found: frozenset[str] | None) -> None:
+        nonlocal best
+        if found and (best is None or min(map(len, found)) > min(map(len, best))):
+            best = found
+
+    for kind, arg in [*nodes, (None, None)]:
+        if kind is op.LITERAL and chr(arg).isascii():
+            run += chr(arg).lower()
+            continue
+        if run:
+            better(frozenset([run]))
+            run = ""
+        if kind is op.SUBPATTERN:
+            better(_needed(list(arg[3])))
+        elif kind is op.BRANCH:
+            each = [_needed(list(x)) for x in arg[1]]
+            if all(each):
+                better(frozenset().union(*each))
+        elif kind in (op.MAX_REPEAT, op.MIN_REPEAT) and arg[0] > 0:
+            better(_needed(list(arg[2])))
+    return best

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from strataline.functions import lexicon as lx
-from strataline.functions.patterns import any_java, java
+from strataline.functions.patterns import any_java, java, needed
 
 SPLIT = "\x01"
 
@@ -80,15 +80,42 @@ def style_hints(c: Column, kind: Column) -> Column:
     )
 
 
+def _small(c: Column) -> Column:
+    """Small letters, with those that patterns take for a plain one in any case as that one."""
+    return F.lower(F.translate(c, "ſİıK", "siik"))
+
+
+def _bound(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _matches(c: Column, low: Column, patterns: list[str], flags: str) -> Column:
+    """Whether any pattern matches; the patterns are tried only on texts that hold a string that one of them needs."""
+    needs = [needed(p) for p in patterns]
+    hit = F.coalesce(c.rlike(any_java(patterns, flags)), F.lit(False))
+    if any(n is None for n in needs):
+        open_ones = [p for p, n in zip(patterns, needs) if n is None]
+        rest = [p for p, n in zip(patterns, needs) if n is not None]
+        if not rest:
+            return hit
+        return F.coalesce(c.rlike(any_java(open_ones, flags)), F.lit(False)) | _matches(c, low, rest, flags)
+    has = None
+    for x in sorted(frozenset().union(*needs)):
+        has = low.contains(x) if has is None else has | low.contains(x)
+    return F.when(has, hit).otherwise(F.lit(False))
+
+
 def matches(c: Column, patterns: list[str], flags: str = "iud") -> Column:
-    return F.coalesce(c.rlike(any_java(patterns, flags)), F.lit(False))
+    return F.coalesce(_bound(_small(c), lambda low: _matches(c, low, patterns, flags)), F.lit(False))
 
 
 def tags(c: Column, rules: dict[str, list[str]] | None = None, lines: bool = True) -> Column:
     """Tags of a text in the order of the rules; one alternation for each tag."""
     rules = rules or lx.TAGS
     flags = "iumd" if lines else "iud"
-    return F.array_compact(F.array(*[F.when(matches(c, p, flags), F.lit(t)) for t, p in rules.items()]))
+    every = lambda low: F.array(*[F.when(_matches(c, low, p, flags), F.lit(t)) for t, p in rules.items()])
+    return F.array_compact(_bound(_small(c), every))
 
 
 def is_imperative(c: Column, verbs: list[str] | None = None) -> Column:

@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from strataline.config import CANONICAL, Profile
 from strataline.functions import text as tx
 from strataline.operators.continuation import merge_hyphenated, noise_header
-from strataline.operators.stack import SEP
 
 BLOCKS = ("Table", "Picture", "Formula")
 FITS = {"Table": BLOCKS, "Figure": BLOCKS, "Exhibit": BLOCKS, "Equation": ("Formula", "Picture")}
@@ -401,8 +400,9 @@ def with_roles(chunks: DataFrame, kind: str = "chunk_type") -> DataFrame:
 def group_adjacent(df: DataFrame, doc: str = "file_id", order: str = "pos", similarity: Column | None = None, threshold: float = 0.5, cap: int | None = 5) -> DataFrame:
     """The embedding profile's grouping: ``chunk_no`` and ``split_reason`` (why the chunk ends before this row; "none" inside).
 
-    Breaks at changes of path (unless the row continues) and sidebar, at blocks, and where similarity is low. Without
-    continuations the cap is arithmetic inside each island; rows that continue don't count against it.
+    Breaks at changes of path (unless the row continues) and of sidebar or its type, at blocks, and where similarity is low.
+    A row that doesn't continue begins a new chunk when the open one has ``cap`` rows, those that continue among them.
+    Without continuations that is arithmetic inside each island; with them a fold over flags (``capped``).
     """
     w = Window.partitionBy(doc).orderBy(order)
     lag = lambda c: F.lag(c).over(w)
@@ -413,26 +413,51 @@ def group_adjacent(df: DataFrame, doc: str = "file_id", order: str = "pos", simi
     if "is_sidebar" in df.columns:
         rows = rows.withColumn("__side", lag("is_sidebar"))
         reason = reason.when((F.col("__i") > 1) & ~F.col("is_sidebar").eqNullSafe(F.col("__side")), "sidebar_isolation")
+    if "sidebar_type" in df.columns:
+        rows = rows.withColumn("__side_type", lag("sidebar_type"))
+        reason = reason.when((F.col("__i") > 1) & F.col("is_sidebar") & ~F.col("sidebar_type").eqNullSafe(F.col("__side_type")), "sidebar_type_change")
     reason = reason.when((F.col("__i") > 1) & ~F.col("__cont") & blocks, F.concat(F.lit("structure_"), F.lower("type"), F.lit("_start")))
     reason = reason.when((F.col("__i") > 1) & ~F.col("__cont") & F.col("__kind").isin(*BLOCKS), F.concat(F.lit("structure_"), F.lower("__kind"), F.lit("_end")))
     if similarity is not None:
         reason = reason.when((F.col("__i") > 1) & ~F.col("__cont") & (similarity < threshold), "semantic_break")
     rows = rows.withColumn("split_reason", reason)
     rows = rows.withColumn("__island", F.sum(F.when(F.col("split_reason").isNotNull(), 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    if cap:
+    if cap and "is_continuation" in df.columns:
+        rows = rows.join(capped(rows, doc, order, cap), [doc, order], "left")
+        rows = rows.withColumn("split_reason", F.coalesce("split_reason", F.when(F.col("__capped"), "max_buffer"))).drop("__capped")
+    elif cap:
         inside = Window.partitionBy(doc, "__island").orderBy(order)
-        # a continuation stays with the row before it
-        seq = F.sum(F.when(F.col("__cont"), 0).otherwise(1)).over(inside.rowsBetween(Window.unboundedPreceding, 0))
-        rows = rows.withColumn("__part", F.floor((F.greatest(seq, F.lit(1)) - 1) / cap))
-        first = F.lag("__part").over(inside)
-        rows = rows.withColumn("split_reason", F.coalesce("split_reason", F.when(F.col("__part") != first, F.lit("max_buffer"))))
+        rows = rows.withColumn("__n", F.row_number().over(inside) - 1)
+        rows = rows.withColumn("split_reason", F.coalesce("split_reason", F.when((F.col("__n") > 0) & (F.col("__n") % cap == 0), "max_buffer"))).drop("__n")
     cut = F.when(F.col("split_reason").isNotNull(), 1).otherwise(0)
     rows = rows.withColumn("chunk_no", F.sum(cut).over(w.rowsBetween(Window.unboundedPreceding, 0)) + 1)
-    return rows.withColumn("split_reason", F.coalesce("split_reason", F.lit("none"))).drop("__path", "__kind", "__i", "__cont", "__side", "__island", "__part")
+    return rows.withColumn("split_reason", F.coalesce("split_reason", F.lit("none"))).drop("__path", "__kind", "__i", "__cont", "__side", "__side_type", "__island")
 
 
-def root_of(path: Column) -> Column:
-    return F.split(path, SEP)[0]
+def capped(rows: DataFrame, doc: str, order: str, cap: int) -> DataFrame:
+    """(doc, order, __capped): rows at which the cap ends a chunk. ``rows``: split_reason (not null: a break before the row)
+    and __cont. One shuffle of flags by document; the fold streams and keeps one number."""
+    flags = rows.select(doc, order, F.col("split_reason").isNotNull().alias("hard"), "__cont").repartition(doc).sortWithinPartitions(doc, order)
+    kinds = dict(rows.dtypes)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, size, begun = None, 0, False
+        for pdf in batches:
+            out = []
+            for d, hard, cont in zip(pdf[doc].tolist(), pdf["hard"].tolist(), pdf["__cont"].tolist()):
+                if not begun or d != at:
+                    at, size, begun = d, 0, True
+                    cut = False
+                else:
+                    cut = not hard and not cont and size >= cap
+                    size = 0 if hard or cut else size
+                size += 1
+                out.append(cut)
+            found = pdf[out]
+            if len(found):
+                yield found[[doc, order]].assign(__capped=True)
+
+    return flags.mapInPandas(run, f"`{doc}` {kinds[doc]}, `{order}` {kinds[order]}, __capped boolean")
 
 
 def page_boxes(segments: DataFrame, placed: DataFrame, doc: str = "file_id") -> DataFrame:
@@ -449,6 +474,11 @@ def dominant_zone(rows: DataFrame, keys: list[str], zone: str = "doc_zone", orde
     return counts.groupBy(*keys).agg(F.max_by("z", F.struct("n", -F.col("at"))).alias("doc_zone"))
 
 
+def without_front_matter(chunks: DataFrame) -> DataFrame:
+    """Chunks but those of the front matter; one without a zone is body."""
+    return chunks.filter(F.coalesce("doc_zone", F.lit("body")) != "front")
+
+
 def order_stats(after: DataFrame, doc: str = "file_id") -> DataFrame:
     """(doc, moved, pages_reordered): segments that a reordering moved, and on how many pages. ``after`` has ``new_pos``."""
     page = F.coalesce("page", F.lit(1))

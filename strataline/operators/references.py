@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataline.functions import lexicon as lx
@@ -25,34 +25,53 @@ def page_blocks(segments: DataFrame, doc: str = "file_id") -> DataFrame:
 
 
 def mentions(chunks: DataFrame, key: str, text: str, keep: list[str]) -> DataFrame:
-    """Each mention of a block in a text: key, kept columns, ref_kind, direction, target_type, ref_text, ref_id.
+    """Each mention of a block in a text: key, kept columns, ref_kind, direction, target_type, ref_text, ref_id,
+    start_offset, end_offset (characters from 0, the end exclusive).
 
     All patterns run over a text in one pass; a row is made for each match.
     """
     c, found = F.col(text), []
     for kind, p in lx.EXPLICIT_REFERENCES:
-        whole, ids = (F.regexp_extract_all(c, F.lit("(?iu)" + java(p)), i) for i in (0, 1))
-        found.append(F.zip_with(whole, ids, _explicit(kind)))
+        ids = F.transform(F.regexp_extract_all(c, F.lit("(?iu)" + java(p)), 1), lambda i: F.trim(i))
+        found.append(_placed(c, p, lambda w, n, kind=kind, ids=ids: ("explicit", "", F.lit(kind), F.get(ids, n))))
     for direction, p in lx.IMPLICIT_REFERENCES:
-        found.append(F.transform(F.regexp_extract_all(c, F.lit("(?iu)" + java(p)), 0), _implicit(direction)))
+        found.append(_placed(c, p, lambda w, n, direction=direction: ("implicit", direction, _kind(w), F.lit(""))))
     return chunks.filter(c.isNotNull()).select(key, *keep, F.explode(F.concat(*found)).alias("m")).select(key, *keep, "m.*")
 
 
-def _mention(ref_kind: str, direction: str, kind: Column, text: Column, number: Column) -> Column:
-    return F.struct(F.lit(ref_kind).alias("ref_kind"), F.lit(direction).alias("direction"), kind.alias("target_type"), text.alias("ref_text"), number.alias("ref_id"))
+def _placed(c: Column, pattern: str, fields) -> Column:
+    """The matches of a pattern with their places, which are the lengths of what stands before them."""
+    p = F.lit("(?iu)" + java(pattern))
+    whole = F.regexp_extract_all(c, p, 0)
+    length = lambda xs: F.aggregate(xs, F.lit(0), lambda s, x: s + F.length(x))
 
+    def one(w: Column, n: Column) -> Column:
+        kind, direction, target, number = fields(w, n)
+        start = length(F.slice(F.split(c, "(?iu)" + java(pattern), -1), 1, n + 1)) + length(F.slice(whole, 1, n))
+        return F.struct(F.lit(kind).alias("ref_kind"), F.lit(direction).alias("direction"), target.alias("target_type"), w.alias("ref_text"), number.alias("ref_id"), start.alias("start_offset"), (start + F.length(w)).alias("end_offset"))
 
-def _explicit(kind: str):
-    return lambda w, i: _mention("explicit", "", F.lit(kind), w, F.trim(i))
+    return F.transform(whole, one)
 
 
-def _implicit(direction: str):
-    def of(w: Column) -> Column:
-        low = F.lower(w)
-        kind = F.when(low.rlike("figure|chart|graph|diagram"), "Figure").when(low.contains("table"), "Table").when(low.rlike("equation|formula"), "Equation").otherwise("Figure")
-        return _mention("implicit", direction, kind, w, F.lit(""))
+def _kind(w: Column) -> Column:
+    low = F.lower(w)
+    return F.when(low.rlike("figure|chart|graph|diagram"), "Figure").when(low.contains("table"), "Table").when(low.rlike("equation|formula"), "Equation").otherwise("Figure")
 
-    return of
+
+def plain_mentions(chunks: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, ref_text): figures, tables and equations by number, as the embedding profile finds them; they aren't resolved."""
+    return chunks.select(key, F.explode(F.regexp_extract_all(text, F.lit(r"(?iu)(?:Figure|Table|Equation)\s+[0-9]+[\.0-9]*"), 0)).alias("ref_text"))
+
+
+def nearby_captions(segments: DataFrame, doc: str = "file_id", reach: int = 3) -> DataFrame:
+    """Blocks with ``caption_segment_id``: the nearest caption on their page of the ``reach`` rows before them, else of those
+    after them; blocks without one are left out."""
+    w = Window.partitionBy(doc).orderBy("pos")
+    rows = segments.withColumn("__c", F.struct("segment_id", "page", tx.caption(F.coalesce("text", F.lit(""))).isNotNull().alias("is_caption")))
+    near = F.array(*[F.lag("__c", k).over(w) for k in range(1, reach + 1)], *[F.lead("__c", k).over(w) for k in range(1, reach + 1)])
+    hit = F.filter(near, lambda c: F.coalesce(c["is_caption"] & (c["page"] == F.col("page")), F.lit(False)))
+    rows = rows.withColumn("caption_segment_id", F.try_element_at(hit, F.lit(1))["segment_id"]).drop("__c")
+    return rows.filter(F.col("type").isin("Table", "Picture", "Formula") & F.col("caption_segment_id").isNotNull())
 
 
 def resolve(found: DataFrame, catalog: DataFrame, pages: DataFrame, doc: str = "file_id") -> DataFrame:

@@ -46,7 +46,7 @@ def gold_paths(segments: DataFrame, toc: DataFrame, doc: str = "file_id") -> Dat
     of a later page. An as-of join over (doc, page): entries and distinct pages are laid into one order."""
     w = Window.partitionBy(doc).orderBy("ord").rowsBetween(Window.unboundedPreceding, 0)
     entries = toc.filter(F.col("page_no").isNotNull()).withColumn("reach", F.max("page_no").over(w))
-    entries = with_stack_path(entries, doc, [F.col("ord")], F.lit(True), F.col("level"), F.col("title"), out="entry_path")
+    entries = with_stack_path(entries, doc, [F.col("ord")], F.lit(True), F.col("level"), F.col("title"), levels=None, out="entry_path")
     at = entries.groupBy(doc, F.col("reach").alias("p")).agg(F.max_by("entry_path", "ord").alias("entry_path"))
     pages = segments.select(doc, F.coalesce("page", F.lit(1)).alias("p")).distinct()
     both = at.select(doc, "p", F.lit(0).alias("k"), "entry_path").unionByName(pages.select(doc, "p", F.lit(1).alias("k"), F.lit(None).cast("string").alias("entry_path")))
@@ -90,17 +90,25 @@ def toc_line(c: Column, x: Column) -> Column:
     pattern = r"^(.*?)(?:[\.·\-_]{3,}|[\s]{2,})(\d+)$"
     title, page = F.trim(F.regexp_extract(t, pattern, 1)), F.regexp_extract(t, pattern, 2)
     level = F.when(F.upper(title).rlike("^(?:PART|MODULE)"), 0).when(F.upper(title).startswith("CHAPTER") | title.rlike(r"^\d+\.?\s+[A-Z]"), 1).when(x < 60, 0).when(x < 90, 1).otherwise(2)
-    return F.when((F.length(t) >= 3) & (page != ""), F.struct(title.alias("title"), page.cast("int").alias("page_no"), level.alias("level")))
+    return F.when((F.length(t) >= 3) & (page != ""), F.struct(title.alias("title"), page.try_cast("bigint").alias("page_no"), level.alias("level")))
 
 
 def skeleton(segments: DataFrame, toc: DataFrame, doc: str = "file_id") -> DataFrame:
     """``skeleton_path``: the title of the last entry of level 1 or less whose page range holds the segment, before its
-    path unless it is in it. A range join by document, the latest entry wins."""
-    w = Window.partitionBy(doc).orderBy("page_no", "ord")
-    e = toc.filter(F.col("page_no").isNotNull()).withColumn("n", F.row_number().over(w)).withColumn("to", F.coalesce(F.lead("page_no").over(w) - 1, F.lit(99999)))
-    e = e.filter("level <= 1").select(F.col(doc), F.col("title").alias("__title"), F.col("page_no").alias("__a"), F.greatest("to", "page_no").alias("__b"), "n")
-    pages = segments.select(doc, F.coalesce("page", F.lit(0)).alias("__p")).distinct()
-    best = pages.join(e, doc).filter("__p between __a and __b").groupBy(doc, "__p").agg(F.max_by("__title", "n").alias("__title"))
+    path unless it is in it. An entry reaches to the page before the next one's, but its own page at least.
+
+    An as-of join by document: a page meets the entries of the last page not after it. Of its own page the last of level 1
+    or less counts; beyond it only the last entry at all, which alone reaches further.
+    """
+    e = toc.filter(F.col("page_no").isNotNull())
+    chief = F.coalesce(F.col("level") <= 1, F.lit(False))
+    groups = e.groupBy(doc, F.col("page_no").alias("p")).agg(F.max(F.when(chief, F.struct("ord", "title"))).alias("here"), F.max(F.struct("ord", chief.alias("chief"), "title")).alias("last"))
+    after = F.when(F.col("last.chief"), F.col("last.title"))
+    groups = groups.select(doc, "p", F.lit(0).alias("k"), F.struct("p", F.col("here.title").alias("here"), after.alias("after")).alias("e"))
+    pages = segments.select(doc, F.coalesce("page", F.lit(0)).alias("p")).distinct().select(doc, "p", F.lit(1).alias("k"), F.lit(None).cast(groups.schema["e"].dataType).alias("e"))
+    w = Window.partitionBy(doc).orderBy("p", "k").rowsBetween(Window.unboundedPreceding, 0)
+    best = groups.unionByName(pages).withColumn("e", F.last("e", ignorenulls=True).over(w)).filter("k = 1")
+    best = best.select(doc, F.col("p").alias("__p"), F.when(F.col("e.p") == F.col("p"), F.col("e.here")).otherwise(F.col("e.after")).alias("__title"))
     rows = segments.withColumn("__p", F.coalesce("page", F.lit(0))).join(best, [doc, "__p"], "left")
     path = F.coalesce("heading_path", F.lit(""))
     new = F.when(F.col("__title").isNull() | path.contains(F.col("__title")), path).when(path == "", F.col("__title")).otherwise(F.concat_ws(SEP, "__title", path))
@@ -129,7 +137,7 @@ def logic_book(headings: DataFrame, doc: str) -> DataFrame:
     and deeper doesn't overwrite. ``headings``: doc, pos, level, title."""
     clean = F.regexp_replace(F.regexp_replace("title", r"\[(.*?)\]\(.*?\)", "$1"), r"\*\*|__", "")
     rows = headings.filter(~tx.matches(F.col("title"), lx.LOGIC_NOISE) & (F.length("title") >= 2)).withColumn("title", clean)
-    rows = with_stack_path(rows, doc, [F.col("pos")], F.lit(True), F.col("level"), F.col("title")).withColumn("norm", tx.plain_title(F.col("title")))
+    rows = with_stack_path(rows, doc, [F.col("pos")], F.lit(True), F.col("level"), F.col("title"), levels=None).withColumn("norm", tx.plain_title(F.col("title")))
     # the last of level 1 and 2 wins, else the first
     pick = F.max(F.struct(F.when(F.col("level") < 3, F.col("pos")).otherwise(-1 - F.col("pos")).alias("k"), "path"))
     return rows.groupBy(doc, "norm").agg(pick.alias("b"), F.min("pos").alias("ord")).select(doc, "norm", F.col("b.path").alias("path"), "ord")
@@ -137,15 +145,23 @@ def logic_book(headings: DataFrame, doc: str) -> DataFrame:
 
 def look_up(rows: DataFrame, book: DataFrame, doc: str, text: str = "text") -> DataFrame:
     """``logic_path``: the book's path of a text: its own title's, else that of the first long title of which one is the
-    other's beginning. Prefixes are met by the first eleven letters, so no text meets all titles."""
-    r = rows.withColumn("__id", F.monotonically_increasing_id()).withColumn("norm", tx.plain_title(F.coalesce(F.col(text), F.lit(""))))
+    other's beginning.
+
+    Each distinct title of a document is looked up once. Long ones meet by their first eleven letters, shorter ones (and
+    the empty one, which begins every title) by the beginnings of the long titles, so no text meets all titles.
+    """
+    r = rows.withColumn("norm", tx.plain_title(F.coalesce(F.col(text), F.lit(""))))
     exact = book.select(doc, "norm", F.col("path").alias("__exact"))
-    long = book.filter(F.length("norm") > 10).select(F.col(doc), F.col("norm").alias("__b"), F.col("path").alias("__p"), "ord", F.substring("norm", 1, 11).alias("__h"))
-    heads = r.filter(F.length("norm") > 10).select(doc, "__id", "norm", F.substring("norm", 1, 11).alias("__h"))
-    near = heads.join(long, [doc, "__h"]).filter(F.col("norm").startswith(F.col("__b")) | F.col("__b").startswith(F.col("norm")))
-    near = near.groupBy("__id").agg(F.min_by("__p", "ord").alias("__near"))
-    out = r.join(exact, [doc, "norm"], "left").join(near, "__id", "left")
-    return out.withColumn("logic_path", F.coalesce("__exact", "__near")).drop("__id", "norm", "__exact", "__near")
+    long = book.filter(F.length("norm") > 10).select(F.col(doc), F.col("norm").alias("__b"), F.col("path").alias("__p"), "ord")
+    own = r.select(doc, "norm").distinct().join(exact, [doc, "norm"], "left_anti")
+    full = own.filter(F.length("norm") > 10).withColumn("__h", F.substring("norm", 1, 11)).join(long.withColumn("__h", F.substring("__b", 1, 11)), [doc, "__h"])
+    full = full.filter(F.col("norm").startswith(F.col("__b")) | F.col("__b").startswith(F.col("norm"))).select(doc, "norm", "__p", "ord")
+    begun = long.select(doc, "__p", "ord", F.explode(F.transform(F.sequence(F.lit(0), F.lit(10)), lambda k: F.substr(F.col("__b"), F.lit(1), k))).alias("norm"))
+    begun = begun.groupBy(doc, "norm").agg(F.min_by("__p", "ord").alias("__p"), F.min("ord").alias("ord"))
+    part = own.filter(F.length("norm") <= 10).join(begun, [doc, "norm"]).select(doc, "norm", "__p", "ord")
+    near = full.unionByName(part).groupBy(doc, "norm").agg(F.min_by("__p", "ord").alias("__near"))
+    out = r.join(exact, [doc, "norm"], "left").join(near, [doc, "norm"], "left")
+    return out.withColumn("logic_path", F.coalesce("__exact", "__near")).drop("norm", "__exact", "__near")
 
 
 def align(segments: DataFrame, book: DataFrame, doc: str = "file_id") -> DataFrame:
@@ -159,6 +175,31 @@ def align(segments: DataFrame, book: DataFrame, doc: str = "file_id") -> DataFra
     return rows.withColumn("heading_path", F.when(longer, F.col("logic_path")).otherwise(F.col("heading_path"))).drop("logic_path")
 
 
+def pruned(entries: DataFrame, doc: str = "file_id", least: int = 5) -> DataFrame:
+    """Entries of a table made from headings, with ``has_children``; short titles without entries below them are left out."""
+    below = F.lead("level").over(Window.partitionBy(doc).orderBy("ord"))
+    rows = entries.filter("level is not null").withColumn("has_children", F.coalesce(below > F.col("level"), F.lit(False)))
+    return rows.filter(F.col("has_children") | (F.length("title") >= least))
+
+
+def scanned_isbn(segments: DataFrame, doc: str = "file_id", last_page: int = 30) -> DataFrame:
+    """(doc, isbn): the first ISBN that a document's first pages state."""
+    rows = segments.filter(F.coalesce("page", F.lit(0)) <= last_page).select(doc, "pos", tx.isbn(F.col("text")).alias("isbn"))
+    return rows.filter("isbn is not null").groupBy(doc).agg(F.min_by("isbn", "pos").alias("isbn"))
+
+
+def fill_empty(base: DataFrame, more: DataFrame, columns: list[str], doc: str = "file_id") -> DataFrame:
+    """(doc, columns): the first record of a document, with what it lacks (null or empty) from the second; all documents of
+    either. Both have one row for each document."""
+    both = base.select(doc, *columns).join(more.select(doc, *[F.col(c).alias(f"__{c}") for c in columns]), doc, "full")
+    return both.select(doc, *[F.coalesce(F.nullif(F.col(c), F.lit("")), F.col(f"__{c}")).alias(c) for c in columns])
+
+
+def index_terms(segments: DataFrame, doc: str = "file_id") -> DataFrame:
+    """(doc, term): none, as the rule for back-of-book indexes that this follows gives nothing for any page."""
+    return segments.select(doc, F.lit(None).cast("string").alias("term")).filter(F.lit(False))
+
+
 def zone(page: Column, body_start: Column, back_start: Column) -> Column:
     return F.when(page <= body_start - 1, "front").when(page >= back_start, "back").otherwise("body")
 
@@ -195,7 +236,12 @@ def heuristic_entries(segments: DataFrame, doc: str = "file_id", most_pages: int
     rows = segments.filter(F.coalesce("page", F.lit(1)) <= most_pages).select(doc, F.coalesce("page", F.lit(1)).alias("source_page"), "pos", F.posexplode(F.split(t, "\n")).alias("line_no", "line"))
     pattern = r"^(.*?)(?:[\s\.·\u00a0\u2001\u2003]{3,})?\s*([ivxIVX\d]+)$"
     rows = rows.withColumn("page", F.regexp_extract("line", pattern, 2)).withColumn("title", F.trim(F.regexp_extract("line", pattern, 1)))
-    head = segments.filter("pos < 12").groupBy(doc, F.coalesce("page", F.lit(1)).alias("source_page")).agg(F.max(F.lower(F.substring(t, 1, 1000)).rlike("|".join(lx.TOC_PAGE_WORDS))).alias("word"))
+    # the first 1000 characters of each page, its texts in order at lines of their own
+    before = F.coalesce(F.sum(F.length("t") + 1).over(Window.partitionBy(doc, "source_page").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    begin = segments.filter(F.coalesce("page", F.lit(1)) <= most_pages).select(doc, "pos", F.coalesce("page", F.lit(1)).alias("source_page"), t.alias("t"))
+    begin = begin.withColumn("before", before).filter("before < 1000").groupBy(doc, "source_page").agg(F.array_sort(F.collect_list(F.struct("pos", "t"))).alias("parts"))
+    head = F.lower(F.substring(F.array_join(F.transform("parts", lambda x: x["t"]), "\n"), 1, 1000))
+    head = begin.select(doc, "source_page", head.rlike("|".join(lx.TOC_PAGE_WORDS)).alias("word"))
     counts = rows.groupBy(doc, "source_page").agg(F.count_if(F.col("page") != "").alias("n")).join(head, [doc, "source_page"], "left")
     pages = counts.filter((F.col("n") > 5) | (F.coalesce("word", F.lit(False)) & (F.col("n") > 2))).select(doc, "source_page")
     return rows.filter((F.col("page") != "") & (F.length("title") >= 2)).join(pages, [doc, "source_page"], "left_semi")

@@ -109,7 +109,7 @@ def embedding_chunks(segments: DataFrame, doc: str = "file_id", p: Profile = EMB
     """Chunks of the embedding profile; without an encoder every similarity is 0.5."""
     rows = layout.mark_furniture(segments, doc, p).filter(~F.col("is_furniture"))
     rows = layout.reading_order(layout.sidebars(rows, doc, p), doc, p).drop("pos", "priority", "new_column").withColumnRenamed("new_pos", "pos")
-    rows = with_stack_path(rows, doc, [F.col("pos")], F.col("type") == "Header", F.col("depth"), F.col("text"))
+    rows = with_stack_path(rows, doc, [F.col("pos")], F.col("type") == "Header", F.col("depth"), F.col("text"), levels=None)
     rows = layout.backfill_empty(rows.drop("heading_path").withColumnRenamed("path", "heading_path"), doc)
     rows = continuation.join_words(continuation.annotate_adjacent(rows, doc, "pos", p=p), doc)
     rows = chunking.group_adjacent(rows, doc, "pos", cap=p.max_buffer)

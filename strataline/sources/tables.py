@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,7 +46,11 @@ def segments(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
 
 def toc(spark: SparkSession, folder: str) -> DataFrame:
     """Entries of the tables of contents, each once, with ``ord`` and the page as a number where it is one."""
-    df = latest(table(spark, folder, "toc_entries"), ["file_id", "entry_id"])
+    return numbered(latest(table(spark, folder, "toc_entries"), ["file_id", "entry_id"]))
+
+
+def numbered(df: DataFrame) -> DataFrame:
+    """Entries with ``ord``, their place, and ``page_no``, their page where it is a number."""
     return df.withColumn("ord", F.regexp_extract("entry_id", r"(\d+)", 1).cast("int")).withColumn("page_no", F.expr("try_cast(page as int)"))
 
 
@@ -79,10 +83,6 @@ def markdown_headings(df: DataFrame, key: str, text: str) -> DataFrame:
     return rows.select(key, "pos", F.length("m").alias("level"), title.alias("title"))
 
 
-def box(c: str | Column, i: int) -> Column:
-    return (F.col(c) if isinstance(c, str) else c)[i]
-
-
 def pdf_files(spark: SparkSession, folder: str) -> DataFrame:
     """PDF files of a folder: path, modification time, length, content. For a parser as a plug-in (``mapInPandas``)."""
     return spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf").load(folder)
