@@ -41,6 +41,18 @@ CATALOG_PATTERNS = [
     ("Picture", r"^(?:Figure|Fig\.?)\s*(\d+(?:\.\d+)?)"), ("Formula", r"^(?:Equation|Eq\.?)\s*\((\d+)\)"), ("Equation", r"^(?:Equation|Eq\.?)\s*\((\d+)\)"),
 ]
 
+# Older caption rules: verbs right after the number that make a sentence of it; prefixes without an id.
+CAPTION_VERBS_LEGACY = [
+    "shows", "presents", "displays", "illustrates", "depicts", "demonstrates", "provides", "contains", "compares", "summarizes", "lists", "is a",
+    "is the", "plots", "graphs", "charts", "traces", "reports", "is an", "was", "were", "has", "have", "gives", "indicates", "reveals", "suggests",
+    "confirms",
+]
+CAPTION_PREFIXES = [r"^(?:Table|Figure|Exhibit|Chart|Graph|Equation|Formula|Exh\.|Fig\.)\s+[\d.]+[A-Za-z]?[:.]?\s+", r"^(?:Table|Figure|Exhibit|Chart|Graph|Equation|Formula|Exh\.|Fig\.)\s+\d+\s+[:.]?\s+"]
+# Labels of named entities that save a short sentence.
+ENTITY_LABELS = ["PERSON", "ORG", "GPE", "LOC", "PRODUCT", "EVENT", "WORK_OF_ART", "LAW"]
+# Headings whose path makes a sidebar.
+SIDEBAR_PATHS = ["OBJECTIVES", "KEY TERMS", "KEY POINTS", "TAKEAWAY", "SUMMARY", "HIGHLIGHTS"]
+
 # Discourse tags in their order, each with its patterns.
 TAGS = {
     "definition": [r"\bis\s+defined\s+as\b", r"\brefers\s+to\b", r"\bis\s+a\s+(?:type|form|kind)\s+of\b", r"\bcan\s+be\s+defined\b", r"\bmeans\s+that\b", r"\bwe\s+define\b", r"\blet\s+\w+\s+be\b", r":\s*(?:a|an|the)\s+\w+\s+(?:that|which)"],

@@ -318,14 +318,58 @@ def role_by_stages(c: Column, path: Column, imperative: Column, last: Column | N
     hit["conclusion"] = hit["conclusion"] | (last & matches(low, [r"\b(overall|ultimately|finally)\b"], "ud"))
     does = low.rlike(java(r"\b(calculate|compute|determine|solve|find|use|apply|enter|click|select)\b"))
     hit["procedure"] = hit["procedure"] | (imperative & (word_count(t) >= 8) & does)
-    hit["evidence"], formula = hit["evidence"] & ~hit["formula"], hit["evidence"] & hit["formula"]
     stage = F.when(c.rlike("|".join(f"(?:{p})" for p in lx.STAGE_REFERENCES)), "reference").when((F.length(t) < 10) & ~matches(c, lx.SHORT_EXCEPTIONS), "irrelevant")
     for r, _, _ in lx.ROLE_STAGES:
-        stage = stage.when(formula, "formula").when(hit[r], r) if r == "evidence" else stage.when(hit[r], r)
-    stage = stage.otherwise("explanation")
-    barred = F.lit(False)
-    for r, p in lx.NOT_IN_CONTEXT.items():
-        barred = barred | ((stage == r) & matches(low, p, "ud"))
-    stage = F.when(barred, "explanation").otherwise(stage)
-    final = F.when(t.endswith("?"), "question").when(matches(low, lx.STAGE_BOILERPLATE, "ud"), "irrelevant").otherwise(stage)
-    return F.when(final == "explanation", F.coalesce(heading_hint(path), final)).otherwise(final)
+        stage = stage.when(hit[r], F.when(hit["formula"], "formula").otherwise("evidence") if r == "evidence" else F.lit(r))
+
+    def judged(stage: Column) -> Column:
+        barred = F.lit(False)
+        for r, p in lx.NOT_IN_CONTEXT.items():
+            barred = barred | ((stage == r) & matches(low, p, "ud"))
+        final = F.when(t.endswith("?"), "question").when(matches(low, lx.STAGE_BOILERPLATE, "ud"), "irrelevant").when(barred, "explanation").otherwise(stage)
+        return _bound(final, lambda f: F.when(f == "explanation", F.coalesce(heading_hint(path), f)).otherwise(f))
+
+    return _bound(stage.otherwise("explanation"), judged)
+
+
+def caption_legacy(c: Column, kind: Column | None = None) -> Column:
+    """(caption_id, target_type) by the older rules: of any length; a verb right after the number makes a sentence of it.
+    With ``kind`` a text typed as a caption is one whatever it says ("unknown" where no number of a table begins it)."""
+    t = F.trim(F.coalesce(c, F.lit("")))
+    low = F.lower(t)
+    target = (
+        F.when(low.rlike("^(?:table|tbl)"), "Table").when(low.rlike("^(?:figure|fig|chart|graph|diagram)"), "Figure")
+        .when(low.startswith("exhibit"), "Exhibit").when(low.rlike("^(?:equation|eq|formula)"), "Equation").otherwise("Figure")
+    )
+    verbs = "^(?:" + "|".join(lx.CAPTION_VERBS_LEGACY) + ")"
+    found = [(F.regexp_extract(t, "(?i)" + p, 1), F.lower(F.trim(F.regexp_replace(t, "(?i)" + p, "")))) for p in lx.CAPTION_PATTERNS]
+    number = F.coalesce(*[F.when((n != "") & ~after.rlike(verbs), n) for n, after in found])
+    if kind is not None:
+        number = F.when(F.coalesce(kind == "Caption", F.lit(False)) & (t != ""), F.when(found[0][0] != "", found[0][0]).otherwise("unknown")).otherwise(number)
+    return F.when(number.isNotNull(), F.struct(number.alias("caption_id"), target.alias("target_type")))
+
+
+def caption_by_prefix(c: Column) -> Column:
+    """The target type of a caption by the embedding profile's two prefixes; null for other texts."""
+    t = F.trim(F.coalesce(c, F.lit("")))
+    low = F.lower(t)
+    target = F.when(low.contains("table"), "Table").when(low.rlike(r"figure|fig\.|chart|graph|exhibit"), "Figure").when(low.rlike("equation|formula"), "Equation").otherwise("Block")
+    return F.when(matches(t, lx.CAPTION_PREFIXES), target)
+
+
+def fallback_hints(c: Column) -> Column:
+    """The seven hints of a text that came without any; a hyphen is one whatever stands before it."""
+    t = F.coalesce(c, F.lit(""))
+    end = F.regexp_replace(t, r"\s+$", "")
+    lower_start = F.regexp_replace(t, r"^\s+", "").rlike(r"^\p{Ll}")
+    first = F.lower(F.regexp_replace(first_word(t), "[.,;:]+$", ""))
+    stop = end.rlike(r"[.?!:;]$")
+    return F.struct(
+        lower_start.alias("starts_lowercase"), ((t != "") & ~stop).alias("ends_incomplete"), F.lower(last_word(F.regexp_replace(end, "[.,;:!?]+$", ""))).isin(*lx.OPEN_CLAUSE_WORDS).alias("ends_with_open_clause"),
+        (lower_start | first.isin(*lx.CONTINUATION_STARTERS)).alias("starts_like_continuation"), stop.alias("has_terminal_punctuation"), end.endswith("-").alias("ends_with_hyphen"), (end.endswith(",") | end.endswith("...")).alias("has_fragment_pattern"),
+    )
+
+
+def forced_role(kind: Column, all_furniture: Column) -> Column:
+    """The role that a chunk gives all its sentences: a heading's are topics, those of furniture alone irrelevant; else null."""
+    return F.when(kind == "header", "topic").when(F.coalesce(all_furniture, F.lit(False)), "irrelevant")

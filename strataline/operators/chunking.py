@@ -217,6 +217,29 @@ def infer_type(forced: Column, all_list: Column, all_objective: Column, tags: Co
     return out.otherwise("explanation")
 
 
+def infer_type_legacy(all_list: Column, all_objective: Column, tags: Column, imperative_share: Column, objectives: bool = True) -> Column:
+    """The older profiles' type of a chunk: where half of the sentences or more tell to do something it is a procedure, after
+    theorems and proofs. ``objectives``: whether a chunk of objectives alone is one."""
+    out = F.when(all_list, "list")
+    if objectives:
+        out = out.when(all_objective, "learning_objective")
+    out = out.when(F.array_contains(tags, "theorem"), "theorem").when(F.array_contains(tags, "proof"), "proof").when(F.coalesce(imperative_share >= 0.5, F.lit(False)), "procedure")
+    for t in ("definition", "procedure", "example", "exercise", "formula", "summary"):
+        out = out.when(F.array_contains(tags, t), t)
+    return out.otherwise("explanation")
+
+
+def type_by_roles(roles: Column) -> Column:
+    """The embedding profile's type from the roles of a chunk's sentences: example, question or definition if any is one,
+    else the commonest (ties: the first seen); without sentences an explanation."""
+    counted = F.transform(F.array_distinct(roles), lambda r: F.struct(F.size(F.filter(roles, lambda x: x == r)).alias("n"), (-F.array_position(roles, r)).alias("at"), r.alias("r")))
+    most = F.array_max(counted)["r"]
+    out = F.when(F.size(roles) == 0, "explanation")
+    for r in ("example", "question", "definition"):
+        out = out.when(F.array_contains(roles, r), r)
+    return out.otherwise(most)
+
+
 def join_parts(parts: Column) -> Column:
     """Texts joined by spaces, words broken between them put together."""
 
@@ -392,6 +415,12 @@ def roles_of(content: Column, path: Column, kind: Column) -> Column:
     return F.aggregate(all_of_it, F.array().cast("array<struct<text:string,role:string>>"), step)
 
 
+def tag_union(content: Column) -> Column:
+    """The tags of a text and of its sentences, each once, by name."""
+    each = F.flatten(F.transform(tx.sentences(F.coalesce(content, F.lit(""))), lambda s: tx.tags(s)))
+    return F.array_sort(F.array_distinct(F.concat(tx.tags(F.coalesce(content, F.lit(""))), each)))
+
+
 def with_roles(chunks: DataFrame, kind: str = "chunk_type") -> DataFrame:
     """``sentences``: (text, role) of each sentence of a chunk; ``kind`` is the type that the roles go by."""
     return chunks.withColumn("sentences", roles_of(F.col("content"), F.col("heading_path"), F.col(kind)))

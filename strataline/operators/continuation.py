@@ -143,3 +143,34 @@ def join_words(df: DataFrame, doc: str = "file_id", order: str = "pos") -> DataF
     rows = rows.withColumn("text", F.when(F.col("__join"), join_at_word(F.col("__prev"), F.col("text"))["right"]).otherwise(F.col("text")))
     rows = rows.withColumn("text", F.when(F.col("__follows"), join_at_word(F.col("text"), F.col("__next"))["left"]).otherwise(F.col("text")))
     return rows.drop("__can", "__run", "__join", "__prev", "__next", "__follows")
+
+
+def pairwise(df: DataFrame, doc: str = "file_id", order: str = "pos", similarity: Column | None = None, full: float = 0.70, partial: float = 0.45) -> DataFrame:
+    """``pair_score`` and ``pair_decision`` of each row and the one before by the embedding profile's single test: style
+    alone, or 70 % of it and 30 % similarity where there is an encoder. Blocks never continue; a document's first row has
+    no decision."""
+    w = Window.partitionBy(doc).orderBy(order)
+    rows = df.withColumn("__b", F.lag(F.struct("type", F.trim(F.coalesce("text", F.lit(""))).alias("t"), "page", "column_index")).over(w))
+    b, t = F.col("__b"), F.trim(F.coalesce("text", F.lit("")))
+    same_page = b["page"].eqNullSafe(F.col("page"))
+    near = same_page | (F.abs(F.coalesce("page", F.lit(0)) - F.coalesce(b["page"], F.lit(0))) <= 1)
+    same_column = F.coalesce(b["column_index"], F.lit(0)) == F.coalesce("column_index", F.lit(0))
+    give = lambda on, v: F.when(F.coalesce(on, F.lit(False)), F.lit(v)).otherwise(F.lit(0.0))
+    style = give(b["t"].rlike("[-‐‑‒–—]$"), 0.3) + give(t.rlike(r"^\p{Ll}"), 0.3) + give(~b["t"].rlike("[.!?]$"), 0.2) + give(near, 0.1) + give(F.when(same_page, ~same_column).otherwise(same_column), 0.1)
+    score = style if similarity is None else style * 0.7 + similarity * 0.3
+    barred = F.coalesce(F.col("type").isin(*lx.BREAK_TYPES[1:]) | b["type"].isin(*lx.BREAK_TYPES[1:]), F.lit(False))
+    score = F.when(b.isNotNull(), F.when(barred, 0.0).otherwise(score))
+    decision = F.when(b.isNotNull(), F.when(barred, "none").when(score >= full - SLACK, "full").when(score >= partial - SLACK, "partial").otherwise("none"))
+    return rows.withColumn("pair_score", score).withColumn("pair_decision", decision).drop("__b")
+
+
+def merge_evidence(rows: DataFrame, keys: list[str], top: int = 5) -> DataFrame:
+    """(keys, merge_evidence): why the rows of a chunk were merged: how many joins, their mean score, the commonest rules
+    (ties by name) and each join. ``rows``: keys, pos, segment_id, prev_id, score, is_continuation, rules; joins alone count."""
+    joins = rows.filter(F.col("is_continuation").isin("full", "partial"))
+    detail = F.struct("pos", F.col("prev_id").alias("from"), F.col("segment_id").alias("to"), F.round("score", 3).alias("score"), F.col("is_continuation").alias("decision"), F.col("rules").alias("contributing_factors"))
+    g = joins.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("score"), 3).alias("avg"), F.array_sort(F.collect_list(detail)).alias("d"))
+    every = F.flatten(F.transform("d", lambda x: x["contributing_factors"]))
+    counted = F.transform(F.array_distinct(every), lambda r: F.struct((-F.size(F.filter(every, lambda x: x == r))).alias("n"), r.alias("rule")))
+    named = F.transform(F.slice(F.array_sort(counted), 1, top), lambda x: F.concat(x["rule"], F.lit(": "), (-x["n"]).cast("string"), F.lit("x")))
+    return g.select(*keys, F.struct(F.col("n").alias("merge_count"), F.col("avg").alias("avg_confidence"), named.alias("key_indicators"), F.transform("d", lambda x: x.dropFields("pos")).alias("details")).alias("merge_evidence"))

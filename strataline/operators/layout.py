@@ -140,3 +140,40 @@ def sidebars_by_width(df: DataFrame, doc: str = "file_id", ratio: float = 0.35,
     rows = rows.withColumn("__left", left).withColumn("__right", right)
     apart = (b[2] < F.col("__left") - gap) | (b[0] > F.col("__right") + gap)
     return rows.withColumn("narrow_sidebar", F.coalesce((F.col("__w") <= ratio * F.col("__most")) & apart, F.lit(False))).drop("__w", "__most", "__left", "__right")
+
+
+def sidebars_rich(df: DataFrame, doc: str = "file_id", p: Profile = CANONICAL, ratio: float = 0.35, gap: float = 30.0) -> DataFrame:
+    """``is_sidebar``, ``sidebar_zone`` (left, right, sidebar), ``sidebar_type`` (heading, learning_objective, key_term, summary,
+    sidebar_content) and ``forbid_merge``: the older profile's sidebars.
+
+    By wording, by the heading path, by zones (narrow boxes beside the main column, and from a narrow heading at the right
+    edge to the edge), and objectives in narrow boxes. A zone holds what has its middle in it; the first of a page counts.
+    """
+    t, b = F.trim(F.coalesce("text", F.lit(""))), F.col("bbox")
+    page, boxed = F.coalesce("page", F.lit(1)), F.coalesce(has_box(b), F.lit(False))
+    w = Window.partitionBy(doc, page)
+    ordered = w.orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    heading, objective = tx.matches(t, lx.SIDEBAR_HEADINGS), tx.matches(t, lx.SIDEBAR_OBJECTIVES)
+    rows = df.withColumn("__w", F.when(boxed, b[2] - b[0])).withColumn("__most", F.max(F.when(boxed, b[2] - b[0])).over(w)).withColumn("__x", F.max(F.when(boxed, b[2])).over(w))
+    main = F.col("__w") > 0.5 * F.col("__most")
+    rows = rows.withColumn("__left", F.min(F.when(main, b[0])).over(w)).withColumn("__right", F.max(F.when(main, b[2])).over(w))
+    rows = rows.withColumn("__width", F.when(F.col("__x") > 0.9 * p.page_width, F.greatest(F.lit(p.page_width), F.col("__x") * 1.05)).otherwise(F.lit(p.page_width))).withColumn("__h", heading).withColumn("__o", objective)
+    narrow = F.col("__w") <= ratio * F.col("__most")
+    side = F.when(narrow & (b[2] < F.col("__left") - gap), "left").when(narrow & (b[0] > F.col("__right") + gap), "right")
+    zone = F.when(side.isNotNull(), F.struct(b[0].alias("a"), b[2].alias("z"), side.alias("side")))
+    edge = F.col("__h") & (b[0] > 0.65 * F.col("__width")) & (F.col("__w") / F.col("__width") < ratio)
+    rows = rows.withColumn("__zones", F.collect_list(zone).over(ordered)).withColumn("__edge", F.first(F.when(edge, F.struct(b[0].alias("a"), F.col("__width").alias("z"), F.lit("right").alias("side"))), ignorenulls=True).over(ordered))
+    zones = F.when(F.exists("__zones", lambda z: z["side"] == "right") | F.col("__edge").isNull(), F.col("__zones")).otherwise(F.concat("__zones", F.array("__edge")))
+    middle = (b[0] + b[2]) / 2
+    rows = rows.withColumn("__all", zones).withColumn("__in", F.when(boxed, F.try_element_at(F.filter(zones, lambda z: (z["a"] <= middle) & (middle <= z["z"])), F.lit(1))["side"]))
+    path = F.upper(F.coalesce("heading_path", F.lit("")))
+    under = path.rlike("|".join(lx.SIDEBAR_PATHS))
+    inside = under | F.col("__in").isNotNull() | F.coalesce((F.col("__w") / F.col("__width") < ratio) & F.col("__o"), F.lit(False))
+    kind = (
+        F.when(F.col("__o") | (path.rlike("OBJECTIVES|OUTCOMES") & (tx.word_count(t) > 3)), "learning_objective").when(path.contains("KEY"), "key_term")
+        .when(path.contains("SUMMARY"), "summary").otherwise("sidebar_content")
+    )
+    is_one = F.col("__h") | inside
+    rows = rows.withColumn("is_sidebar", is_one).withColumn("sidebar_zone", F.when(is_one, F.coalesce("__in", F.lit("sidebar"))))
+    rows = rows.withColumn("sidebar_type", F.when(F.col("__h"), "heading").when(inside, kind)).withColumn("forbid_merge", is_one)
+    return rows.drop(*[f"__{c}" for c in ("w", "most", "x", "left", "right", "width", "h", "o", "zones", "edge", "all", "in")])

@@ -88,3 +88,21 @@ def resolve(found: DataFrame, catalog: DataFrame, pages: DataFrame, doc: str = "
     hit = F.col("target_segment_id").isNotNull()
     sure = F.when(F.col("ref_kind") == "explicit", F.when(hit, 0.95).otherwise(0.5)).otherwise(F.when(hit, 0.7).otherwise(0.3))
     return rows.withColumn("confidence", sure).drop("__e", "first_id", "last_id", "caption_id")
+
+
+def bond_records(pairs: DataFrame) -> DataFrame:
+    """One record for a caption, its block and the notes between them. ``pairs``: caption and block (structs of segment_id,
+    type, text, page, bbox, heading_path) and notes (an array of such, or null).
+
+    type, text (caption and notes, in lines), segment_id (the block's), bonded_segment_ids, page (the first), page_range,
+    bbox (the block's), heading_path (the caption's), caption_text.
+    """
+    notes = F.coalesce(F.col("notes"), F.filter(F.array(F.col("block")), lambda x: F.lit(False)))
+    clean = lambda c: F.trim(F.coalesce(c, F.lit("")))
+    lines = F.filter(F.transform(notes, lambda x: clean(x["text"])), lambda t: t != "")
+    pages = F.array_sort(F.array_distinct(F.transform(F.concat(F.array(F.col("caption"), F.col("block")), notes), lambda x: F.coalesce(x["page"], F.lit(0)))))
+    ids = F.concat(F.array("caption.segment_id", "block.segment_id"), F.transform(notes, lambda x: x["segment_id"]))
+    return pairs.withColumns({
+        "type": F.col("block.type"), "text": F.array_join(F.concat(F.array(clean(F.col("caption.text"))), lines), "\n"), "segment_id": F.col("block.segment_id"), "bonded_segment_ids": F.filter(ids, lambda x: F.coalesce(x != "", F.lit(False))),
+        "page": F.array_min(pages), "page_range": pages, "bbox": F.col("block.bbox"), "heading_path": F.col("caption.heading_path"), "caption_text": clean(F.col("caption.text")),
+    })
