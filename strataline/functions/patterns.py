@@ -69,9 +69,9 @@ def needed(pattern: str) -> frozenset[str] | None:
     return found if found and all(len(x) > 1 for x in found) and len(found) <= 24 else None
 
 
-def _needed(nodes: list) -> frozenset[str] | None:
-    """The best set of one sequence: of its literal runs and of what its groups and branches need."""
-    best, run = None, ""
+def _needed(nodes: list, run: str = "") -> frozenset[str] | None:
+    """The best set of one sequence, that ``run`` stands before: of its literal runs and of what its groups need."""
+    best = None
 
     def better(found: frozenset[str] | None) -> None:
         nonlocal best
@@ -82,15 +82,15 @@ def _needed(nodes: list) -> frozenset[str] | None:
         if kind is op.LITERAL and chr(arg).isascii():
             run += chr(arg).lower()
             continue
-        if run:
-            better(frozenset([run]))
-            run = ""
         if kind is op.SUBPATTERN:
-            better(_needed(list(arg[3])))
+            better(_needed(list(arg[3]), run))
         elif kind is op.BRANCH:
-            each = [_needed(list(x)) for x in arg[1]]
+            each = [_needed(list(x), run) for x in arg[1]]
             if all(each):
                 better(frozenset().union(*each))
         elif kind in (op.MAX_REPEAT, op.MIN_REPEAT) and arg[0] > 0:
             better(_needed(list(arg[2])))
+        if run:
+            better(frozenset([run]))
+        run = ""
     return best

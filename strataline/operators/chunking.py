@@ -7,10 +7,11 @@ the open buffer and three rows of look-ahead, so memory doesn't grow with a docu
 
 from __future__ import annotations
 
-from collections import deque
+from collections import deque, namedtuple
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,9 +21,15 @@ from strataline.operators.continuation import merge_hyphenated, noise_header
 
 BLOCKS = ("Table", "Picture", "Formula")
 FITS = {"Table": BLOCKS, "Figure": BLOCKS, "Exhibit": BLOCKS, "Equation": ("Formula", "Picture")}
+#: What the fold reads of a row.
 NEEDED = ["pos", "type", "heading_path", "page", "column_index", "bbox", "is_continuation", "noise", "objective", "caption_type", "open_end", "small", "theorem", "number"]
 
 
+#: Columns that only the fold reads.
+FOLDED = ("noise", "objective", "caption_type", "open_end", "small", "theorem", "number")
+Row = namedtuple("Row", ["row", *NEEDED])
+
+
 def fold_columns(df: DataFrame) -> DataFrame:
     """The columns that the fold reads. Needs ``is_continuation``."""
     t = F.coalesce(F.col("text"), F.lit(""))
@@ -35,7 +42,7 @@ def fold_columns(df: DataFrame) -> DataFrame:
 
 class Fold:
     """The rules over one document. ``feed`` takes rows in order; ``close`` ends it; both give placed rows:
-    (pos, chunk_no, path, kind, cross_page, continuation, bonded)."""
+    (row, chunk_no, path, kind, cross_page, continuation, bonded)."""
 
     def __init__(self, p: Profile = CANONICAL):
         self.p = p
@@ -53,7 +60,7 @@ class Fold:
             self.no += 1
         self.last = (kind, path)
         cross, cont = (self.cross, self.kind) if state else (False, "none")
-        self.out += [(r.pos, self.no, path, kind, cross, cont, bonded) for r in rows]
+        self.out += [(r.row, self.no, path, kind, cross, cont, bonded) for r in rows]
 
     def flush(self, kind: str | None = None) -> None:
         self.emit(self.buffer, self.path, kind, state=True)
@@ -166,7 +173,7 @@ class Fold:
         return out
 
 
-PLACED = "pos int, chunk_no int, chunk_path string, forced_type string, is_cross_page boolean, continuation_type string, bonded boolean"
+PLACED = "chunk_no int, chunk_path string, forced_type string, is_cross_page boolean, continuation_type string, bonded boolean"
 
 
 def place(df: DataFrame, doc: str = "file_id", p: Profile = CANONICAL) -> DataFrame:
@@ -174,12 +181,25 @@ def place(df: DataFrame, doc: str = "file_id", p: Profile = CANONICAL) -> DataFr
 
     One shuffle, by document, of the columns that the rules read; no text.
     """
-    rows = df.select(doc, *NEEDED).repartition(doc).sortWithinPartitions(doc, "pos")
-    names = [doc, *[x.split()[0] for x in PLACED.split(", ")]]
+    return place_rows(df.select(doc, *NEEDED).repartition(doc), doc, p).select(doc, "pos", *[x.split()[0] for x in PLACED.split(", ")])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        fold, at, ahead = Fold(p), None, deque()
-        pending: list[tuple] = []
+
+def place_rows(df: DataFrame, doc: str = "file_id", p: Profile = CANONICAL) -> DataFrame:
+    """``df`` (with ``fold_columns``, in the partitions of its documents) and the columns of PLACED.
+
+    Rows pass through in order as Arrow batches; the fold looks at the columns that the rules read. A batch goes on when
+    its last row is placed, which is a buffer and three rows later at most, so few are held.
+    """
+    at = df.sortWithinPartitions(doc, "pos")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + ", " + PLACED
+    added = [x.split() for x in PLACED.split(", ")]
+    kinds = {"int": pa.int32(), "string": pa.string(), "boolean": pa.bool_()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fold, doc_now, begun, ahead = Fold(p), None, False, deque()
+        held: deque[tuple[pa.RecordBatch, int]] = deque()
+        placed: dict[int, tuple] = {}
+        seen = 0
 
         def drain(all_of_it: bool) -> None:
             while ahead and (all_of_it or len(ahead) > 3):
@@ -187,27 +207,34 @@ def place(df: DataFrame, doc: str = "file_id", p: Profile = CANONICAL) -> DataFr
                 fold.row(r, list(ahead)[:3])
             if all_of_it:
                 fold.flush()
-            pending.extend((at, *x) for x in fold.taken())
-
-        for pdf in batches:
-            for r in pdf.itertuples(index=False):
-                key = getattr(r, doc)
-                if key != at:
-                    if at is not None:
+            for row, *values in fold.taken():
+                placed[row] = tuple(values)
+
+        def ready() -> Iterator[pa.RecordBatch]:
+            while held and all(held[0][1] + i in placed for i in range(held[0][0].num_rows - 1, -1, -1)):
+                batch, first = held.popleft()
+                rows = [placed.pop(first + i) for i in range(batch.num_rows)]
+                arrays = [pa.array([r[k] for r in rows], kinds[kind]) for k, (_, kind) in enumerate(added)]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], [*batch.schema.names, *[n for n, _ in added]])
+
+        for batch in batches:
+            held.append((batch, seen))
+            columns = {c: batch.column(batch.schema.get_field_index(c)).to_pylist() for c in (doc, *NEEDED)}
+            for i in range(batch.num_rows):
+                key = columns[doc][i]
+                if not begun or key != doc_now:
+                    if begun:
                         drain(True)
-                    fold, at = Fold(p), key
-                ahead.append(r)
+                    fold, doc_now, begun = Fold(p), key, True
+                ahead.append(Row(seen + i, *[columns[c][i] for c in NEEDED]))
                 if len(ahead) > 3:
                     drain(False)
-            if pending:
-                yield pd.DataFrame(pending, columns=names)
-                pending.clear()
-        if at is not None:
-            drain(True)
-        if pending:
-            yield pd.DataFrame(pending, columns=names)
+            seen += batch.num_rows
+            yield from ready()
+        drain(True)
+        yield from ready()
 
-    return rows.mapInPandas(run, f"`{doc}` {dict(df.dtypes)[doc]}, {PLACED}")
+    return at.mapInArrow(run, schema)
 
 
 def infer_type(forced: Column, all_list: Column, all_objective: Column, tags: Column) -> Column:
@@ -253,28 +280,53 @@ def join_parts(parts: Column) -> Column:
 
 
 def assemble(segments: DataFrame, placed: DataFrame, doc: str = "file_id") -> DataFrame:
-    """Chunks: content, type, tags, segments, pages, words. A chunk has at most some dozen segments, so its list is bounded."""
-    furniture = F.coalesce(F.col("is_furniture"), F.lit(False)) if "is_furniture" in segments.columns else F.lit(False)
-    rows = placed.join(segments.select(doc, "pos", "segment_id", "type", "text", "page", "depth", "bbox", furniture.alias("is_furniture")), [doc, "pos"])
+    """Chunks of segments and their places (``place``)."""
+    return assemble_rows(placed.join(segments, [doc, "pos"]), doc)
+
+
+def assemble_rows(rows: DataFrame, doc: str = "file_id") -> DataFrame:
+    """Chunks: content, type, tags, segments, pages, words, boxes, and why rows were merged. A chunk has at most some dozen
+    segments, so its lists are bounded. ``rows``: segments with the columns of PLACED (and is_furniture, score, rules,
+    prev_id, if known)."""
+    known = lambda c, kind: F.col(c) if c in rows.columns else F.lit(None).cast(kind)
+    furniture = F.coalesce(known("is_furniture", "boolean"), F.lit(False))
     t = F.trim(F.coalesce("text", F.lit("")))
-    parts = F.collect_list(F.when((t != "") & ~F.col("is_furniture"), F.struct("pos", t.alias("t"))))
-    b = F.when(~F.col("is_furniture") & (F.size("bbox") >= 4), F.col("bbox"))
+    parts = F.collect_list(F.when((t != "") & ~furniture, F.struct("pos", t.alias("t"))))
+    boxed = ~furniture & (F.size("bbox") >= 4)
+    box = F.collect_list(F.when(boxed, F.struct(F.coalesce("page", F.lit(0)).alias("page"), F.col("bbox").alias("b"))))
+    joins = F.col("is_continuation").isin("full", "partial") if "is_continuation" in rows.columns else F.lit(False)
+    detail = F.struct("pos", known("prev_id", "string").alias("from"), F.col("segment_id").alias("to"), F.round(known("score", "double"), 3).alias("score"), known("is_continuation", "string").alias("decision"), known("rules", "array<string>").alias("contributing_factors"))
     g = rows.groupBy(doc, "chunk_no").agg(
         parts.alias("parts"), F.collect_list(F.struct("pos", "segment_id")).alias("ids"), F.min("page").alias("first_page"), F.max("page").alias("last_page"),
         F.min_by("depth", "pos").alias("depth"), F.first("chunk_path").alias("heading_path"), F.first("forced_type").alias("forced"), F.first("is_cross_page").alias("is_cross_page"),
         F.first("continuation_type").alias("continuation_type"), F.first("bonded").alias("bonded"), F.bool_and(F.col("type") == "ListItem").alias("all_list"),
-        F.bool_and(F.col("type") == "LearningObjective").alias("all_objective"), F.min(b[0]).alias("x0"), F.min(b[1]).alias("y0"), F.max(b[2]).alias("x1"), F.max(b[3]).alias("y1"),
+        F.bool_and(F.col("type") == "LearningObjective").alias("all_objective"), box.alias("boxes"), F.array_sort(F.collect_list(F.when(joins, detail))).alias("joins"),
     )
     content = F.when(F.col("forced") == "formula", F.lit("[FORMULA PLACEHOLDER]")).otherwise(join_parts(F.transform(F.array_sort("parts"), lambda s: s["t"])))
     g = g.withColumn("content", content).withColumn("tags", tx.tags(F.col("content")))
     g = g.withColumn("tags", F.when(tx.is_imperative(F.col("content")) & ~F.array_contains("tags", "procedure"), F.concat("tags", F.array(F.lit("procedure")))).otherwise(F.col("tags")))
+    edge = lambda bs, k: F.transform(bs, lambda b: b[k])
+    round_ = lambda bs: F.array(F.array_min(edge(bs, 0)), F.array_min(edge(bs, 1)), F.array_max(edge(bs, 2)), F.array_max(edge(bs, 3)))
+    pages = F.array_sort(F.array_distinct(F.transform(F.filter("boxes", lambda x: x["page"] > 0), lambda x: x["page"])))
+    by_page = F.map_from_entries(F.transform(pages, lambda n: F.struct(n, round_(F.transform(F.filter("boxes", lambda x: x["page"] == n), lambda x: x["b"])))))
     return g.select(
         doc, "chunk_no", "heading_path", infer_type(F.col("forced"), F.col("all_list"), F.col("all_objective"), F.col("tags")).alias("chunk_type"), "content", "tags",
         F.transform(F.array_sort("ids"), lambda s: s["segment_id"]).alias("source_segments"), "first_page", "last_page", "depth", tx.word_count(F.col("content")).alias("word_count"),
-        "is_cross_page", "continuation_type", (F.col("continuation_type") == "partial").alias("needs_review"), "bonded", F.when(F.col("x0").isNotNull(), F.array("x0", "y0", "x1", "y1")).alias("bbox"),
+        "is_cross_page", "continuation_type", (F.col("continuation_type") == "partial").alias("needs_review"), evidence_of(F.col("joins")).alias("merge_evidence"), "bonded",
+        F.when(F.size("boxes") > 0, round_(F.transform("boxes", lambda x: x["b"]))).alias("bbox"), by_page.alias("page_bboxes"),
     )
 
 
+def evidence_of(joins: Column, top: int = 5) -> Column:
+    """Why the rows of a chunk were merged: how many joins, their mean score, the commonest rules (ties by name) and each
+    join; null where there are none."""
+    every = F.flatten(F.transform(joins, lambda x: x["contributing_factors"]))
+    counted = F.transform(F.array_distinct(every), lambda r: F.struct((-F.size(F.filter(every, lambda x: x == r))).alias("n"), r.alias("rule")))
+    named = F.transform(F.slice(F.array_sort(counted), 1, top), lambda x: F.concat(x["rule"], F.lit(": "), (-x["n"]).cast("string"), F.lit("x")))
+    mean = F.round(F.aggregate(joins, F.lit(0.0), lambda s, x: s + x["score"]) / F.size(joins), 3)
+    return F.when(F.size(joins) > 0, F.struct(F.size(joins).alias("merge_count"), mean.alias("avg_confidence"), named.alias("key_indicators"), F.transform(joins, lambda x: x.dropFields("pos")).alias("details")))
+
+
 def bond_captions(chunks: DataFrame, doc: str = "file_id", reach: int = 3) -> DataFrame:
     """Captions left alone join the nearest block without one: of the three before, else of the three after, on the same
     or a neighbouring page. One block takes one caption, the earliest. The caption's text stands before the block's.
@@ -348,7 +400,11 @@ def merged_chunks(chunks: DataFrame, doc: str = "file_id", p: Profile = CANONICA
         out = out.withColumn("sentences", F.when(pair, F.concat("sentences", "__n.sentences")).otherwise(F.col("sentences")))
     if "doc_zone" in extra:
         out = out.withColumn("doc_zone", F.when(pair, "body").otherwise(F.col("doc_zone")))
-    for c, empty in (("is_cross_page", F.lit(False)), ("continuation_type", F.lit("none")), ("needs_review", F.lit(False))):
+    lost = [("is_cross_page", F.lit(False)), ("continuation_type", F.lit("none")), ("needs_review", F.lit(False))]
+    lost += [(c, F.lit(None).cast(chunks.schema[c].dataType)) for c in ("merge_evidence", "page_bboxes", "bbox") if c in chunks.columns]
+    if "mentions" in chunks.columns:
+        lost.append(("mentions", F.filter("mentions", lambda m: F.lit(False))))
+    for c, empty in lost:
         out = out.withColumn(c, F.when(pair, empty).otherwise(F.col(c)))
     out = out.withColumn("tags", F.when(pair, tags).otherwise(F.col("tags"))).withColumn("content", F.when(pair, content).otherwise(F.col("content")))
     return out.drop("__n", "starts_pair", "is_head", "merged_no")
@@ -399,12 +455,16 @@ def join_objectives(chunks: DataFrame, doc: str = "file_id") -> DataFrame:
     return rows.withColumns({k: F.when(has, c).otherwise(F.col(k)) for k, c in new.items()}).drop("__n", "objective_no")
 
 
-def roles_of(content: Column, path: Column, kind: Column) -> Column:
-    """Sentences of a text with their roles, in order; a heading's are topics. Explanations under five words join the
-    sentence before, unless it is irrelevant."""
-    known = F.transform(tx.sentences(F.coalesce(content, F.lit(""))), lambda s: F.struct(s.alias("text"), tx.tags(s).alias("tags"), tx.is_imperative(s).alias("imp")))
+def known_sentences(content: Column) -> Column:
+    """Sentences of a text with what their roles go by: text, tags, imp."""
+    return F.transform(tx.sentences(F.coalesce(content, F.lit(""))), lambda s: F.struct(s.alias("text"), tx.tags(s).alias("tags"), tx.is_imperative(s).alias("imp")))
+
+
+def roles_of(known: Column, path: Column, kind: Column) -> Column:
+    """Sentences with their roles, in order; a heading's are topics. Explanations under five words join the sentence before,
+    unless it is irrelevant."""
     given = lambda x: tx.role(x["text"], path, x["tags"], tx.sentence_form(x["text"], x["imp"]), x["imp"], kind)
-    all_of_it = F.transform(known, lambda x: F.struct(x["text"].alias("text"), F.when(kind == "header", "topic").otherwise(given(x)).alias("role")))
+    all_of_it = F.transform(known, lambda x: F.struct(x["text"].alias("text"), F.coalesce(tx.forced_role(kind, F.lit(False)), given(x)).alias("role")))
 
     def step(done: Column, x: Column) -> Column:
         last = F.try_element_at(done, F.lit(-1))
@@ -422,8 +482,11 @@ def tag_union(content: Column) -> Column:
 
 
 def with_roles(chunks: DataFrame, kind: str = "chunk_type") -> DataFrame:
-    """``sentences``: (text, role) of each sentence of a chunk; ``kind`` is the type that the roles go by."""
-    return chunks.withColumn("sentences", roles_of(F.col("content"), F.col("heading_path"), F.col(kind)))
+    """``sentences``: (text, role) of each sentence of a chunk; ``kind`` is the type that the roles go by. The tags of the
+    sentences join the chunk's."""
+    rows = chunks.withColumn("__known", known_sentences(F.col("content")))
+    tags = F.array_sort(F.array_union("tags", F.flatten(F.transform("__known", lambda x: x["tags"]))))
+    return rows.withColumns({"sentences": roles_of(F.col("__known"), F.col("heading_path"), F.col(kind)), "tags": tags}).drop("__known")
 
 
 def group_adjacent(df: DataFrame, doc: str = "file_id", order: str = "pos", similarity: Column | None = None, threshold: float = 0.5, cap: int | None = 5) -> DataFrame:

@@ -162,15 +162,3 @@ def pairwise(df: DataFrame, doc: str = "file_id", order: str = "pos", similarity
     score = F.when(b.isNotNull(), F.when(barred, 0.0).otherwise(score))
     decision = F.when(b.isNotNull(), F.when(barred, "none").when(score >= full - SLACK, "full").when(score >= partial - SLACK, "partial").otherwise("none"))
     return rows.withColumn("pair_score", score).withColumn("pair_decision", decision).drop("__b")
-
-
-def merge_evidence(rows: DataFrame, keys: list[str], top: int = 5) -> DataFrame:
-    """(keys, merge_evidence): why the rows of a chunk were merged: how many joins, their mean score, the commonest rules
-    (ties by name) and each join. ``rows``: keys, pos, segment_id, prev_id, score, is_continuation, rules; joins alone count."""
-    joins = rows.filter(F.col("is_continuation").isin("full", "partial"))
-    detail = F.struct("pos", F.col("prev_id").alias("from"), F.col("segment_id").alias("to"), F.round("score", 3).alias("score"), F.col("is_continuation").alias("decision"), F.col("rules").alias("contributing_factors"))
-    g = joins.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("score"), 3).alias("avg"), F.array_sort(F.collect_list(detail)).alias("d"))
-    every = F.flatten(F.transform("d", lambda x: x["contributing_factors"]))
-    counted = F.transform(F.array_distinct(every), lambda r: F.struct((-F.size(F.filter(every, lambda x: x == r))).alias("n"), r.alias("rule")))
-    named = F.transform(F.slice(F.array_sort(counted), 1, top), lambda x: F.concat(x["rule"], F.lit(": "), (-x["n"]).cast("string"), F.lit("x")))
-    return g.select(*keys, F.struct(F.col("n").alias("merge_count"), F.col("avg").alias("avg_confidence"), named.alias("key_indicators"), F.transform("d", lambda x: x.dropFields("pos")).alias("details")).alias("merge_evidence"))

@@ -48,18 +48,29 @@ def furniture_scan(df: DataFrame, doc: str = "file_id", p: Profile = CANONICAL)
 
 
 def mark_furniture(df: DataFrame, doc: str = "file_id", p: Profile = CANONICAL, out: str = "is_furniture") -> DataFrame:
-    """``out``: page decoration by band, wording and repetition over the pages."""
+    """``out``: page decoration by band, wording and repetition over the pages.
+
+    The counts of ``furniture_scan`` as windows of a document's partition (a rank of pages within a wording, and its
+    greatest), so that texts that are in the partitions of their documents aren't shuffled again.
+    """
     t, b = F.trim(F.coalesce(F.col("text"), F.lit(""))), F.col("bbox")
-    counts = furniture_scan(df, doc, p).filter((F.col("total_pages") >= p.furniture_pages) & (F.col("pages") / F.col("total_pages") >= p.furniture_share))
-    rows = df.withColumn("form", tx.furniture_form(t)).join(counts.select(doc, "form", F.lit(True).alias("__often")), [doc, "form"], "left")
-    worded, often = tx.matches(t, lx.FURNITURE), F.coalesce(F.col("__often"), F.lit(False))
+    page = F.coalesce(F.col("page"), F.lit(0))
+    rows = df.withColumn("__form", tx.furniture_form(t)).withColumn("__page", page)
+    rows = rows.withColumn("__short", (t != "") & (tx.word_count(t) <= p.furniture_words) & in_band(b, p))
+    total = F.max("__rank").over(Window.partitionBy(doc))
+    rows = rows.withColumn("__rank", F.dense_rank().over(Window.partitionBy(doc).orderBy("__page"))).withColumn("__total", total)
+    rows = rows.withColumn("__rank", F.when(F.col("__short"), F.dense_rank().over(Window.partitionBy(doc, "__form", "__short").orderBy("__page"))))
+    pages = F.max("__rank").over(Window.partitionBy(doc, "__form"))
+    often = F.coalesce((F.col("__total") >= p.furniture_pages) & (pages / F.col("__total") >= p.furniture_share), F.lit(False))
+    rows = rows.withColumn("__often", often)
+    worded, often = tx.matches(t, lx.FURNITURE), F.col("__often")
     if p.hard_band:
         decision = F.when(in_band(b, p), worded | ~t.rlike("(?i)" + lx.CAPTION_LIKE)).otherwise(worded | often)
     else:
         small = (tx.word_count(t) <= p.furniture_words) & in_band(b, p)
         decision = worded | (often & small) | ((tx.word_count(t) <= 2) & in_band(b, p) & tx.is_trivial(t))
     kinds = F.coalesce(F.col("type").isin(*p.furniture_types), F.lit(False))
-    return rows.withColumn(out, kinds & (t != "") & decision).drop("form", "__often")
+    return rows.withColumn(out, kinds & (t != "") & decision).drop("__form", "__page", "__short", "__rank", "__total", "__often")
 
 
 def reading_order(df: DataFrame, doc: str = "file_id", p: Profile = CANONICAL) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strataline.functions import lexicon as lx
 from strataline.functions import text as tx
-from strataline.functions.patterns import java
+from strataline.functions.patterns import java, needed
 
 
 def block_catalog(segments: DataFrame, doc: str = "file_id") -> DataFrame:
@@ -30,27 +30,40 @@ def mentions(chunks: DataFrame, key: str, text: str, keep: list[str]) -> DataFra
 
     All patterns run over a text in one pass; a row is made for each match.
     """
-    c, found = F.col(text), []
+    c = F.col(text)
+    return chunks.filter(c.isNotNull()).select(key, *keep, F.explode(mentioned(c)).alias("m")).select(key, *keep, "m.*")
+
+
+def mentioned(c: Column) -> Column:
+    """The mentions of a text as an array, explicit ones first; null for a null text."""
+    found = []
     for kind, p in lx.EXPLICIT_REFERENCES:
         ids = F.transform(F.regexp_extract_all(c, F.lit("(?iu)" + java(p)), 1), lambda i: F.trim(i))
         found.append(_placed(c, p, lambda w, n, kind=kind, ids=ids: ("explicit", "", F.lit(kind), F.get(ids, n))))
     for direction, p in lx.IMPLICIT_REFERENCES:
         found.append(_placed(c, p, lambda w, n, direction=direction: ("implicit", direction, _kind(w), F.lit(""))))
-    return chunks.filter(c.isNotNull()).select(key, *keep, F.explode(F.concat(*found)).alias("m")).select(key, *keep, "m.*")
+    return F.concat(*found)
 
 
 def _placed(c: Column, pattern: str, fields) -> Column:
     """The matches of a pattern with their places, which are the lengths of what stands before them."""
     p = F.lit("(?iu)" + java(pattern))
-    whole = F.regexp_extract_all(c, p, 0)
+    # texts without a string that the pattern needs have no match
+    low, has = F.lower(F.translate(c, "ſİıK", "siik")), F.lit(False)
+    for x in sorted(needed(pattern) or {""}):
+        has = has | low.contains(x)
+    found = F.when(has, F.regexp_extract_all(c, p, 0)).otherwise(F.array().cast("array<string>"))
     length = lambda xs: F.aggregate(xs, F.lit(0), lambda s, x: s + F.length(x))
 
-    def one(w: Column, n: Column) -> Column:
+    def all_of(whole: Column) -> Column:
+        return F.transform(whole, lambda w, n: one(whole, w, n))
+
+    def one(whole: Column, w: Column, n: Column) -> Column:
         kind, direction, target, number = fields(w, n)
         start = length(F.slice(F.split(c, "(?iu)" + java(pattern), -1), 1, n + 1)) + length(F.slice(whole, 1, n))
         return F.struct(F.lit(kind).alias("ref_kind"), F.lit(direction).alias("direction"), target.alias("target_type"), w.alias("ref_text"), number.alias("ref_id"), start.alias("start_offset"), (start + F.length(w)).alias("end_offset"))
 
-    return F.transform(whole, one)
+    return F.element_at(F.transform(F.array(found), all_of), 1)
 
 
 def _kind(w: Column) -> Column:

@@ -43,25 +43,31 @@ def chapters(toc: DataFrame, doc: str = "file_id", last_page: int = 2000) -> Dat
 
 def gold_paths(segments: DataFrame, toc: DataFrame, doc: str = "file_id") -> DataFrame:
     """``gold_path`` of each segment: the stack of the entries up to its page, in their order, before the first entry
-    of a later page. An as-of join over (doc, page): entries and distinct pages are laid into one order."""
+    of a later page.
+
+    An as-of look-up: a document's paths, each with the page from which it holds, are one row that its segments meet by
+    the document alone. Segments in the partitions of their documents aren't shuffled for it; a table of contents is no
+    longer than its document.
+    """
     w = Window.partitionBy(doc).orderBy("ord").rowsBetween(Window.unboundedPreceding, 0)
     entries = toc.filter(F.col("page_no").isNotNull()).withColumn("reach", F.max("page_no").over(w))
     entries = with_stack_path(entries, doc, [F.col("ord")], F.lit(True), F.col("level"), F.col("title"), levels=None, out="entry_path")
-    at = entries.groupBy(doc, F.col("reach").alias("p")).agg(F.max_by("entry_path", "ord").alias("entry_path"))
-    pages = segments.select(doc, F.coalesce("page", F.lit(1)).alias("p")).distinct()
-    both = at.select(doc, "p", F.lit(0).alias("k"), "entry_path").unionByName(pages.select(doc, "p", F.lit(1).alias("k"), F.lit(None).cast("string").alias("entry_path")))
-    seen = F.last("entry_path", ignorenulls=True).over(Window.partitionBy(doc).orderBy("p", "k").rowsBetween(Window.unboundedPreceding, 0))
-    found = both.withColumn("gold_path", F.coalesce(seen, F.lit(""))).filter("k = 1").select(doc, F.col("p").alias("__p"), "gold_path")
-    return segments.withColumn("__p", F.coalesce("page", F.lit(1))).join(found, [doc, "__p"]).drop("__p")
+    at = entries.groupBy(doc, F.col("reach").alias("p")).agg(F.max_by("entry_path", "ord").alias("path"))
+    book = at.groupBy(doc).agg(F.array_sort(F.collect_list(F.struct("p", "path"))).alias("__book"))
+    page = F.coalesce("page", F.lit(1))
+    path = F.aggregate("__book", F.lit(""), lambda s, x: F.when(x["p"] <= page, x["path"]).otherwise(s))
+    return segments.join(book, doc, "left").withColumn("gold_path", F.coalesce(path, F.lit(""))).drop("__book")
 
 
 def enforce_headers(segments: DataFrame, toc: DataFrame, doc: str = "file_id") -> DataFrame:
-    """``new_type``: headings whose title isn't in the document's table become paragraphs; without a table none do."""
-    titles = toc.select(doc, tx.plain_title(F.col("title")).alias("__t")).distinct().withColumn("__in", F.lit(True))
-    any_title = toc.select(doc).distinct().withColumn("__has", F.lit(True))
-    rows = segments.withColumn("__t", tx.plain_title(F.coalesce("text", F.lit("")))).join(titles, [doc, "__t"], "left").join(any_title, doc, "left")
-    down = (F.col("type") == "Header") & (F.trim(F.coalesce("text", F.lit(""))) != "") & F.col("__in").isNull() & F.col("__has").isNotNull()
-    return rows.withColumn("new_type", F.when(down, "Paragraph").otherwise(F.col("type"))).drop("__t", "__in", "__has")
+    """``new_type``: headings whose title isn't in the document's table become paragraphs; without a table none do. Titles
+    meet by their document alone, as hashes, in one row for each."""
+    titles = toc.groupBy(doc).agg(F.collect_set(F.xxhash64(tx.plain_title(F.col("title")))).alias("__titles"))
+    rows = segments.join(titles, doc, "left")
+    text = F.coalesce("text", F.lit(""))
+    heading = F.coalesce(F.col("type") == "Header", F.lit(False)) & (F.trim(text) != "") & F.col("__titles").isNotNull()
+    down = F.when(heading, ~F.array_contains("__titles", F.xxhash64(tx.plain_title(text)))).otherwise(F.lit(False))
+    return rows.withColumn("new_type", F.when(down, "Paragraph").otherwise(F.col("type"))).drop("__titles")
 
 
 def seed_path(gold: Column, path: Column) -> Column:

@@ -154,8 +154,11 @@ def _with(spark: SparkSession, df: DataFrame, which: int) -> DataFrame:
     return df.unionByName(own.select(*[c for c in own.columns if c in df.columns]), allowMissingColumns=True)
 
 
-def segments(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
-    return _with(spark, src.segments(spark, folder, *columns), 0)
+def segments(spark: SparkSession, folder: str, *columns: str, by_document: bool = False) -> DataFrame:
+    if not by_document:
+        return _with(spark, src.segments(spark, folder, *columns), 0)
+    raw = src.table(spark, folder, "flat_segments").select(*dict.fromkeys(("file_id", "segment_id", *columns, "ingested_at")))
+    return src.latest(_with(spark, raw, 0).repartition("file_id"), ["file_id", "segment_id"])
 
 
 def toc(spark: SparkSession, folder: str) -> DataFrame:

@@ -864,7 +864,7 @@ def chunk_k2_with_continuations(spark, d):
 def chunk_k3_k5_assembled(spark, d):
     s = deck.segments(spark, d, *_SEGMENT)
     rows = continuation.annotate(s).drop("prev", "skipped", "rules")
-    return chunking.assemble(rows, chunking.place(chunking.fold_columns(rows))).drop("bbox")
+    return chunking.assemble_rows(chunking.place_rows(chunking.fold_columns(rows.repartition("file_id")))).drop("bbox", "page_bboxes", "merge_evidence")
 
 
 _FIRST_LINE = "string_split(coalesce(content, ''), chr(10))[1]"
@@ -909,15 +909,18 @@ def chunk_b7_bonded(spark, d):
 
 @query(None)
 def flagship_chunks(spark, d):
-    """The canonical plan from parsed segments to chunks."""
-    out = pipeline.chunks(deck.segments(spark, d, *_SEGMENT), deck.toc(spark, d))
-    return out.select("file_id", "chunk_id", "heading_path", "chunk_type", "content", "context_prefix", F.array_join("tags", ",").alias("tags"), F.array_join("source_segments", ",").alias("source_segments"), "first_page", "last_page", "word_count", "is_cross_page", "continuation_type", "needs_review", "doc_zone", "sentences")
+    """The canonical plan from parsed segments to enriched chunks, with all their fields."""
+    out = pipeline.enriched_chunks(deck.segments(spark, d, *_SEGMENT, by_document=True), deck.toc(spark, d))
+    return out.select(
+        "file_id", "chunk_id", "heading_path", "chunk_type", "content", "context_prefix", "sentences", F.array_join("tags", ",").alias("tags"), F.array_join("source_segments", ",").alias("source_segments"), "page_range", "depth", "word_count",
+        "is_cross_page", "continuation_type", "needs_review", F.to_json("merge_evidence").alias("merge_evidence"), "bbox", F.to_json("page_bboxes").alias("page_bboxes"), F.to_json("references").alias("references"), "doc_zone", F.to_json("edges").alias("edges"),
+    )
 
 
 @query(None)
 def embedding_plan_chunks(spark, d):
-    out = pipeline.embedding_chunks(deck.segments(spark, d, *_SEGMENT))
-    return out.withColumn("tags", F.array_join("tags", ","))
+    out = pipeline.embedding_chunks(deck.segments(spark, d, *_SEGMENT, by_document=True))
+    return out.withColumn("tags", F.array_join("tags", ",")).withColumn("role_distribution", F.to_json("role_distribution"))
 
 
 @query(f"""with {SEG}, {CHK}, p as (select file_id, chunk_no, unnest(source_segments) as segment_id from chk) select file_id, chunk_no, page, min(bbox[1]) as x0, min(bbox[2]) as y0, max(bbox[3]) as x1, max(bbox[4]) as y1 from p join seg using (file_id, segment_id) where len(bbox) >= 4 and page is not null group by 1, 2, 3""")

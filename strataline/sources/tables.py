@@ -36,12 +36,23 @@ def latest(df: DataFrame, keys: list[str], order: str = "ingested_at") -> DataFr
     return df.groupBy(*keys).agg(best).select(*keys, *[F.col("__r")[c].alias(c) for c in (*rest, order)])
 
 
-def segments(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
-    """Layout segments, each (file_id, segment_id) once; only the named columns are read."""
+def settled(df: DataFrame) -> DataFrame:
+    """``df``, computed once and kept in the session's checkpoint folder (``spark.checkpoint.dir``), so that several readers
+    don't compute it again, also after an executor is lost. A folder beside the warehouse where the session names none."""
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints")
+    return df.checkpoint()
+
+
+def segments(spark: SparkSession, folder: str, *columns: str, by_document: bool = False) -> DataFrame:
+    """Layout segments, each (file_id, segment_id) once; only the named columns are read. ``by_document``: in the partitions
+    of their document, for plans that go on in its order, so that they need no other shuffle."""
     df = table(spark, folder, "flat_segments")
     if columns:
         df = df.select(*dict.fromkeys(("file_id", "segment_id", *columns, "ingested_at")))
-    return latest(df, ["file_id", "segment_id"])
+    return latest(df.repartition("file_id") if by_document else df, ["file_id", "segment_id"])
 
 
 def toc(spark: SparkSession, folder: str) -> DataFrame:

@@ -21,7 +21,7 @@ def stream_chunks(spark: SparkSession, inbox: str, out: str, checkpoint: str) ->
     rows = docs.select("file_id", F.posexplode("flat_segments").alias("pos", "s")).select("file_id", "pos", "s.*")
 
     def write(batch: DataFrame, number: int) -> None:
-        pipeline.chunks(batch).drop("bbox").write.mode("overwrite").parquet(f"{out}/batch={number}")
+        pipeline.chunks(batch).write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     return rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
