@@ -207,26 +207,27 @@ def seeds(item: list[str], ok: list[bool]) -> dict[tuple[str, ...], list[int]]:
     return out
 
 
-def aligned(item: list[str], ok: list[bool], doc: list[str], known: dict[tuple[str, ...], list[int]] | None = None) -> bool:
-    """Whether an alignment of the words holds a stretch that is a case.
+def aligned(item: list[str], ok: list[bool], doc: list[str], known: dict[tuple[str, ...], list[int]] | None = None, begin: int = 0, end: int | None = None) -> bool:
+    """Whether an alignment of the words holds a stretch that is a case, with an exact run that starts from ``begin`` to ``end``.
 
     Each exact run is aligned with its surroundings in a band round its diagonal, wide enough for the edits of a
     shortest case. A word that doesn't count (shared wording) ends a stretch.
     """
     known = seeds(item, ok) if known is None else known
     done: set[tuple[int, int]] = set()
-    for j in range(len(doc) - SEED + 1):
+    last = len(doc) - SEED + 1
+    for j in range(begin, last if end is None else min(end, last)):
         for i in known.get(tuple(doc[j : j + SEED]), ()):
             if (i, j) in done:
                 continue
-            end, at = i, j
-            while end < len(item) and at < len(doc) and item[end] == doc[at] and ok[end]:
-                end, at = end + 1, at + 1
-            done.update((i + k, j + k) for k in range(end - i))
-            if end - i >= LEAST_WORDS:
+            stop, at = i, j
+            while stop < len(item) and at < len(doc) and item[stop] == doc[at] and ok[stop]:
+                stop, at = stop + 1, at + 1
+            done.update((i + k, j + k) for k in range(stop - i))
+            if stop - i >= LEAST_WORDS:
                 return True
             a, c = max(0, i - CASE_WORDS), max(0, j - CASE_WORDS - CASE_EDITS)
-            if _banded(item[a : end + CASE_WORDS], ok[a : end + CASE_WORDS], doc[c : at + CASE_WORDS + CASE_EDITS], (j - c) - (i - a)):
+            if _banded(item[a : stop + CASE_WORDS], ok[a : stop + CASE_WORDS], doc[c : at + CASE_WORDS + CASE_EDITS], (j - c) - (i - a)):
                 return True
     return False
 
@@ -300,7 +301,9 @@ def find(index: ItemIndex, texts: list[str]) -> list[tuple[int, int]]:
         text = texts[d]
         a = text.rfind(" ", 0, max(0, lo - reach)) + 1
         b = text.find(" ", hi + reach)
-        if aligned(index.words[n], index.counts[n], text[a : b if b >= 0 else len(text)].split(" "), index.seeds[n]):
+        # the whole run of a case lies in a band that reached, so its words start between the first and the last of these
+        first, last = text.count(" ", a, max(a, lo - 1)), text.count(" ", a, hi) + 1
+        if aligned(index.words[n], index.counts[n], text[a : b if b >= 0 else len(text)].split(" "), index.seeds[n], first, last):
             out.append((d, index.ids[n]))
     return out
 
