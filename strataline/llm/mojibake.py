@@ -183,10 +183,10 @@ def _token(token: str) -> str:
     found: dict[str, float] = {}
     for encoding in READ_AS:
         to = _utf8_as(token, encoding)
-        if to != token and to not in found and (c := cost(to)) < was - 0.9:
+        if to != token and to not in found and (c := cost(to)) < was - LEAST_DROP:
             found[to] = c
-    best = _likeliest(found) if found else token
-    best_cost = found.get(best, was - 0.9)
+    best = _likeliest(token, found) if found else token
+    best_cost = found.get(best, was - LEAST_DROP)
     # a strict decoding of most of it as UTF-8 is no accident; else other pairs may do better
     if best_cost > 0 and 5 * len(_HIGH.findall(best)) > 3 * len(_HIGH.findall(token)):
         for written, read in SWAPPED:
@@ -198,17 +198,20 @@ def _token(token: str) -> str:
     return best
 
 
-def _likeliest(found: dict[str, float]) -> str:
-    """Of several decodings of one token the one of least cost; where none is without, further layers decide."""
-    ranked = sorted(found, key=found.__getitem__)
-    if len(ranked) == 1 or found[ranked[0]] == 0:
-        return ranked[0]
-    ends: dict[str, float] = {}
-    for to in ranked:
-        ends[to] = cost(_end(to))
-        if ends[to] == 0:
-            return to
-    return min(ranked, key=ends.__getitem__)
+#: What a step must lower the cost by at least.
+LEAST_DROP = 0.9
+
+
+def _likeliest(token: str, found: dict[str, float]) -> str:
+    """Of several decodings of one token the one of least cost. Where it isn't without cost and others
+    undo a whole layer, which leaves half of the characters beyond ASCII or few more, further layers decide between them."""
+    best = min(found, key=found.__getitem__)
+    if found[best] == 0:
+        return best
+    whole = [to for to in found if 5 * len(_HIGH.findall(to)) <= 3 * len(_HIGH.findall(token))]
+    if not whole or whole == [best]:
+        return best
+    return min([best, *whole], key=lambda to: cost(_end(to)))
 
 
 def _end(token: str) -> str:
