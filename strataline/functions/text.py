@@ -80,12 +80,13 @@ def style_hints(c: Column, kind: Column) -> Column:
     )
 
 
-def _small(c: Column) -> Column:
+def small(c: Column) -> Column:
     """Small letters, with those that patterns take for a plain one in any case as that one."""
-    return F.lower(F.translate(c, "ſİıK", "siik"))
+    rare = c.contains("ſ") | c.contains("İ") | c.contains("ı") | c.contains("\u212a")
+    return F.lower(F.when(rare, F.translate(c, "ſİı\u212a", "siik")).otherwise(c))
 
 
-def _bound(value: Column, use) -> Column:
+def bound(value: Column, use) -> Column:
     """``use`` of a value that is computed once, however often it is used."""
     return F.element_at(F.transform(F.array(value), use), 1)
 
@@ -107,7 +108,7 @@ def _matches(c: Column, low: Column, patterns: list[str], flags: str) -> Column:
 
 
 def matches(c: Column, patterns: list[str], flags: str = "iud") -> Column:
-    return F.coalesce(_bound(_small(c), lambda low: _matches(c, low, patterns, flags)), F.lit(False))
+    return F.coalesce(bound(small(c), lambda low: _matches(c, low, patterns, flags)), F.lit(False))
 
 
 def tags(c: Column, rules: dict[str, list[str]] | None = None, lines: bool = True) -> Column:
@@ -115,7 +116,7 @@ def tags(c: Column, rules: dict[str, list[str]] | None = None, lines: bool = Tru
     rules = rules or lx.TAGS
     flags = "iumd" if lines else "iud"
     every = lambda low: F.array(*[F.when(_matches(c, low, p, flags), F.lit(t)) for t, p in rules.items()])
-    return F.array_compact(_bound(_small(c), every))
+    return F.array_compact(bound(small(c), every))
 
 
 def is_imperative(c: Column, verbs: list[str] | None = None) -> Column:
@@ -327,9 +328,9 @@ def role_by_stages(c: Column, path: Column, imperative: Column, last: Column | N
         for r, p in lx.NOT_IN_CONTEXT.items():
             barred = barred | ((stage == r) & matches(low, p, "ud"))
         final = F.when(t.endswith("?"), "question").when(matches(low, lx.STAGE_BOILERPLATE, "ud"), "irrelevant").when(barred, "explanation").otherwise(stage)
-        return _bound(final, lambda f: F.when(f == "explanation", F.coalesce(heading_hint(path), f)).otherwise(f))
+        return bound(final, lambda f: F.when(f == "explanation", F.coalesce(heading_hint(path), f)).otherwise(f))
 
-    return _bound(stage.otherwise("explanation"), judged)
+    return bound(stage.otherwise("explanation"), judged)
 
 
 def caption_legacy(c: Column, kind: Column | None = None) -> Column:

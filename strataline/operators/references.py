@@ -36,20 +36,24 @@ def mentions(chunks: DataFrame, key: str, text: str, keep: list[str]) -> DataFra
 
 def mentioned(c: Column) -> Column:
     """The mentions of a text as an array, explicit ones first; null for a null text."""
+    return tx.bound(tx.small(c), lambda low: _mentioned(c, low))
+
+
+def _mentioned(c: Column, low: Column) -> Column:
     found = []
     for kind, p in lx.EXPLICIT_REFERENCES:
         ids = F.transform(F.regexp_extract_all(c, F.lit("(?iu)" + java(p)), 1), lambda i: F.trim(i))
-        found.append(_placed(c, p, lambda w, n, kind=kind, ids=ids: ("explicit", "", F.lit(kind), F.get(ids, n))))
+        found.append(_placed(c, low, p, lambda w, n, kind=kind, ids=ids: ("explicit", "", F.lit(kind), F.get(ids, n))))
     for direction, p in lx.IMPLICIT_REFERENCES:
-        found.append(_placed(c, p, lambda w, n, direction=direction: ("implicit", direction, _kind(w), F.lit(""))))
+        found.append(_placed(c, low, p, lambda w, n, direction=direction: ("implicit", direction, _kind(w), F.lit(""))))
     return F.concat(*found)
 
 
-def _placed(c: Column, pattern: str, fields) -> Column:
+def _placed(c: Column, low: Column, pattern: str, fields) -> Column:
     """The matches of a pattern with their places, which are the lengths of what stands before them."""
     p = F.lit("(?iu)" + java(pattern))
     # texts without a string that the pattern needs have no match
-    low, has = F.lower(F.translate(c, "ſİıK", "siik")), F.lit(False)
+    has = F.lit(False)
     for x in sorted(needed(pattern) or {""}):
         has = has | low.contains(x)
     found = F.when(has, F.regexp_extract_all(c, p, 0)).otherwise(F.array().cast("array<string>"))
@@ -63,7 +67,7 @@ def _placed(c: Column, pattern: str, fields) -> Column:
         start = length(F.slice(F.split(c, "(?iu)" + java(pattern), -1), 1, n + 1)) + length(F.slice(whole, 1, n))
         return F.struct(F.lit(kind).alias("ref_kind"), F.lit(direction).alias("direction"), target.alias("target_type"), w.alias("ref_text"), number.alias("ref_id"), start.alias("start_offset"), (start + F.length(w)).alias("end_offset"))
 
-    return F.element_at(F.transform(F.array(found), all_of), 1)
+    return tx.bound(found, all_of)
 
 
 def _kind(w: Column) -> Column:

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from strataline.config import LEGACY
 from strataline.functions import lexicon as lx
 from strataline.functions import text as tx
 from strataline.functions.patterns import sql
-from strataline.operators import chunking, continuation, layout, references
-from strataline.plans import deck
+from strataline.operators import chunking, continuation, layout, references, toc
+from strataline.plans import deck, pipeline
 from strataline.plans import queries as q
+from strataline.sources import tables as src
 from strataline.plans.queries import CHK, ORACLES, QUERIES, SEG, query, s_fragment, s_hyphen, s_lower, s_match, s_open, s_starts, s_terminal, s_words  # noqa: F401
 
 _L = LEGACY.weights
@@ -134,3 +134,60 @@ def tag_g9_forced_roles(spark, d):
 def chunk_k5_types_by_roles(spark, d):
     c = deck.chunks(spark, d, "content").filter("content is not null").withColumn("roles", F.transform(tx.sentences(F.col("content")), lambda s: tx.role_by_keywords(s)))
     return c.filter(F.size("roles") > 0).select("chunk_id", chunking.type_by_roles(F.col("roles")).alias("chunk_type"))
+
+
+# contents in the canonical plan ----------------------------------------------------------------------------------------
+
+_BOOK = f"""h as (select file_id, doc_id * 100000 + i - 1 as pos, length(regexp_extract(l, '^(#+)\\s+(.*)$', 1)) as level, trim(regexp_extract(l, '^(#+)\\s+(.*)$', 2)) as title from (select file_id, doc_id, i, string_split(text, chr(10))[i] as l from (select file_id, doc_id, text, unnest(range(1, len(string_split(text, chr(10))) + 1)) as i from documents where text is not null and file_id is not null)) where regexp_matches(l, '^#+\\s')),
+ hc as (select file_id, pos, level, regexp_replace(regexp_replace(title, '\\[(.*?)\\]\\(.*?\\)', '\\1', 'g'), '\\*\\*|__', '', 'g') as title from h where not {s_match('title', lx.LOGIC_NOISE)} and length(title) >= 2), {q.s_stack('level', 'title', 'file_id', 'pos', 'hc', levels=9)},
+ book as (select file_id, {q.s_plain('title')} as norm, arg_max(path, case when level < 3 then pos else -1 - pos end) as path, min(pos) as ord from stacked group by 1, 2)"""
+
+
+@query(f"""with {SEG}, {_BOOK}, x as (select *, {q.s_plain("coalesce(text, '')")} as norm from seg), own as (select distinct file_id, norm from x), near as (select own.file_id, own.norm, arg_min(b.path, b.ord) as path from own join book b on b.file_id = own.file_id and length(b.norm) > 10 and (starts_with(own.norm, b.norm) or starts_with(b.norm, own.norm)) group by 1, 2),
+ l as (select x.*, coalesce(b.path, n.path) as logic from x left join book b on b.file_id = x.file_id and b.norm = x.norm left join near n on n.file_id = x.file_id and n.norm = x.norm)
+ select file_id, segment_id, case when type = 'Header' and (coalesce(text, '') = '' or {s_match("coalesce(text, '')", lx.LOGIC_NOISE)}) then 'Paragraph' else type end as type, case when logic <> '' and length(logic) > length(coalesce(heading_path, '')) then logic else heading_path end as heading_path from l""")
+def toc_t13_alignment(spark, d):
+    """Segments by the headings of the markdown of their file: its documents, one after the other."""
+    docs = src.table(spark, d, "documents").filter("file_id is not null")
+    heads = src.markdown_headings(docs.select("doc_id", "text"), "doc_id", "text").join(docs.select("doc_id", "file_id"), "doc_id")
+    heads = heads.select("file_id", (F.col("doc_id") * 100_000 + F.col("pos")).alias("pos"), "level", "title")
+    rows = toc.align(deck.segments(spark, d, "type", "text", "heading_path"), toc.logic_book(heads, "file_id"))
+    return rows.select("file_id", "segment_id", "type", "heading_path")
+
+
+_SECTIONS = f"""r as (select *, trim(lower(title)) as t from toc where page_no is not null), s as (select file_id, min(struct_pack(o := ord, p := page_no)) as s from r where {s_match('t', lx.BODY_START_TITLES)} and page_no < 150 group by 1),
+ g as (select r.*, s.s, (select min(struct_pack(o := n.ord, p := n.page_no)) from r n where n.file_id = r.file_id and n.ord > r.ord and coalesce(n.level, 1) = 1).p as nxt from r left join s using (file_id)),
+ sec as (select file_id, coalesce(any_value(s.p), 1)::int as body_start, coalesce(case when any_value(s) is not null then min(case when ord >= s.o and page_no > s.p + 100 and {s_match('t', lx.BACK_TITLES)} and coalesce(level, 1) = 1 then page_no end) end, 9999)::int as back_start,
+  (arg_max(page_no, ord) filter (contains(t, 'glossary')))::int as glossary_start, (arg_max(coalesce(nxt - 1, page_no + 15), ord) filter (contains(t, 'glossary')))::int as glossary_end from g group by file_id)"""
+
+
+@query(f"""with {q.TOC}, {CHK}, {_SECTIONS}, z as (select chunk_id, chunk_type, page_range[1] as p, case when page_range[1] <= body_start - 1 then 'front' when page_range[1] >= back_start then 'back' else 'body' end as zone, glossary_start, glossary_end from chk left join sec using (file_id))
+ select chunk_id, zone as doc_zone, case when zone = 'front' and chunk_type <> 'header' then 'front_matter' when zone = 'back' then case when p between glossary_start and glossary_end then 'glossary' else 'back_matter' end else chunk_type end as chunk_type from z""")
+def toc_t14_zone_types(spark, d):
+    c = deck.chunks(spark, d, "file_id", "chunk_type", "page_range").withColumn("first_page", F.try_element_at("page_range", F.lit(1))).withColumn("doc_zone", F.lit("body"))
+    return pipeline.zoned(c, toc.section_map(deck.toc(spark, d))).select("chunk_id", "doc_zone", "chunk_type")
+
+
+@query(f"""with {SEG}, {q._GLOSSARY_PAGES}, r as (select *, trim(coalesce(text, '')) as t, row_number() over (partition by file_id order by page, coalesce(bbox[2], 0.0), pos) as o from seg where (file_id, coalesce(page, 0)) in (select (file_id, page) from gp)), k as (select *, contains(t, ': ') as pair, not contains(t, ': ') and length(t) < 60 and not ends_with(t, '.') as term from r where length(t) >= 2 and lower(t) <> 'glossary'),
+ g as (select *, sum((pair or term)::int) over (partition by file_id order by o) as g from k), h as (select file_id, g, arg_min(t, o) as head, arg_min(pair, o) as pair, string_agg(case when not pair and not term then t end, ' ' order by o) as body, string_agg(segment_id, ',' order by o) as segments, min(o) as o, arg_min(term, o) as term from g group by 1, 2),
+ i as (select *, case when pair then trim(substring(head, 1, strpos(head, ': ') - 1)) || ': ' || trim(substring(head, strpos(head, ': ') + 2)) else head || ': ' || body end as content from h where pair or (term and coalesce(body, '') <> ''))
+ select file_id, (row_number() over (partition by file_id order by o))::int as chunk_no, content, segments from i""")
+def chunk_k9_glossary(spark, d):
+    """The definitions that a glossary's pages become, numbered on from no chunks."""
+    s = deck.segments(spark, d, "pos", "page", "text", "bbox")
+    inside = s.withColumn("__p", F.coalesce("page", F.lit(0))).join(toc.glossary_pages(s).withColumnRenamed("page", "__p"), ["file_id", "__p"], "left_semi").drop("__p")
+    none = deck.chunks(spark, d, "file_id", "chunk_no").filter(F.lit(False)).select("file_id", "chunk_no")
+    return pipeline.with_glossary(none, inside).select("file_id", "chunk_no", "content", F.array_join("source_segments", ",").alias("segments"))
+
+
+@query("select distinct source_file from source_files")
+def src_s1_s3_parsed_documents(spark, d):
+    """Parsed documents as JSON, one file each, written for the query and scanned as a directory: the files that it finds."""
+    out = spark.conf.get("spark.sql.warehouse.dir") + "/_parsed"
+    files = src.table(spark, d, "source_files").groupBy("source_file").agg(F.min("file_id").alias("file_id"))
+    parts = src.latest(src.table(spark, d, "flat_segments").select("file_id", "segment_id", "type", "text", "page", "ingested_at"), ["file_id", "segment_id"])
+    parts = parts.groupBy("file_id").agg(F.array_sort(F.collect_list(F.struct("segment_id", "type", "text", "page"))).alias("flat_segments"))
+    docs = files.join(parts, "file_id", "left").select(F.create_map(F.lit("source_file"), "source_file").alias("metadata"), F.lit("").alias("full_markdown"), "flat_segments")
+    docs.write.mode("overwrite").json(out)
+    back = spark.read.schema(src.DOCUMENT).json(out)
+    return back.select(F.col("metadata")["source_file"].alias("source_file")).distinct()
