@@ -240,3 +240,6 @@ ORACLES = {
     "p4_cleaned": _CLEANED,
     "p6_found": f"select distinct chunk_id from chunks where len(regexp_extract_all(content, '{_WORDS}')) > 500",
 }
+
+#: The queries that a bench times.
+HEADLINES = ["p1_found", "p2_found", "p3_found", "p4_found", "p5_found", "p6_found", "p7_ids", "p8_found", "p9_found"]
