@@ -91,6 +91,7 @@ TAGS_LEGACY_EMBEDDING = {k: v for k, v in TAGS.items() if k not in ("reference",
     "exercise": [r"^(?:Exercise|Problem|Question)\s*\d*", r"\bsolve\s+(?:the|for)\b", r"\bfind\s+the\s+value\b", r"\bcalculate\s+the\b", r"\bdetermine\s+(?:the|whether)\b"],
 }
 STRUCTURAL_HEADERS = [r"^(?:Chapter|Part|Section|Unit)\s+\d+", r"^\d+(?:\.\d+)*\s+[A-Z]", r"^(?:Appendix|Glossary|Index|Bibliography|References)", r"^(?:Summary|Conclusion|Introduction|Overview|Preface)"]
+TOC_CANDIDATE_WORDS = ["contents", "table of contents", "index", "brief contents"]
 TOC_PAGE_WORDS = ["contents", "table of contents", "index", "brief contents", "detailed contents"]
 HEADING_LABELS = ["heading", "header", "title", "section_header"]
 NOISE_LABELS = ["page_header", "page_footer", "footnote", "caption"]

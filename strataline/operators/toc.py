@@ -235,6 +235,27 @@ def glossary_entries(segments: DataFrame, doc: str = "file_id", order: str = "po
     return group.select(doc, "at", "segment_ids", name.alias("term"), text.alias("definition")).filter("term is not null and definition is not null")
 
 
+def page_heads(segments: DataFrame, doc: str = "file_id", most_pages: int = 35, chars: int = 1000) -> DataFrame:
+    """(doc, page, head): the first characters of each of the first pages in small letters, its texts in order at lines of
+    their own. Only texts that begin within them are put together."""
+    t, page = F.coalesce("text", F.lit("")), F.coalesce("page", F.lit(1))
+    rows = segments.filter(page <= most_pages).select(doc, "pos", page.alias("page"), t.alias("t"))
+    before = F.sum(F.length("t") + 1).over(Window.partitionBy(doc, "page").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.withColumn("before", F.coalesce(before, F.lit(0))).filter(F.col("before") < chars)
+    parts = rows.groupBy(doc, "page").agg(F.array_sort(F.collect_list(F.struct("pos", "t"))).alias("parts"))
+    return parts.select(doc, "page", F.lower(F.substring(F.array_join(F.transform("parts", lambda x: x["t"]), "\n"), 1, chars)).alias("head"))
+
+
+def page_scores(segments: DataFrame, doc: str = "file_id", most_pages: int = 40) -> DataFrame:
+    """(doc, page, score): how much each of the first pages looks like a table of contents: 5 for a keyword in its first 1000
+    characters and 5 for more than three runs of leaders or digits. A page of 5 or more is one to be looked at."""
+    page = F.coalesce("page", F.lit(1))
+    runs = segments.filter(page <= most_pages).groupBy(doc, page.alias("page")).agg(F.sum(F.coalesce(F.regexp_count("text", F.lit(r"[\.·\d]{5,}")), F.lit(0))).alias("runs"))
+    rows = runs.join(page_heads(segments, doc, most_pages), [doc, "page"])
+    score = F.when(F.col("head").rlike("|".join(lx.TOC_CANDIDATE_WORDS)), 5).otherwise(0) + F.when(F.col("runs") > 3, 5).otherwise(0)
+    return rows.select(doc, "page", score.alias("score"))
+
+
 def heuristic_entries(segments: DataFrame, doc: str = "file_id", most_pages: int = 35) -> DataFrame:
     """(doc, source_page, pos, line_no, title, page): lines of the first pages that end in a page number, on pages with
     more than five of them, or more than two and a keyword in the first 1000 characters."""
@@ -242,12 +263,7 @@ def heuristic_entries(segments: DataFrame, doc: str = "file_id", most_pages: int
     rows = segments.filter(F.coalesce("page", F.lit(1)) <= most_pages).select(doc, F.coalesce("page", F.lit(1)).alias("source_page"), "pos", F.posexplode(F.split(t, "\n")).alias("line_no", "line"))
     pattern = r"^(.*?)(?:[\s\.·\u00a0\u2001\u2003]{3,})?\s*([ivxIVX\d]+)$"
     rows = rows.withColumn("page", F.regexp_extract("line", pattern, 2)).withColumn("title", F.trim(F.regexp_extract("line", pattern, 1)))
-    # the first 1000 characters of each page, its texts in order at lines of their own
-    before = F.coalesce(F.sum(F.length("t") + 1).over(Window.partitionBy(doc, "source_page").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    begin = segments.filter(F.coalesce("page", F.lit(1)) <= most_pages).select(doc, "pos", F.coalesce("page", F.lit(1)).alias("source_page"), t.alias("t"))
-    begin = begin.withColumn("before", before).filter("before < 1000").groupBy(doc, "source_page").agg(F.array_sort(F.collect_list(F.struct("pos", "t"))).alias("parts"))
-    head = F.lower(F.substring(F.array_join(F.transform("parts", lambda x: x["t"]), "\n"), 1, 1000))
-    head = begin.select(doc, "source_page", head.rlike("|".join(lx.TOC_PAGE_WORDS)).alias("word"))
+    head = page_heads(segments, doc, most_pages).select(doc, F.col("page").alias("source_page"), F.col("head").rlike("|".join(lx.TOC_PAGE_WORDS)).alias("word"))
     counts = rows.groupBy(doc, "source_page").agg(F.count_if(F.col("page") != "").alias("n")).join(head, [doc, "source_page"], "left")
     pages = counts.filter((F.col("n") > 5) | (F.coalesce("word", F.lit(False)) & (F.col("n") > 2))).select(doc, "source_page")
     return rows.filter((F.col("page") != "") & (F.length("title") >= 2)).join(pages, [doc, "source_page"], "left_semi")

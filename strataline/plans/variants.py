@@ -191,3 +191,9 @@ def src_s1_s3_parsed_documents(spark, d):
     docs.write.mode("overwrite").json(out)
     back = spark.read.schema(src.DOCUMENT).json(out)
     return back.select(F.col("metadata")["source_file"].alias("source_file")).distinct()
+
+
+@query(f"""with {SEG}, p as (select file_id, coalesce(page, 1)::int as page, lower(substring(string_agg(coalesce(text, ''), chr(10) order by pos), 1, 1000)) as head, sum(len(regexp_extract_all(coalesce(text, ''), '[\\.·0-9]{{5,}}'))) as runs from seg where coalesce(page, 1) <= 40 group by 1, 2)
+ select file_id, page, ((case when regexp_matches(head, '{"|".join(lx.TOC_CANDIDATE_WORDS)}') then 5 else 0 end) + (case when runs > 3 then 5 else 0 end))::int as score from p""")
+def src_s8_page_scores(spark, d):
+    return toc.page_scores(deck.segments(spark, d, "pos", "page", "text"))

@@ -131,3 +131,19 @@ def test_enriched_chunks_have_all_fields(spark):
     assert text.is_cross_page and text.merge_evidence.merge_count == 1 and text.merge_evidence.details[0]["to"] == "seg_0003" and text.page_range == [1, 2]
     assert {(e.edge_type, e.dst) for e in text.edges} == {("next", "chunk_0003"), ("part_of", "chunk_0001"), ("references", "chunk_0004")}
     assert isinstance(pd.DataFrame([text.asDict()]), pd.DataFrame) and out[1].references is None
+
+
+def test_prototype_library_and_pdf_folder(spark, tmp_path):
+    from strataline.sources import tables as src
+
+    (tmp_path / "lib.json").write_text('{"version": "1", "prototypes": {"example": {"description": "d", "examples": ["For example, a loom.", "Such as felt."]}, "question": {"description": "q", "examples": []}}}')
+    assert sorted(tuple(r) for r in src.role_prototypes(spark, str(tmp_path / "lib.json")).collect()) == [("example", "For example, a loom."), ("example", "Such as felt.")]
+    (tmp_path / "a.pdf").write_bytes(b"%PDF")
+    (tmp_path / "b.txt").write_text("no")
+    assert [r.path.split("/")[-1] for r in src.pdf_files(spark, str(tmp_path)).collect()] == ["a.pdf"]
+
+
+def test_zones_and_glossary_of_late_contents(spark):
+    assert toc.index_terms(spark.createDataFrame([seg(0, "Text", "Delta, 40")], SCHEMA)).count() == 0
+    empty = spark.createDataFrame([], SCHEMA)
+    assert toc.page_scores(empty).count() == 0 and toc.page_heads(empty).count() == 0
