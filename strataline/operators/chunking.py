@@ -305,18 +305,27 @@ def assemble_rows(rows: DataFrame, doc: str = "file_id") -> DataFrame:
     content = F.when(F.col("forced") == "formula", F.lit("[FORMULA PLACEHOLDER]")).otherwise(join_parts(F.transform(F.array_sort("parts"), lambda s: s["t"])))
     g = g.withColumn("content", content).withColumn("tags", tx.tags(F.col("content")))
     g = g.withColumn("tags", F.when(tx.is_imperative(F.col("content")) & ~F.array_contains("tags", "procedure"), F.concat("tags", F.array(F.lit("procedure")))).otherwise(F.col("tags")))
-    edge = lambda bs, k: F.transform(bs, lambda b: b[k])
-    round_ = lambda bs: F.array(F.array_min(edge(bs, 0)), F.array_min(edge(bs, 1)), F.array_max(edge(bs, 2)), F.array_max(edge(bs, 3)))
-    pages = F.array_sort(F.array_distinct(F.transform(F.filter("boxes", lambda x: x["page"] > 0), lambda x: x["page"])))
-    by_page = F.map_from_entries(F.transform(pages, lambda n: F.struct(n, round_(F.transform(F.filter("boxes", lambda x: x["page"] == n), lambda x: x["b"])))))
+    by_page = boxes_by_page(F.filter("boxes", lambda x: x["page"] > 0))
     return g.select(
         doc, "chunk_no", "heading_path", infer_type(F.col("forced"), F.col("all_list"), F.col("all_objective"), F.col("tags")).alias("chunk_type"), "content", "tags",
         F.transform(F.array_sort("ids"), lambda s: s["segment_id"]).alias("source_segments"), "first_page", "last_page", "depth", tx.word_count(F.col("content")).alias("word_count"),
         "is_cross_page", "continuation_type", (F.col("continuation_type") == "partial").alias("needs_review"), evidence_of(F.col("joins")).alias("merge_evidence"), "bonded",
-        F.when(F.size("boxes") > 0, round_(F.transform("boxes", lambda x: x["b"]))).alias("bbox"), by_page.alias("page_bboxes"),
+        F.when(F.size("boxes") > 0, box_round(F.transform("boxes", lambda x: x["b"]))).alias("bbox"), by_page.alias("page_bboxes"),
     )
 
 
+def box_round(boxes: Column) -> Column:
+    """The box round an array of boxes."""
+    edge = lambda k: F.transform(boxes, lambda b: b[k])
+    return F.array(F.array_min(edge(0)), F.array_min(edge(1)), F.array_max(edge(2)), F.array_max(edge(3)))
+
+
+def boxes_by_page(boxes: Column) -> Column:
+    """The box round an array's boxes of each page, as a map; ``boxes``: (page, b)."""
+    pages = F.array_sort(F.array_distinct(F.transform(boxes, lambda x: x["page"])))
+    return F.map_from_entries(F.transform(pages, lambda n: F.struct(n, box_round(F.transform(F.filter(boxes, lambda x: x["page"] == n), lambda x: x["b"])))))
+
+
 def evidence_of(joins: Column, top: int = 5) -> Column:
     """Why the rows of a chunk were merged: how many joins, their mean score, the commonest rules (ties by name) and each
     join; null where there are none."""
@@ -440,19 +449,23 @@ def join_objectives(chunks: DataFrame, doc: str = "file_id") -> DataFrame:
     """The chunks after ``regroup_objectives``: an objective and the up to two that join it are one, of its pages."""
     w = Window.partitionBy(doc).orderBy("chunk_no")
     rows = regroup_objectives(chunks, doc)
-    part = F.struct("objective_no", "content", "tags", "source_segments", "sentences", "bbox")
+    paged = ["__pages"] if "page_bboxes" in chunks.columns else []
+    if paged:  # as entries, since maps can't be compared
+        rows = rows.withColumn("__pages", F.transform(F.map_entries("page_bboxes"), lambda e: F.struct(e["key"].alias("page"), e["value"].alias("b"))))
+    part = F.struct("objective_no", "content", "tags", "source_segments", "sentences", "bbox", *paged)
     rows = rows.withColumn("__n", F.array(F.lead(part, 1).over(w), F.lead(part, 2).over(w))).filter("objective_no = chunk_no")
     rows = rows.withColumn("__n", F.filter("__n", lambda x: F.coalesce(x["objective_no"] == F.col("chunk_no"), F.lit(False))))
     has, every = F.size("__n") > 0, lambda c: F.flatten(F.transform("__n", lambda x: x[c]))
     content = F.array_join(F.concat(F.array("content"), F.transform("__n", lambda x: x["content"])), "\n")
     boxes = F.array_compact(F.concat(F.array("bbox"), F.transform("__n", lambda x: x["bbox"])))
-    edge = lambda i: F.transform(boxes, lambda b: b[i])
-    box = F.array(F.array_min(edge(0)), F.array_min(edge(1)), F.array_max(edge(2)), F.array_max(edge(3)))
+    box = box_round(boxes)
     new = {
         "content": content, "tags": F.array_sort(F.array_distinct(F.concat("tags", every("tags")))), "source_segments": F.concat("source_segments", every("source_segments")),
         "sentences": F.concat("sentences", every("sentences")), "chunk_type": F.lit("learning_objective"), "word_count": tx.word_count(content), "bbox": F.when(F.size(boxes) > 0, box),
     }
-    return rows.withColumns({k: F.when(has, c).otherwise(F.col(k)) for k, c in new.items()}).drop("__n", "objective_no")
+    if paged:
+        new["page_bboxes"] = boxes_by_page(F.flatten(F.array_compact(F.concat(F.array("__pages"), F.transform("__n", lambda x: x["__pages"])))))
+    return rows.withColumns({k: F.when(has, c).otherwise(F.col(k)) for k, c in new.items()}).drop("__n", "__pages", "objective_no")
 
 
 def known_sentences(content: Column) -> Column:
