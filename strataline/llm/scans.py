@@ -272,23 +272,40 @@ def skeleton(line: str) -> str:
     return _NO_LETTERS.sub("", _DIGIT_LETTER.sub(lambda m: {"0": "o", "1": "l", "5": "s", "6": "b"}[m[0]], t))
 
 
-def near(a: str, b: str, share: float = 0.2) -> bool:
-    """Whether two skeletons differ in at most ``share`` of their letters (banded edit distance)."""
+#: Shares of letters in which copies of a line, and a header and its heading, differ at most.
+NEAR, TITLE = 0.2, 0.12
+
+
+def near(a: str, b: str, share: float = NEAR) -> bool:
+    """Whether two skeletons differ in at most ``share`` of their letters (edit distance; a column of it is two numbers,
+    whose bits are the steps up and down)."""
     if a == b:
         return True
     most = int(max(len(a), len(b)) * share)
     if abs(len(a) - len(b)) > most:
         return False
-    prev = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        row = [i] + [most + 1] * len(b)
-        lo, hi = max(1, i - most), min(len(b), i + most)
-        for j in range(lo, hi + 1):
-            row[j] = min(prev[j] + 1, row[j - 1] + 1, prev[j - 1] + (x != b[j - 1]))
-        if min(row[lo - 1 : hi + 1]) > most:
+    at = _bits(a)
+    last, every = 1 << len(a) - 1, (1 << len(a)) - 1
+    up, down, edits = every, 0, len(a)
+    for rest, x in zip(range(len(b) - 1, -1, -1), b):
+        same = at.get(x, 0)
+        level = (((same & up) + up) ^ up) | same
+        more, less = down | ~(level | up) & every, up & level
+        edits += (more & last > 0) - (less & last > 0)
+        if edits - rest > most:
             return False
-        prev = row
-    return prev[-1] <= most
+        more, less = more << 1 | 1, less << 1
+        up, down = (less | ~(same | down | more)) & every, more & (same | down) & every
+    return edits <= most
+
+
+@lru_cache(maxsize=10_000)
+def _bits(shape: str) -> dict[str, int]:
+    """The places of each letter, as bits."""
+    out: dict[str, int] = defaultdict(int)
+    for i, x in enumerate(shape):
+        out[x] |= 1 << i
+    return dict(out)
 
 
 def page_value(line: str) -> int | None:
@@ -424,50 +441,32 @@ def _page_values(line: pd.Series) -> pd.Series:
     return line.map(page_value, na_action="ignore").astype("Int64")
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _shape_keys(shape: pd.Series) -> pd.Series:
-    return shape.map(shape_keys, na_action="ignore")
-
-
-@F.pandas_udf(T.BooleanType())
-def _alike(a: pd.Series, b: pd.Series, share: pd.Series) -> pd.Series:
-    return pd.Series([near(x, y, s) for x, y, s in zip(a, b, share)], dtype=bool)
-
-
-#: Strokes of a part of a line by which lines that differ elsewhere meet.
-PART = 10
-
-
-def shape_keys(shape: str) -> list[str]:
-    """Keys by which fuzzy copies of a line meet: all its strokes and, of a long one, those at its ends and in its middle.
-    Misreadings by known shapes leave the first as it is; others in one place leave one of the rest."""
-    k = strokes(shape)
-    if len(k) < 2 * PART:
-        return [k]
-    half = (len(k) - PART) // 2
-    return ["=" + k, "<" + k[:PART], ">" + k[-PART:], "|" + k[half : half + PART]]
-
-
 def page_lines(rows: DataFrame) -> DataFrame:
-    """(file_id, segment_id, line_no, page, line, opens, top, low, single, heading): lines that aren't blank or ``skip``.
+    """(file_id, segment_id, line_no, page, line, value, opens, top, low, edge, single, heading): lines not blank or ``skip``.
 
     ``opens``: the first of its segment; ``top``: the first of its page; ``low``: how many follow on the page, itself
-    counted; ``single``: the only one of its segment. A segment without page is on that of the one before. The lines that
-    can be neither header nor number carry no text.
+    counted; ``edge``: no line but page numbers stands above it on its page, or none below it; ``value``: of a line that is
+    nothing but a page number; ``single``: the only one of its segment. A segment without page is on that of the one
+    before. The lines that can be neither header nor number carry no text.
     """
     order = [F.col("pos"), F.col("segment_id")]
     before = Window.partitionBy("file_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     page = F.coalesce(F.last("page", ignorenulls=True).over(before), F.lit(0))
-    lines = F.transform(F.split("text", "\n", -1), lambda x, i: F.struct(i.alias("i"), x.alias("x")))
+    lines = F.transform(F.split("text", "\n", -1), lambda x, i: F.struct(i.alias("i"), x.alias("x"), (x.rlike(_MAY_BE_NUMBER) | ~x.rlike(r"\p{L}")).alias("number")))
     kept = F.filter(lines, lambda s: (F.trim(s["x"]) != "") & s["x"].rlike(r"\S") & ~F.coalesce(F.array_contains(F.col("skip"), s["i"]), F.lit(False)))
     heading = F.coalesce((F.col("type") == "Header") & F.col("level").isNotNull(), F.lit(False))
     rows = rows.select("file_id", "segment_id", "pos", page.alias("page"), heading.alias("heading"), kept.alias("kept")).filter(F.size("kept") > 0)
-    rows = rows.select("file_id", "segment_id", "pos", "page", "heading", (F.size("kept") == 1).alias("single"), F.posexplode("kept").alias("nth", "s"))
-    text = F.when((F.col("nth") == 0) | F.col("s.x").rlike(_MAY_BE_NUMBER), F.col("s.x"))
+    words = F.transform("kept", lambda s, i: F.when(~s["number"], i))  # before the first and after the last all may be numbers
+    rows = rows.select("file_id", "segment_id", "pos", "page", "heading", (F.size("kept") == 1).alias("single"), F.array_min(words).alias("begins"), F.array_max(words).alias("ends"), F.posexplode("kept").alias("nth", "s"))
+    text = F.when((F.col("nth") == 0) | F.col("s.number") | F.col("nth").isin(F.col("begins"), F.col("ends")), F.col("s.x"))
     rows = rows.select("file_id", "segment_id", "pos", "page", "heading", "single", F.col("s.i").alias("line_no"), (F.col("nth") == 0).alias("opens"), text.alias("line"))
+    rows = rows.withColumn("value", _page_values(F.col("line"))).withColumn("is_text", F.when(F.col("value").isNull(), 1).otherwise(0))
     on_page = Window.partitionBy("file_id", "page").orderBy("pos", "segment_id", "line_no")
-    rest = F.count(F.lit(1)).over(on_page.rowsBetween(0, Window.unboundedFollowing))
-    return rows.withColumn("top", F.row_number().over(on_page) == 1).withColumn("low", rest)
+    so_far, all_of_it = (on_page.rowsBetween(Window.unboundedPreceding, x) for x in (0, Window.unboundedFollowing))
+    rows = rows.withColumns({"nth": F.row_number().over(on_page), "n": F.count(F.lit(1)).over(all_of_it), "texts": F.sum("is_text").over(so_far), "all_texts": F.sum("is_text").over(all_of_it)})
+    edge = (F.col("texts") == F.col("is_text")) | (F.col("texts") == F.col("all_texts"))
+    rows = rows.withColumns({"top": F.col("nth") == 1, "low": F.col("n") - F.col("nth") + 1, "edge": edge})
+    return rows.drop("nth", "n", "is_text", "texts", "all_texts")
 
 
 #: A line that might be a page number, for the JVM: few letters besides a word for page.
@@ -475,39 +474,124 @@ _MAY_BE_NUMBER = r"^[^\p{L}\p{N}]*(?:\p{L}{1,6}[.:]?\s*)?[0-9lISOBoi|!ZivxlcdmVX
 
 
 def running_headers(lines: DataFrame, paths: DataFrame) -> DataFrame:
-    """(file_id, segment_id, line_no) of the lines that are running headers.
+    """(file_id, segment_id, line_no) of the lines that are running headers, or footers.
 
-    ``lines``: those of ``page_lines``; ``paths``: file_id, heading_path. A shape at the top of a page is a header's where
-    another page has it, or one like it, at its top, or where it is like a heading of the file, which is a copy too. Other
-    lines at the starts of segments are headers if they are like one of these. Like shapes meet by equal parts
-    (``shape_keys``); in each group the commonest is compared with the others, so nothing is compared in all pairs.
+    ``lines``: those of ``page_lines``; ``paths``: file_id, heading_path. A shape at the top or bottom of a page is a
+    header's where another page has it, or one like it, at its top or bottom. At a top a heading of the file counts as a
+    copy, too. Other lines at the starts of segments are headers if they are like one of these. All shapes of a file are
+    compared (``header_shapes``); its distinct ones pass through Python as rows, file by file. A line that ends a sentence
+    is no header, unless it begins one at a page's edge.
     """
-    first = lines.filter("opens and line is not null").filter(~F.col("line").rlike(_ENDS_SENTENCE))
-    first = first.withColumn("shape", _skeletons(F.col("line"))).filter(F.length("shape") > 3)
+    first = lines.filter("(opens or edge) and line is not null and value is null")
+    first = first.filter(~F.col("line").rlike(_ENDS_SENTENCE) | F.col("edge") & F.col("line").rlike(r"^[^\p{L}]*[\p{L}&&[^\p{Ll}]]"))
+    first = first.withColumn("shape", _skeletons(F.col("line"))).filter(F.length("shape") > 0)
     numbered = F.col("line").rlike(r"^\s*\d+\s{2,}|\|\s*\S+\s*$").alias("numbered")
-    first = settled(first.select("file_id", "segment_id", "line_no", "page", "top", "heading", "single", numbered, "shape"))
-    tops = first.filter(F.col("top") & (F.length("shape") > 5)).groupBy("file_id", "shape").agg(F.count_distinct("page").alias("pages"))
-    keyed = settled(tops.select("file_id", "shape", "pages", F.explode(_shape_keys(F.col("shape"))).alias("key")))
-    # the commonest shape of each group; it and those like it are copies of one line
-    heads = keyed.groupBy("file_id", "key").agg(F.max(F.struct("pages", "shape")).alias("m"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    pairs = keyed.join(heads.select("file_id", "key", F.col("m.shape").alias("other")), ["file_id", "key"]).filter("shape <> other")
-    pairs = pairs.select("file_id", "shape", "other").distinct().filter(_alike(F.col("shape"), F.col("other"), F.lit(0.2)))
-    parts = paths.filter(F.col("heading_path").isNotNull()).select("file_id", F.explode(F.array_distinct(F.split("heading_path", " > "))).alias("part")).distinct()
-    parts = parts.select("file_id", _skeletons(F.col("part")).alias("part")).filter(F.length("part") > 5).distinct()
-    parts = parts.select("file_id", "part", F.explode(_shape_keys(F.col("part"))).alias("key"))
-    titled = keyed.join(parts, ["file_id", "key"]).select("file_id", "shape", "part").distinct().filter(_alike(F.col("shape"), F.col("part"), F.lit(0.12)))
-    known = keyed.filter("pages > 1").select("file_id", "shape").unionByName(titled.select("file_id", "shape"))
-    known = known.unionByName(pairs.select("file_id", "shape")).unionByName(pairs.select("file_id", F.col("other").alias("shape")))
-    known = settled(known.distinct())
-    # other lines like a known one
-    open_lines = first.filter(~F.col("heading"))
-    exact = open_lines.join(known, ["file_id", "shape"], "left_semi").select("file_id", "segment_id", "line_no")
-    rest = open_lines.filter(F.col("top") | F.col("single") | F.col("numbered")).join(known, ["file_id", "shape"], "left_anti")
-    shapes = rest.select("file_id", "shape").distinct()
-    long = known.filter(F.length("shape") > 7).select("file_id", F.col("shape").alias("other"), F.explode(_shape_keys(F.col("shape"))).alias("key"))
-    near_by = shapes.select("file_id", "shape", F.explode(_shape_keys(F.col("shape"))).alias("key")).join(long, ["file_id", "key"]).select("file_id", "shape", "other").distinct()
-    like = near_by.filter(_alike(F.col("shape"), F.col("other"), F.lit(0.2))).select("file_id", "shape").distinct()
-    return exact.unionByName(rest.join(like, ["file_id", "shape"], "left_semi").select("file_id", "segment_id", "line_no"))
+    first = settled(first.select("file_id", "segment_id", "line_no", "page", "top", "edge", "heading", "single", numbered, "shape"))
+    alone = ~F.col("heading") & (F.col("edge") | F.col("single") | F.col("numbered"))
+    place = F.when(F.col("edge"), F.col("page"))
+    shapes = first.groupBy("file_id", "shape").agg(F.min(place).alias("lo"), F.max(place).alias("hi"), F.max("top").alias("top"), F.max(alone).alias("alone")).filter("file_id is not null and (lo is not null or alone)")
+    parts = paths.filter("file_id is not null and heading_path is not null").select("file_id", F.explode(F.array_distinct(F.split("heading_path", " > "))).alias("part")).distinct()
+    parts = parts.select("file_id", _skeletons(F.col("part")).alias("shape")).filter(F.length("shape") > 5).distinct().withColumn("part", F.lit(True))
+    rows = shapes.withColumn("part", F.lit(False)).unionByName(parts, allowMissingColumns=True)
+    kind = dict(rows.dtypes)["file_id"]
+    found = rows.repartition("file_id").sortWithinPartitions("file_id").mapInPandas(_header_shapes, f"file_id {kind}, shape string, known boolean")
+    out = first.filter(~F.col("heading")).join(found, ["file_id", "shape"])
+    return out.filter(F.col("known") | alone).select("file_id", "segment_id", "line_no")
+
+
+def _header_shapes(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
+    """``header_shapes`` of each file, whose rows follow one another."""
+    at, rows, out = None, [], []
+
+    def take() -> pd.DataFrame:
+        done = pd.DataFrame(out, columns=["file_id", "shape", "known"])
+        out.clear()
+        return done
+
+    for pdf in batches:
+        columns = [pdf[c].astype(object).where(pdf[c].notna(), None).tolist() for c in ("file_id", "shape", "lo", "hi", "top", "alone", "part")]
+        for file_id, *row in zip(*columns):
+            if rows and file_id != at:
+                out += [(at, shape, known) for shape, known in header_shapes(rows).items()]
+                rows = []
+            at = file_id
+            rows.append(row)
+        if out:
+            yield take()
+    out += [(at, shape, known) for shape, known in header_shapes(rows).items()]
+    if out:
+        yield take()
+
+
+def header_shapes(rows: Iterable[tuple]) -> dict[str, bool]:
+    """The shapes of a file's running headers: True for one that is repeated, False for one that is like a repeated one.
+
+    ``rows``: shape, first and last page that has it at its top or bottom (None: none), whether it is at a top, whether it
+    may be like a header elsewhere, whether it is a heading of the file instead.
+    """
+    rows = list(rows)
+    edges = {shape: (lo, hi, top) for shape, lo, hi, top, _, part in rows if not part and lo is not None}
+    known = {shape for shape, (lo, hi, _) in edges.items() if lo < hi}
+    repeated, lone = Shapes(), Shapes()
+
+    def copies(a: str, b: str) -> bool:
+        return min(edges[a][0], edges[b][0]) < max(edges[a][1], edges[b][1]) and near(a, b)
+
+    # a lone shape is compared with all; one that is known needs no more copies, but others may need it
+    for shape in edges:
+        if shape not in known and any(copies(shape, x) for x in repeated.meeting(shape)):
+            known.add(shape)
+        for other in [x for x in lone.meeting(shape) if copies(shape, x)]:
+            known |= {shape, other}
+            lone.drop(other)
+            repeated.add(other)
+        (repeated if shape in known else lone).add(shape)
+    for part in (row[0] for row in rows if row[5]):
+        known.update([x for x in lone.meeting(part) if edges[x][2] and near(x, part, TITLE)])
+    long = Shapes(shape for shape in sorted(known) if len(shape) > 7)
+    others = {shape for shape, _, _, _, alone, part in rows if alone and not part} - known
+    like = {shape for shape in others if any(near(shape, x) for x in long.meeting(shape))}
+    return dict.fromkeys(known, True) | dict.fromkeys(like, False)
+
+
+class Shapes:
+    """Shapes by their parts, cut so that one that is ``near`` another has some of its parts whole, at a place as far off as
+    letters may be dropped or added. What doesn't meet isn't near, so not all pairs are compared."""
+
+    def __init__(self, shapes: Iterable[str] = ()):
+        self.parts: dict[str, list[tuple[str, int]]] = defaultdict(list)
+        self.lengths: set[int] = set()
+        for shape in shapes:
+            self.add(shape)
+
+    def add(self, shape: str) -> None:
+        for a, b in _cuts(len(shape)):
+            self.parts[shape[a:b]].append((shape, a))
+            self.lengths.add(b - a)
+
+    def drop(self, shape: str) -> None:
+        for a, b in _cuts(len(shape)):
+            self.parts[shape[a:b]].remove((shape, a))
+
+    def meeting(self, shape: str) -> Iterable[str]:
+        """Those that may be near a shape, by its rarest parts first."""
+        places = [(at, at + n) for n in self.lengths for at in range(len(shape) - n + 1) if shape[at : at + n] in self.parts]
+        shared: dict[str, set[int]] = defaultdict(set)
+        for at, end in sorted(places, key=lambda x: len(self.parts[shape[x[0] : x[1]]])):
+            for other, a in self.parts[shape[at:end]]:
+                most = int(max(len(other), len(shape)) * NEAR)
+                if abs(len(other) - len(shape)) <= most and abs(a - at) <= most and a not in shared[other]:
+                    shared[other].add(a)
+                    if len(shared[other]) == len(_cuts(len(other))) - most:
+                        yield other
+
+
+@lru_cache(maxsize=None)
+def _cuts(length: int) -> list[tuple[int, int]]:
+    """The places of the parts of a shape: one more than edits may lead from it to the longest that is near."""
+    longest = max(n for n in range(length, 2 * length + 1) if n - int(n * NEAR) <= length)
+    parts = int(longest * NEAR) + 1
+    return [(i * length // parts, (i + 1) * length // parts) for i in range(parts)]
 
 
 _ENDS_SENTENCE = r"[.!?…。！？][\"”»’)]*\s*$"
@@ -516,7 +600,7 @@ _ENDS_SENTENCE = r"[.!?…。！？][\"”»’)]*\s*$"
 def page_numbers(lines: DataFrame) -> DataFrame:
     """(file_id, segment_id, line_no) of the lines that are page numbers: nothing but a number, at a page's edge, alone in
     its segment or decorated, or in step with the numbers of other pages of the file."""
-    rows = lines.filter("line is not null").withColumn("value", _page_values(F.col("line"))).filter("value is not null")
+    rows = lines.filter("value is not null")
     decorated = F.col("line").rlike(r"[–\-\[/(]|\p{L}{3,}|p\.")
     rows = settled(rows.select("file_id", "segment_id", "line_no", "page", "single", (F.col("top") | (F.col("low") <= 3)).alias("edge"), decorated.alias("decorated"), (F.col("value") - F.col("page")).alias("offset")))
     steps = rows.groupBy("file_id", "offset").agg(F.count_distinct("page").alias("pages")).filter("pages > 1")

@@ -113,3 +113,69 @@ def test_chunks(spark):
     mended = spark.createDataFrame([(1, "a", "tlie bank", ["misread"], "the bank"), (1, "b", " – 3 –", ["number"], ""), (1, "c", "hori-\nzon", ["broken"], "horizon")], "file_id long, segment_id string, text string, reasons array<string>, repaired string")
     got = {r.chunk_id: (list(r.reasons), r.repaired) for r in s.mend_chunks(chunks, mended).collect()}
     assert got == {"c1": (["broken", "misread", "number"], "the bank\n\nhorizon"), "c2": ([], "other"), "c3": ([], None), "c4": ([], "x")}
+
+
+def marked(got, reason="header"):
+    return [k for k, v in got.items() if reason in v[0]]
+
+
+def pages(*edges):
+    """A page for each (lines at the top, lines at the bottom), with lines of its own between them."""
+    body = ["the river bank holds water", "every weft line of the loom", "feeds soil and modern sound", "a thread sound holds the horizon"]
+    rows = []
+    for n, (above, below) in enumerate(edges, 1):
+        rows += [("Paragraph", None, n, x) for x in (*above, f"{body[n % 4]} {chr(96 + n) * 3}.", *below)]
+    return rows
+
+
+def test_footers_are_found_at_the_bottom(spark):
+    """Also over a page number and as the last line of a text; once isn't enough, nor are two edges of one page."""
+    foot, misread = "Notes of the loom and the well", "Notcs of tbe loorn and the well"
+    got = mend(spark, pages(((), (foot, "– 12 –")), ((), (f"the thread\n{misread}\n13",)), (("Weft lines of soil",), ("Weft lines of soil",))), path=None)
+    assert marked(got) == ["seg_0002", "seg_0005"] and got["seg_0002"][1] == "" and got["seg_0005"][1] == "the thread"
+    assert marked(mend(spark, pages(((), (foot,)), ((), ("and",))), path=None)) == []
+
+
+def test_headers_below_page_numbers_short_ones_and_questions(spark):
+    for head in ("Weft lines of soil", "Weft", "What holds the water?"):
+        assert marked(mend(spark, pages((("12",), ()), (("13", head), ()), ((f"14\n{head}",), ())), path=None)) == ["seg_0004", "seg_0006"], head
+
+
+def test_copies_that_share_no_part_of_their_strokes(spark):
+    """Misread at both ends and in the middle, and unlike the commonest copy."""
+    a, b, c = "Tbeory of the looms and of the wells in soil", "Tneory of tne looms and ot the wells in soit", "Tneory ot tne locms and ot tbe wells ir soit"
+    assert not s.near(s.skeleton(a), s.skeleton(c), 0.12) and s.near(s.skeleton(b), s.skeleton(c))
+    assert marked(mend(spark, pages(((a,), ()), ((b,), ()), ((c,), ())), path=None)) == ["seg_0001", "seg_0003", "seg_0005"]
+    first, second = "abcdefghijklmnopqrstuvwx", "xbcdefghijkxmnopqrstuvwz"
+    assert marked(mend(spark, pages(((first,), ()), ((second,), ())), path=None)) == ["seg_0001", "seg_0003"]
+
+
+def test_shapes_against_all_pairs():
+    r = random.Random(7)
+
+    def plain(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            before, row = row, [i]
+            for j, y in enumerate(b, 1):
+                row.append(min(before[j] + 1, row[-1] + 1, before[j - 1] + (x != y)))
+        return row[-1]
+
+    def misread(shape):
+        for _ in range(r.randint(0, len(shape) // 4 + 1)):
+            at = r.randrange(len(shape))
+            shape = shape[:at] + r.choice(["", "a", "bc"]) + shape[at + 1 :] or "a"
+        return shape
+
+    for _ in range(150):
+        shapes = {misread("".join(r.choice("abcde") for _ in range(r.randint(1, 30)))) for _ in range(3)}
+        shapes = sorted({misread(x) for x in shapes for _ in range(4)})
+        rows = [(x, n := r.randint(1, 3), n + (r.random() < 0.1), True, True, False) for x in shapes]
+        want = {x[0] for x in rows if x[1] < x[2]}
+        for x in rows:
+            for y in rows:
+                close = plain(x[0], y[0]) <= int(max(len(x[0]), len(y[0])) * 0.2)
+                assert s.near(x[0], y[0]) == close
+                if close and x != y and min(x[1], y[1]) < max(x[2], y[2]):
+                    want.add(x[0])
+        assert {k for k, known in s.header_shapes(rows).items() if known} == want
